@@ -6,7 +6,7 @@ from importlib import import_module
 
 from flowtide.workload.registry import QUERIES, Query
 
-_MODULES = ("positions",)
+_MODULES = ("positions", "networks")
 
 
 def all_queries() -> dict[str, Query]:

@@ -23,7 +23,7 @@ def _(t):
     return readers.read_parquet(t.spark, f"{t.folder}/orders.parquet")
 
 
-@query("parquet_scan_with_schema", "select s_suppkey, s_name, s_nationkey, round(s_acctbal, 4) + 0.0 s_acctbal from supplier")
+@query("parquet_scan_with_schema", f"select s_suppkey, s_name, s_nationkey, {r('s_acctbal')} s_acctbal from supplier")
 def _(t):
     path = f"{t.folder}/supplier.parquet"
     return readers.read_parquet(t.spark, path, schema=t.raw("supplier").schema)

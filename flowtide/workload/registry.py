@@ -24,14 +24,18 @@ QUERIES: dict[str, Query] = {}
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Doubles rounded, so that the order of a summation cannot show; zeros are positive."""
+    """Doubles rounded, so that the order of a summation cannot show; zeros are positive.
+
+    A mean may lie exactly between two results; a small shift takes it off the tie.
+    """
     doubles = [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
-    return df.withColumns({n: F.round(F.col(f"`{n}`"), digits) + F.lit(0.0) for n in doubles})
+    shift = F.lit(10.0 ** -(digits + 3))
+    return df.withColumns({n: F.round(F.col(f"`{n}`") + shift, digits) + F.lit(0.0) for n in doubles})
 
 
 def r(expression: str, digits: int = DIGITS) -> str:
     """The same rounding as SQL text."""
-    return f"round({expression}, {digits}) + 0.0"
+    return f"round({expression} + 1e-{digits + 3}, {digits}) + 0.0"
 
 
 def query(name: str, sql: str | None = None, digits: int = DIGITS):
