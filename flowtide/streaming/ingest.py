@@ -48,7 +48,8 @@ class FactSink:
     def latest_before(self, batch_id: int) -> DataFrame:
         """Newest stored date per key, from the batches before ``batch_id`` alone."""
         snapshots = self._read("snapshots", "upto")
-        upto = snapshots.where(F.col("upto") < batch_id).agg(F.max("upto")).first()[0]
+        # an empty snapshot has no row to be found by; starting from the first one is then just as right
+        upto = snapshots.where(F.col("upto") < batch_id).agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
         since = self._read("maxima", "batch_id").where((F.col("batch_id") > upto) & (F.col("batch_id") < batch_id))
         known = snapshots.where(F.col("upto") == upto).drop("upto").unionByName(since.drop("batch_id"))
         return known.groupBy(*KEYS).agg(F.max("latest_date").alias("latest_date"))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from flowtide.workload.registry import QUERIES, Query
 
-_MODULES = ("positions", "networks")
+_MODULES = ("positions", "networks", "dashboards", "ingestion")
 
 
 def all_queries() -> dict[str, Query]:

@@ -158,23 +158,23 @@ def _(t):
 @query(
     "similarity_matches_documents",
     with_ctes(
-        _best(0.1),
+        _best(0.2),
         **_similarity_sql(
-            """select distinct 'token' kind, p_name doc, p_name text from part union all
+            """select distinct 'token' kind, text doc, text from benchmark union all
                select 'protocol', cast(doc_id as varchar), text from documents""",
             "select cast(doc_id as varchar) id, source as name, cast(n_chars as double) total_tvls from documents",
         ),
     ),
 )
 def _(t):
-    tokens = t.raw("part").select(F.col("p_name").alias("token_name")).distinct()
+    tokens = t.raw("benchmark").select(F.col("text").alias("token_name")).distinct()
     texts = t.raw("documents").select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("source").alias("name"),
         "text",
         F.col("n_chars").cast("double").alias("total_tvls"),
     )
-    return similarity.similarity_matches(tokens, texts, 0.1, ["text"])
+    return similarity.similarity_matches(tokens, texts, 0.2, ["text"])
 
 
 def network_sql(period: bool = False, owners: str = "owners") -> dict[str, str]:
