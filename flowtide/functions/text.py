@@ -19,3 +19,4 @@ def joined_text(schema: StructType, columns: list[str] | None = None) -> Column:
     names = columns or [f.name for f in schema if isinstance(f.dataType, StringType)]
     cells = [F.coalesce(F.when(F.col(n) != "None", F.col(n)), F.lit("")) for n in names]
     return F.concat_ws(" ", *cells)
+

@@ -15,15 +15,19 @@ from pyspark.sql import functions as F
 
 from flowtide.functions.text import joined_text, terms
 from flowtide.plans.skew import salted_join
+from flowtide.session import ensure_checkpoints
 
 # keeps pairs whose score equals the threshold up to rounding among the candidates
 _SLACK = 1e-9
 
 
-def term_weights(documents: DataFrame) -> DataFrame:
-    """Unit TF-IDF vectors ``kind, doc, term, weight, df`` of ``(kind, doc, text)``.
+def token_vectors(documents: DataFrame) -> DataFrame:
+    """Unit TF-IDF vectors of ``(kind, doc, text)``, cut to the terms some token has.
 
-    Raw term counts times ``ln((1 + n) / (1 + df)) + 1``, scaled to L2 norm 1.
+    Returns ``kind, doc, term, weight, suffix``. Weights are raw term counts times
+    ``ln((1 + n) / (1 + df)) + 1`` over the L2 norm of the whole text; terms outside the tokens' vocabulary
+    count for the norm but can add nothing to a score. ``suffix`` is the squared norm of the term and all
+    more frequent ones of the same document.
     """
     counts = (
         documents.select("kind", "doc", F.explode(terms(F.col("text"))).alias("term"))
@@ -32,24 +36,22 @@ def term_weights(documents: DataFrame) -> DataFrame:
     )
     total = documents.agg(F.count("*").alias("n")).select("n").scalar()
     idf = F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.col("df"))) + 1
+    # reading tf here lets both uses of `counts` share one shuffle
     frequencies = (
-        counts.groupBy("term").agg(F.count("*").alias("df")).select("term", "df", idf.alias("idf"))
+        counts.groupBy("term")
+        .agg(F.sum(F.signum("tf")).alias("df"), F.max(F.col("kind") == "token").alias("in_tokens"))
+        .select("term", "df", "in_tokens", idf.alias("idf"))
     )
-    raw = salted_join(counts, frequencies, ["term"], ["kind", "doc"], "inner").select(
-        "kind", "doc", "term", "df", (F.col("tf") * F.col("idf")).alias("raw")
+    raw = salted_join(counts, frequencies, ["term"], ["kind", "doc"], "inner").withColumn(
+        "raw", F.col("tf") * F.col("idf")
     )
     # one group is the distinct terms of one text, which was a single cell before
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("kind", "doc")))
-    return raw.select("kind", "doc", "term", (F.col("raw") / norm).alias("weight"), "df")
-
-
-def _prefixes(weights: DataFrame, threshold: float) -> DataFrame:
-    rare_first = W.partitionBy("kind", "doc").orderBy("df", "term")
-    rest = rare_first.rowsBetween(W.currentRow, W.unboundedFollowing)
+    by_document = W.partitionBy("kind", "doc")
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(by_document))
+    weighted = raw.withColumn("weight", F.col("raw") / norm).where("in_tokens")
+    rest = by_document.orderBy("df", "term").rowsBetween(W.currentRow, W.unboundedFollowing)
     suffix = F.sum(F.col("weight") * F.col("weight")).over(rest)
-    return weights.withColumn("_suffix", suffix).where(
-        F.col("_suffix") >= threshold * threshold - _SLACK
-    )
+    return weighted.select("kind", "doc", "term", "weight", suffix.alias("suffix"))
 
 
 def similarity_matches(
@@ -67,22 +69,31 @@ def similarity_matches(
     )
     texts = joined_text(protocols.schema, text_columns)
     protocol_docs = protocols.select(F.lit("protocol").alias("kind"), F.col("id").alias("doc"), texts.alias("text"))
-    weights = term_weights(token_docs.unionByName(protocol_docs))
+    ensure_checkpoints(tokens.sparkSession)
+    # read four times below, so written once
+    vectors = token_vectors(token_docs.unionByName(protocol_docs)).checkpoint()
 
-    prefixes = _prefixes(weights, threshold)
-    left = prefixes.where(F.col("kind") == "token").select(F.col("doc").alias("token_name"), "term")
-    right = prefixes.where(F.col("kind") == "protocol").select(F.col("doc").alias("id"), "term")
-    candidates = salted_join(left, right, ["term"], ["token_name"], "inner").select("token_name", "id").distinct()
+    def side(kind: str, key: str) -> DataFrame:
+        return vectors.where(F.col("kind") == kind).select(
+            F.col("doc").alias(key), "term", F.col("weight").alias(f"{kind}_weight"), "suffix"
+        )
 
-    token_terms = weights.where(F.col("kind") == "token").select(
-        F.col("doc").alias("token_name"), "term", F.col("weight").alias("token_weight")
-    )
-    protocol_terms = weights.where(F.col("kind") == "protocol").select(
-        F.col("doc").alias("id"), "term", F.col("weight").alias("protocol_weight")
+    token_terms, protocol_terms = side("token", "token_name"), side("protocol", "id")
+    in_prefix = F.col("suffix") >= threshold * threshold - _SLACK
+    candidates = (
+        salted_join(
+            token_terms.where(in_prefix).select("token_name", "term"),
+            protocol_terms.where(in_prefix).select("id", "term"),
+            ["term"],
+            ["token_name"],
+            "inner",
+        )
+        .select("token_name", "id")
+        .distinct()
     )
     scores = (
-        candidates.join(token_terms, "token_name")
-        .join(protocol_terms, ["id", "term"])
+        candidates.join(token_terms.drop("suffix"), "token_name")
+        .join(protocol_terms.drop("suffix"), ["id", "term"])
         .groupBy("token_name", "id")
         .agg(F.sum(F.col("token_weight") * F.col("protocol_weight")).alias("score"))
         .where(F.col("score") >= threshold)

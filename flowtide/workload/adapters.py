@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +19,12 @@ def _epoch(column: str):
 class Tables:
     spark: SparkSession
     folder: str
+    _raw: dict[str, DataFrame] = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     def _positions(self, token) -> DataFrame:
         chain = F.when(F.col("l_returnflag") == "R", F.concat("l_linestatus", F.lit("-borrowed")))
@@ -90,13 +93,13 @@ class Tables:
 
     @cached_property
     def primary_map(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [("PROMO", "Supplier#000000005")], "token_name string, protocol_name string"
+        return self.spark.range(1).select(
+            F.lit("PROMO").alias("token_name"), F.lit("Supplier#000000005").alias("protocol_name")
         )
 
     @cached_property
     def mapping(self) -> Mapping:
-        return update_mapping(self.facts, self.protocols, self.category_map, self.primary_map)
+        return update_mapping(self.positions, self.protocols, self.category_map, self.primary_map)
 
     @cached_property
     def pools(self) -> DataFrame:

@@ -39,7 +39,7 @@ def _mapping_sql(facts: str) -> dict[str, str]:
     }
 
 
-_RULES = _mapping_sql("facts")
+_RULES = _mapping_sql("positions")
 _TAGGED = _mapping_sql("tagged_facts")
 
 
@@ -158,7 +158,7 @@ def _(t):
 @query(
     "similarity_matches_documents",
     with_ctes(
-        _best(0.2),
+        _best(0.4),
         **_similarity_sql(
             """select distinct 'token' kind, text doc, text from benchmark union all
                select 'protocol', cast(doc_id as varchar), text from documents""",
@@ -174,7 +174,7 @@ def _(t):
         "text",
         F.col("n_chars").cast("double").alias("total_tvls"),
     )
-    return similarity.similarity_matches(tokens, texts, 0.2, ["text"])
+    return similarity.similarity_matches(tokens, texts, 0.4, ["text"])
 
 
 def network_sql(period: bool = False, owners: str = "owners") -> dict[str, str]:
