@@ -27,56 +27,43 @@ def _arcs(weights: DataFrame) -> DataFrame:
     )
 
 
-def label_propagation(weights: DataFrame, max_iter: int = 20, self_vote: float = 0.5) -> DataFrame:
+def label_propagation(weights: DataFrame, max_iter: int = 30) -> DataFrame:
     """``time, node, community`` of the weighted edges ``time, source, target, weight``.
 
-    In every round a node takes the label with the largest edge weight among its neighbours. Its own
-    label gets ``self_vote`` times its strength on top, which damps the oscillation of synchronous
-    updates; ties keep the own label, then go to the smallest. Rounds end when nothing changes. Each round
+    A node prefers the label with the largest edge weight among its neighbours; ties keep the own label,
+    then go to the smallest. In every round a hashed half of the nodes takes its preference, since two groups
+    that all move at once can swap labels forever. Rounds end when every node has what it prefers. Each round
     is cut off by a checkpoint in the cluster's shared folder, so a lost executor never replays
     earlier rounds. A hub's votes are combined map-side and its label is salted over the joins.
     """
     ensure_checkpoints(weights.sparkSession)
-    nodes = weights.select("time", F.explode(F.array("source", "target")).alias("node")).where(
-        F.col("node").isNotNull()
-    )
     arcs = _arcs(weights).checkpoint()
-    strengths = arcs.groupBy("time", "node").agg(F.sum("weight").alias("strength"))
-    labels = (
-        nodes.distinct()
-        .join(strengths, ["time", "node"], "left")
-        .select(
-            "time",
-            "node",
-            (F.coalesce("strength", F.lit(0.0)) * self_vote).alias("own_weight"),
-            F.col("node").alias("label"),
-        )
-        .checkpoint()
-    )
-    for _ in range(max_iter):
+    nodes = weights.select("time", F.explode(F.array("source", "target")).alias("node"))
+    labels = nodes.dropna().distinct().select("time", "node", F.col("node").alias("label")).checkpoint()
+    for turn in range(max_iter):
         known = labels.select("time", F.col("node").alias("other"), "label")
         heard = salted_join(arcs, known, ["time", "other"], ["node"], "inner").select(
-            "time", "node", "label", "weight", F.lit(None).cast("double").alias("own_weight")
+            "time", "node", "label", "weight", F.lit(False).alias("own")
         )
-        own = labels.select("time", "node", "label", F.col("own_weight").alias("weight"), "own_weight")
+        own = labels.select("time", "node", "label", F.lit(0.0).alias("weight"), F.lit(True).alias("own"))
         tally = (
             heard.unionByName(own)
             .groupBy("time", "node", "label")
             # rounding makes votes equal that differ only by the order of their summation
-            .agg(F.round(F.sum("weight"), 9).alias("votes"), F.max("own_weight").alias("own_weight"))
+            .agg(F.round(F.sum("weight"), 9).alias("votes"), F.max("own").alias("own"))
         )
-        is_other = F.col("own_weight").isNull()
-        order = F.struct(-F.col("votes"), is_other, "label")
-        labels = (
-            tally.groupBy("time", "node")
-            .agg(
-                F.max("own_weight").alias("own_weight"),
-                F.min_by(F.struct("label", is_other.alias("changed")), order).alias("best"),
-            )
-            .select("time", "node", "own_weight", "best.label", "best.changed")
-            .checkpoint()
+        preference = F.min_by(F.struct("label", "own"), F.struct(-F.col("votes"), ~F.col("own"), "label"))
+        choices = tally.groupBy("time", "node").agg(
+            F.max(F.when(F.col("own"), F.col("label"))).alias("current"), preference.alias("best")
         )
-        if labels.where("changed").isEmpty():
+        moves = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+        labels = choices.select(
+            "time",
+            "node",
+            F.when(moves, F.col("best.label")).otherwise(F.col("current")).alias("label"),
+            (~F.col("best.own")).alias("unsettled"),
+        ).checkpoint()
+        if labels.where("unsettled").isEmpty():
             break
     return labels.select("time", "node", F.col("label").alias("community"))
 
