@@ -10,6 +10,7 @@ def spark():
         **{
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -33,7 +33,7 @@ def plan(df) -> str:
 
 
 def shuffles(text: str) -> int:
-    return len(re.findall(r"Exchange (hash|range|single)", text, re.IGNORECASE))
+    return len(re.findall(r"(?<!Broadcast)Exchange (?:hashpartitioning|rangepartitioning|Single)", text))
 
 
 def test_compare_periods_is_one_shuffle_with_pushed_dates(stored):
