@@ -7,16 +7,22 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowtide.plans.skew import salted_join
+
 # beyond this many literals an IN list is slower to plan than a join
 MAX_IN_LIST = 1_000
+# ids of a list that is still sent to every executor
+MAX_BROADCAST_IDS = 100_000
 
 
 def facts_of_protocols(facts: DataFrame, ids: Iterable[str]) -> DataFrame:
-    wanted = list(ids)
+    wanted = set(ids)
     if len(wanted) <= MAX_IN_LIST:
-        return facts.where(F.col("id").isin(wanted))
-    table = facts.sparkSession.createDataFrame([(i,) for i in set(wanted)], "id string")
-    return facts.join(table, "id", "left_semi")
+        return facts.where(F.col("id").isin(list(wanted)))
+    table = facts.sparkSession.createDataFrame([(i,) for i in wanted], "id string")
+    if len(wanted) <= MAX_BROADCAST_IDS:
+        return facts.join(F.broadcast(table), "id", "left_semi")
+    return salted_join(facts, table, ["id"], ["chain_name", "date", "token_name"], "left_semi").select(*facts.columns)
 
 
 def protocol_info(protocols: DataFrame, identifier: str | Iterable[str | None]) -> DataFrame:
@@ -62,13 +68,17 @@ def first_protocol_slugs(protocols: DataFrame, limit: int | None = None, desc: b
 
 
 def category_map_frame(spark: SparkSession, mapping: Mapping[str, Iterable[str]]) -> DataFrame:
-    """``{broad: [detailed, …]}`` as a table; the last broad name given for a detailed one counts."""
+    """``{broad: [detailed, …]}`` as a table; the last broad name given for a detailed one counts.
+
+    Written by hand in a configuration, it is small enough to be broadcast.
+    """
     broad_of = {detailed: broad for broad, names in mapping.items() for detailed in names}
-    return spark.createDataFrame([(b, d) for d, b in broad_of.items()], "broad string, detailed string")
+    return F.broadcast(spark.createDataFrame([(b, d) for d, b in broad_of.items()], "broad string, detailed string"))
 
 
 def category_to_type(df: DataFrame, category_map: DataFrame) -> DataFrame:
     """Overwrite ``type`` by the broad category; unmapped becomes ``Unknown`` but NULL stays NULL."""
     lookup = category_map.select(F.col("detailed").alias("category"), F.col("broad").alias("_broad"))
     broad = F.when(F.col("category").isNotNull(), F.coalesce("_broad", F.lit("Unknown")))
-    return df.join(lookup, "category", "left").withColumn("type", broad).select(*df.columns)
+    spread_by = [c for c in df.columns if c not in ("category", "type")]
+    return salted_join(df, lookup, ["category"], spread_by).withColumn("type", broad).select(*df.columns)

@@ -6,10 +6,11 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.operators.aggregates import tvl_on_days
+from flowtide.plans.running import with_running_totals
+from flowtide.plans.skew import salted_join
 
 
 def global_series(positions: DataFrame, ordered: bool = True) -> DataFrame:
@@ -36,20 +37,20 @@ def top_shares(facts: DataFrame, protocols: DataFrame, days: Iterable[str | date
     Largest first within a year, ties by id and name; ``protocol_amount`` is the zero-based rank.
     """
     totals = tvl_on_days(facts, protocols, days).withColumn("year", F.year("day").cast("string"))
-    year = W.partitionBy("year")
-    largest_first = year.orderBy(F.desc_nulls_last("total_usd_value"), "id", "name")
-    running = F.sum("total_usd_value").over(largest_first.rowsBetween(W.unboundedPreceding, W.currentRow))
-    whole = F.sum("total_usd_value").over(year)
-    return totals.select(
+    largest_first = [F.desc_nulls_last("total_usd_value"), F.asc("id"), F.asc_nulls_last("name")]
+    ranked = with_running_totals(totals, "year", largest_first, "total_usd_value")
+    cumulative = F.try_divide("running_total", "group_total")
+    individual = F.try_divide("total_usd_value", "group_total")
+    return ranked.select(
         "id",
         "name",
         "total_usd_value",
-        F.try_divide(running, whole).alias("cumulative_share"),
-        F.try_divide(F.col("total_usd_value"), whole).alias("individual_share"),
-        (F.try_divide(running, whole) * 100).alias("cumulative_share_percentage"),
-        (F.try_divide(F.col("total_usd_value"), whole) * 100).alias("individual_share_percentage"),
+        cumulative.alias("cumulative_share"),
+        individual.alias("individual_share"),
+        (cumulative * 100).alias("cumulative_share_percentage"),
+        (individual * 100).alias("individual_share_percentage"),
         "year",
-        (F.row_number().over(largest_first) - 1).alias("protocol_amount"),
+        (F.col("row_number") - 1).alias("protocol_amount"),
     )
 
 
@@ -60,8 +61,8 @@ def threshold_labels(shares: DataFrame, percentage: float = 90) -> DataFrame:
         F.coalesce(F.sum(F.col("is_below_threshold").cast("bigint")), F.lit(0)).alias("below_threshold"),
         F.count("is_below_threshold").alias("total"),
     )
-    label = F.concat("year", F.lit(" ("), F.col("below_threshold").cast("string"), F.lit("/"), F.col("total").cast("string"), F.lit(")"))
-    return flagged.join(summary.withColumn("legend_label", label), "year", "left")
+    label = F.format_string("%s (%d/%d)", "year", "below_threshold", "total")
+    return salted_join(flagged, summary.withColumn("legend_label", label), ["year"], ["id", "name"])
 
 
 def treemap(shares: DataFrame) -> DataFrame:

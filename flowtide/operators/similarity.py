@@ -92,7 +92,7 @@ def similarity_matches(
         .distinct()
     )
     scores = (
-        candidates.join(token_terms.drop("suffix"), "token_name")
+        salted_join(candidates, token_terms.drop("suffix"), ["token_name"], ["id"], "inner")
         .join(protocol_terms.drop("suffix"), ["id", "term"])
         .groupBy("token_name", "id")
         .agg(F.sum(F.col("token_weight") * F.col("protocol_weight")).alias("score"))

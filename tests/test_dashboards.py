@@ -2,8 +2,11 @@ from datetime import date, datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from flowtide.operators import balance, pools, sectors, shares
+from flowtide.plans.running import with_running_totals
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
@@ -75,6 +78,20 @@ def test_shares_and_labels(spark):
     assert tree[(0, None, None)] == tree[(1, "2024", None)] == 100.0 and tree[(2, "2024", "P1")] == 30.0
 
 
+def test_running_totals_over_many_slices_equal_one_window(spark):
+    data = spark.range(2_000).selectExpr("cast(id % 2 as string) g", "id k", "cast(if(id % 3 = 0, 0, id % 97) as double) v")
+    got = with_running_totals(data, "g", [F.desc("v"), F.asc("k")], "v")
+    whole = W.partitionBy("g").orderBy(F.desc("v"), "k")
+    expected = data.withColumns(
+        {
+            "row_number": F.row_number().over(whole),
+            "running_total": F.sum("v").over(whole.rowsBetween(W.unboundedPreceding, 0)),
+            "group_total": F.sum("v").over(W.partitionBy("g")),
+        }
+    )
+    assert rows(got) == rows(expected)
+
+
 def test_pools_outside_the_band_are_left_out(spark):
     data = [("p", date(2024, 1, 1 + 7 * w), "T", "U", 10.0 + w) for w in range(4)]
     data += [("q", date(2024, 1, 2), "T", "V", 10_000.0), ("r", date(2024, 1, 3), "T", "W", 9.0)]
