@@ -22,7 +22,10 @@ def salted_join(
     recomputed task sends its rows to the same places. Where the planner finds ``small`` below
     the broadcast threshold it still broadcasts it, and nothing is shuffled at all.
     """
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int"))
+    if buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two")
+    # unlike a remainder, a bit mask is never NULL, so no null check on it is pushed down to the rows below
+    salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(buckets - 1).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     if not null_safe:
         return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
