@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowtide.llm import hyperlang, poisson_mix, unigram
+from flowtide.llm.queries import held_out
 from flowtide.llm.recompression import without_repeats
 from flowtide.llm.simhash import keep_one_per_group
 from flowtide.llm.storage import stored
@@ -11,6 +13,14 @@ from flowtide.llm.storage import stored
 #: SQL can express neither the language model nor the connected components.
 ORACLE_SQL = None
 
+#: A text whose letters are this far from every learned language is not text.
+MIN_LANGUAGE_SCORE = 0.2
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or unlike every learned language, go."""
+    return hyperlang.accepted(docs, hyperlang.train(docs, ~held_out()), MIN_LANGUAGE_SCORE)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every SimHash group stays: 3-word shingles, at most 3 differing bits."""
@@ -22,9 +32,22 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without_repeats(docs, window=35)
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn with replacement to weights that are the square roots of the sources' sizes."""
+    return poisson_mix.mix(docs, seed="mix").select(*[f"`{c}`" for c in docs.columns])
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its pieces; ``round_trip`` says that decoding gives the text back."""
+    return unigram.encoded(docs, unigram.load_model())
+
+
 STAGES = [
+    ("language id", language),
     ("simhash near-dedup", near_duplicates),
     ("substring dedup", substring_dedup),
+    ("mixing sources", mixture),
+    ("unigram tokens", tokens),
 ]
 
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.llm import recompression, simhash
+from flowtide.llm import (
+    hyperlang,
+    line_crf,
+    merkle_audit,
+    norm_topk,
+    poisson_mix,
+    preferences,
+    recompression,
+    simhash,
+    unigram,
+    weak_toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,3 +49,181 @@ def _(spark, folder):
     """Fingerprint and group of every document."""
     groups = simhash.simhash_groups(table(spark, folder, "documents"), shingle=3, max_bits=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def held_out(column: str = "doc_id"):
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2
+
+
+@query("op3_weak_toxicity")
+def _(spark, folder):
+    """Toxicity score of every document, from labels outside the held-out quarter."""
+    docs = table(spark, folder, "documents")
+    model = weak_toxicity.train(docs, table(spark, folder, "labels"), ~held_out())
+    scored = weak_toxicity.score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op7_hyperdimensional_language")
+def _(spark, folder):
+    """Language of every document, from documents outside the held-out quarter."""
+    docs = table(spark, folder, "documents")
+    model = hyperlang.train(docs, ~held_out())
+    return hyperlang.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_line_crf_quality")
+def _(spark, folder):
+    """Counts, base rules and the verdict of the line labels for every document."""
+    docs = table(spark, folder, "documents")
+    field = line_crf.train_field(docs, table(spark, folder, "labels"))
+    return line_crf.quality_report(docs, field)
+
+
+_PREFERENCES_SQL = """
+with base as (
+  select distinct conv_id pair_id, turn, coalesce(role, '') "role", replace(coalesce(text, ''), '<|im_', '< |im_') t
+  from conversations where conv_id is not null),
+last as (
+  select pair_id, max(turn) last from base where "role" = 'assistant' group by 1),
+answers as (
+  select b.pair_id, l.last, max(t) lent from base b join last l on b.pair_id = l.pair_id and b.turn = l.last
+  where "role" = 'assistant' group by 1, 2),
+swapped as (
+  select distinct b.pair_id, b.turn, b."role",
+         case when b."role" = 'assistant' and b.turn = m.last and n.lent is not null then n.lent else b.t end t
+  from base b left join answers m on b.pair_id = m.pair_id left join answers n on n.pair_id = xor(b.pair_id, 1)),
+sides as (
+  select 'c' side, *, row_number() over (partition by pair_id order by turn nulls first, "role", t) pos from base
+  union all
+  select 'r', *, row_number() over (partition by pair_id order by turn nulls first, "role", t) from swapped),
+matched as (
+  select pair_id, pos, count(*) = 2 and min("role") = max("role") and min(t) = max(t) same from sides group by 1, 2),
+shared as (
+  select pair_id, coalesce(min(pos) filter (where not same) - 1, max(pos)) n from matched group by 1),
+parts as (
+  select side, s.pair_id, pos, n, "role",
+         '<|im_start|>' || "role" || chr(10) head, t || '<|im_end|>' || chr(10) body
+  from sides s join shared h on s.pair_id = h.pair_id),
+placed as (
+  select *, coalesce(sum(length(head) + length(body)) over (partition by pair_id, side, pos > n order by pos
+            rows between unbounded preceding and 1 preceding), 0) start_at from parts)
+select pair_id, any_value(n)::int prompt_turns,
+       coalesce(string_agg(head || body, '' order by pos) filter (where side = 'c' and pos <= n), '') prompt,
+       coalesce(string_agg(head || body, '' order by pos) filter (where side = 'c' and pos > n), '') chosen,
+       coalesce(string_agg(head || body, '' order by pos) filter (where side = 'r' and pos > n), '') rejected,
+       coalesce(string_agg((start_at + length(head))::bigint || ':' || (start_at + length(head) + length(body) - 1)::bigint, ','
+                order by pos) filter (where side = 'c' and pos > n and "role" = 'assistant'), '') chosen_spans,
+       coalesce(string_agg((start_at + length(head))::bigint || ':' || (start_at + length(head) + length(body) - 1)::bigint, ','
+                order by pos) filter (where side = 'r' and pos > n and "role" = 'assistant'), '') rejected_spans
+from placed group by pair_id
+"""
+
+
+@query("op1_preference_format", _PREFERENCES_SQL)
+def _(spark, folder):
+    """Every conversation against itself with a neighbour's last answer."""
+    pairs = preferences.format_preferences(*preferences.swapped_answers(table(spark, folder, "conversations")))
+    spans = {
+        c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+        for c in ("chosen_spans", "rejected_spans")
+    }
+    return pairs.withColumns(spans)
+
+
+_TOP_K_SQL = """
+with v as (
+  select distinct vec_id::bigint vec_id, [floor(256 * x::double) for x in embedding] e from embeddings
+  where vec_id is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+s as (
+  select q.vec_id query_id, c.vec_id, max(list_inner_product(q.e, c.e))::bigint score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0 group by 1, 2),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int "rank" from s)
+select query_id, "rank", vec_id, score from r where "rank" <= 5
+"""
+
+
+@query("op2_norm_topk", _TOP_K_SQL)
+def _(spark, folder):
+    """The five best inner products of every fiftieth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return norm_topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+_MIX_SQL = """
+with counts as (select source, count(*) n from documents group by 1),
+rates as (
+  select source, n, sqrt(n) * (select sum(n) from counts) / (select sum(sqrt(n)) from counts) / n rate from counts),
+parts as (
+  select source, rate, greatest(ceil(rate / 32), 1)::int parts, unnest(range(greatest(ceil(rate / 32), 1)::int)) part from rates),
+terms as (
+  select source, part, rate / parts mean, unnest(range((ceil(rate / parts * 3 + 40))::int + 1)) k, parts from parts),
+cdf as (
+  select source, part, k,
+         sum(exp(k * ln(mean) - mean - lgamma(k + 1))) over (partition by source, part order by k) f from terms),
+drawn as (
+  select d.*, p.part, ('0x' || substr(md5('mix/' || coalesce(d.doc_id::varchar, '') || '/' || p.part), 1, 13))::bigint
+         / 4503599627370496.0 u
+  from documents d join parts p on d.source is not distinct from p.source),
+kept as (
+  select d.doc_id, d.text, d.lang, d.source, d.n_chars, d.part, count(*) filter (where c.f <= d.u) copies
+  from drawn d join cdf c on d.source is not distinct from c.source and d.part = c.part group by all),
+copied as (select *, part * 100000 + unnest(range(copies)) copy from kept where copies > 0)
+select doc_id, text, lang, source, n_chars, copy::bigint copy,
+       ('0x' || substr(md5('mix-order/' || coalesce(doc_id::varchar, '') || '/' || copy), 1, 13))::bigint order_key
+from copied
+"""
+
+
+@query("op4_poisson_mix", _MIX_SQL)
+def _(spark, folder):
+    """All documents, replicated to weights that are the square roots of the sources' sizes, in random order."""
+    mixed = poisson_mix.mix(table(spark, folder, "documents"), seed="mix")
+    order = (F.col("_order") * float(1 << 52)).cast("bigint")
+    return mixed.select("doc_id", "text", "lang", "source", "n_chars", F.col("_copy").alias("copy"), order.alias("order_key"))
+
+
+@query("op5_unigram_tokens")
+def _(spark, folder):
+    """Pieces of every document, and whether decoding gives the text back."""
+    return unigram.token_report(table(spark, folder, "documents"), unigram.load_model())
+
+
+def damaged(records: DataFrame) -> DataFrame:
+    """A replica with damage by rule: flipped characters, lost records, records written twice."""
+    broken = F.concat(F.substring("payload", 1, 40), F.lit("?"), F.expr("substring(payload, 42)"))
+    kept = records.where("page_id % 211 <> 3")
+    kept = kept.withColumn("payload", F.when(F.col("page_id") % 101 == 7, broken).otherwise(F.col("payload")))
+    return kept.withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(F.col("page_id") % 307 == 5, 2).otherwise(1)))).drop("_n")
+
+
+_AUDIT_SQL = """
+with p as (select distinct page_id, coalesce(url, '') url, coalesce(html, '') html from pages where page_id is not null),
+made as (
+  select page_id, floor(page_id / 512)::bigint file,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+         || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
+         || html || chr(13) || chr(10) || chr(13) || chr(10) payload from p),
+a as (
+  select *, coalesce(sum(strlen(payload)) over (partition by file order by page_id, payload
+            rows between unbounded preceding and 1 preceding), 0)::bigint "offset" from made),
+b as (
+  select file, "offset", case when page_id % 101 = 7 then substr(payload, 1, 40) || '?' || substr(payload, 42) else payload end payload,
+         unnest(range(case when page_id % 307 = 5 then 2 else 1 end)) again
+  from a where page_id % 211 <> 3),
+x as (select file, "offset", strlen(payload)::bigint n, sha256(payload) h, count(*) c from a group by all),
+y as (select file, "offset", strlen(payload)::bigint n, sha256(payload) h, count(*) c from b group by all)
+select coalesce(x.file, y.file) file, coalesce(x."offset", y."offset") "offset", x.n length_left, y.n length_right,
+       x.h hash_left, y.h hash_right,
+       case when y.h is null then 'missing' when x.h is null then 'extra' when x.h <> y.h then 'changed' else 'repeated' end kind
+from x full join y on x.file = y.file and x."offset" = y."offset"
+where x.h is distinct from y.h or x.c <> y.c
+"""
+
+
+@query("op8_merkle_audit", _AUDIT_SQL)
+def _(spark, folder):
+    """Damage of a replica of all pages, written as WARC records, found from the roots down."""
+    records = merkle_audit.warc_records(table(spark, folder, "pages"))
+    return merkle_audit.audit(records, damaged(records))

@@ -49,12 +49,21 @@ class Powers:
 _POWERS = Powers(_BASE)
 
 
+class Spans:
+    """Hashes of any slices of an array; each depends on the values in its slice only."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = _POWERS.upto(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        inside = (self.sums[ends] - self.sums[starts]) * self.down[starts]
+        return mix(inside + (ends - starts).astype(np.uint64))
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each ``values[start:end]``; it depends on these values only."""
-    up, down = _POWERS.upto(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return Spans(values).hashes(starts, ends)
 
 
 class Words(NamedTuple):
@@ -65,8 +74,12 @@ class Words(NamedTuple):
     doc: np.ndarray  # text number of each word
     first: np.ndarray  # number of the first word of each text, and the total
 
+    def spans(self) -> Spans:
+        """For hashes of any ranges of bytes."""
+        return Spans(_TABLE[self.data])
+
     def hashes(self) -> np.ndarray:
-        return span_hashes(_TABLE[self.data], self.starts, self.ends)
+        return self.spans().hashes(self.starts, self.ends)
 
     def per_doc(self, per_word: np.ndarray) -> np.ndarray:
         """Sums of a value per word, by text."""
