@@ -13,7 +13,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtide.llm.components import components
@@ -64,35 +64,73 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _masks(*sets: tuple[int, ...]):
+def _masks(sets) -> Column:
     return F.lit(np.array([_signed(sum(1 << b for b in bits)) for bits in sets], np.int64))
 
 
-SINGLES = [(b,) for b in range(64)]
-PAIRS = [p for half in (range(32), range(32, 64)) for p in combinations(half, 2)]
+#: A variant is dealt out by the half that the larger ball leaves alone: side 0 keeps the upper half, side 1 the lower.
+_LOWER, _UPPER = range(32), range(32, 64)
+_KEPT, _FREE = (_UPPER, _LOWER), (_LOWER, _UPPER)
 
 
-def _variants(prints: DataFrame, masks) -> DataFrame:
-    flips = prints.select("fingerprint", F.explode(masks).alias("mask"))
-    return flips.select(F.col("fingerprint").bitwiseXOR(F.col("mask")).alias("variant"), "fingerprint")
+def _half(word: Column, side: int) -> Column:
+    return F.shiftrightunsigned(word, 32) if side == 0 else word.bitwiseAND(F.lit((1 << 32) - 1))
+
+
+def _seeds(prints: DataFrame, side: int, kind: str) -> DataFrame:
+    """(side, half, base, fingerprint, kind): what a task needs to spell a ball out behind the shuffle.
+
+    ``one`` are single flips in the kept half, each with a half of its own; ``other`` stands for all single flips in the free half,
+    ``wide`` for the fingerprint itself and all pairs of flips in the free half.
+    """
+    fp = F.col("fingerprint")
+    if kind == "one":
+        prints = prints.withColumn("mask", F.explode(_masks([(b,) for b in _KEPT[side]])))
+        base = fp.bitwiseXOR(F.col("mask"))
+    else:
+        base = fp
+    return prints.select(F.lit(side).alias("side"), _half(base, side).alias("half"), base.alias("base"), "fingerprint", F.lit(kind).alias("kind"))
+
+
+def _spelled(seeds: DataFrame, wide: bool) -> DataFrame:
+    """(side, half, variant, fingerprint) of all seeds."""
+    def free(size: int) -> list[Column]:
+        return [_masks(combinations(_FREE[side], size)) for side in (0, 1)]
+
+    side = F.col("side")
+    none = F.array(F.lit(0).cast("bigint"))
+    single = F.when(side == 0, free(1)[0]).otherwise(free(1)[1])
+    pairs = F.when(side == 0, F.concat(none, free(2)[0])).otherwise(free(2)[1]) if wide else none
+    masks = F.when(F.col("kind") == "one", none).when(F.col("kind") == "other", single).otherwise(pairs)
+    flips = seeds.select("side", "half", "base", "fingerprint", F.explode(masks).alias("mask"))
+    return flips.select("side", "half", F.col("base").bitwiseXOR(F.col("mask")).alias("variant"), "fingerprint")
 
 
 def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     """Links (u, v) between distinct fingerprints that give the same groups as all pairs within ``max_bits``.
 
     The members of a variant are linked to its smallest single-flip member, not to each other: a variant with
-    very many members makes as many links. Every link is verified by its bit distance.
+    very many members makes as many links. Every link is verified by its bit distance. All variants of a ball that share the
+    half it leaves alone go through the shuffle as one row and are spelled out behind it.
     """
     if max_bits not in (2, 3):
         raise ValueError("max_bits must be 2 or 3")
+    spark = prints.sparkSession
+    # rows that are dealt out by (side, half) need no second shuffle to be joined by (side, half, variant)
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     odd = F.bit_count("fingerprint") % 2 == 1
-    singles = _variants(prints, _masks(*SINGLES))
-    hubs = singles.groupBy("variant").agg(F.min("fingerprint").alias("hub"), F.count("*").alias("members"))
+    singles = _seeds(prints, 0, "one").union(_seeds(prints, 0, "other"))
+    singles = singles.union(_seeds(prints.where(odd), 1, "one")).union(_seeds(prints.where(odd), 1, "other"))
+    wide = _seeds(prints.where(~odd), 0, "wide")
+    if max_bits == 3:
+        wide = wide.union(_seeds(prints.where(~odd), 1, "wide"))
+    first = _spelled(singles.repartition(tasks, "side", "half"), False)
+    hubs = first.groupBy("side", "half", "variant").agg(F.min("fingerprint").alias("hub"), F.count("*").alias("members"))
     # an odd variant has single flips of even fingerprints only: it needs two of them
     hubs = hubs.where((F.bit_count("variant") % 2 == 0) | (F.col("members") > 1)).drop("members")
-    wide = [(), *PAIRS] if max_bits == 3 else [()]
-    emitted = singles.union(_variants(prints.where(~odd), _masks(*wide)))
-    met = emitted.join(hubs.hint("shuffle_hash"), "variant").where("fingerprint <> hub")
+    emitted = _spelled(singles.union(wide).repartition(tasks, "side", "half"), max_bits == 3)
+    met = emitted.join(hubs.hint("shuffle_hash"), ["side", "half", "variant"]).where("fingerprint <> hub")
     close = met.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("hub"))) <= max_bits)
     return close.select(F.col("fingerprint").alias("u"), F.col("hub").alias("v")).distinct()
 
@@ -110,7 +148,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     rooted = marked.join(roots, marked["fingerprint"] == roots["node"], "left").select(
         "doc_id", "row_hash", "fingerprint", F.coalesce("root", "fingerprint").alias("root")
     )
-    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # stored, so that a root with very many documents is a join that Spark can split
+    names = stored(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     return rooted.join(names, "root").select("doc_id", "row_hash", "fingerprint", "component_id")
 
 
