@@ -136,7 +136,7 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """(doc_id, row_hash, fingerprint, component_id) for every document.
+    """(doc_id, row_hash, fingerprint, component_id, root) for every document; ``root`` is the group's smallest fingerprint.
 
     Nulls: a null text is an empty one, and all empty texts share fingerprint zero. A null ``doc_id`` takes part
     but never names a group, unless the group has no other. Repeated rows stay rows of one group. Further
@@ -150,15 +150,17 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     )
     # stored, so that a root with very many documents is a join that Spark can split
     names = stored(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    return rooted.join(names, "root").select("doc_id", "row_hash", "fingerprint", "component_id")
+    return rooted.join(names, "root").select("doc_id", "row_hash", "fingerprint", "component_id", "root")
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each group: the smallest doc_id, then the smallest text hash; all columns stay."""
+    """``docs`` with one document of each group; all columns stay.
+
+    It is the one with the smallest doc_id, then the smallest text hash; one without doc_id stays only if no other has one.
+    """
     groups = stored(simhash_groups(docs, shingle, max_bits))
-    heads = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "row_hash")).alias("head"))
-    loose = groups.where("component_id is null").select("doc_id", "row_hash")
-    heads = heads.where("component_id is not null").select("head.doc_id", "head.row_hash").union(loose).distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_hash")
+    heads = groups.groupBy("root").agg(F.min(order).alias("head")).select("head.doc_id", "head.row_hash")
     heads = heads.toDF("_keep_id", "_keep_hash")
     hashed = docs.withColumn("_row_hash", F.xxhash64("text"))
     on = hashed["doc_id"].eqNullSafe(heads["_keep_id"]) & (hashed["_row_hash"] == heads["_keep_hash"])

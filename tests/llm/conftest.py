@@ -1,0 +1,13 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """Documents from (doc_id, text[, lang[, source]]) rows, with columns whose names clash with those of results."""
+
+    def make(*rows):
+        filled = [(*row, *("en", "s0")[len(row) - 2 :], 0, "score", 1.5)[:7] for row in rows]
+        schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, rank double"
+        return spark.createDataFrame(filled, schema)
+
+    return make
