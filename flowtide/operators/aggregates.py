@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from flowtide.functions.calendar import SECONDS_PER_DAY, as_day, bucket, epoch_seconds, shift, utc_date
 from flowtide.functions.predicates import epoch_range
 from flowtide.operators.lookup import category_to_type
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 
 
 def token_frequency(facts: DataFrame, ordered: bool = True) -> DataFrame:
@@ -55,7 +55,7 @@ def token_distribution_sum(
         .agg(F.sum("quantity").alias("_quantity"), F.sum("value_usd").alias("_value"))
     )
     result = (
-        salted_join(partial, _details(protocols), ["id"], ["aggregated_date", "chain_name"], "inner")
+        skewed_join(partial, _details(protocols), ["id"], "inner")
         .groupBy("aggregated_date", "id", "protocol_name", "category", "type", "chain_name")
         .agg(F.sum("_quantity").alias("total_quantity"), F.sum("_value").alias("total_value_usd"))
     )
@@ -85,7 +85,7 @@ def aggregated_positions(
     details = _details(protocols)
     if protocol_name:
         details = details.where(F.col("protocol_name") == protocol_name)
-        rows = salted_join(rows, details.select("id"), ["id"], ["chain_name", "date", "token_name"], "left_semi")
+        rows = skewed_join(rows, details.select("id"), ["id"], "left_semi")
     partial = (
         _positive(rows)
         .groupBy(bucket(granularity).alias("aggregated_date"), "id", "chain_name", "token_name")
@@ -93,7 +93,7 @@ def aggregated_positions(
     )
     keys = ["aggregated_date", "id", "protocol_name", "category", "type", "chain_name", "token_name"]
     means = (
-        salted_join(partial, details, ["id"], ["aggregated_date", "chain_name", "token_name"], "inner")
+        skewed_join(partial, details, ["id"], "inner")
         .groupBy(*keys)
         .agg(
             (F.sum("_quantity") / F.sum("_rows")).alias("qty"),

@@ -11,14 +11,14 @@ from flowtide.functions.calendar import as_day, bucket, epoch_seconds, shift
 from flowtide.functions.predicates import chain_filter
 from flowtide.plans.first_last import first_last_pairs
 from flowtide.plans.period_windows import assign_windows
-from flowtide.plans.skew import expand_copies, salted_join
+from flowtide.plans.skew import expand_copies, skewed_join
 
 KEYS = ["id", "chain_name", "token_name"]
 
 
 def _with_details(pairs: DataFrame, protocols: DataFrame, period: list[str], first_date: Column) -> DataFrame:
     details = protocols.select("id", F.col("name").alias("protocol_name"), "category", "type")
-    return salted_join(pairs, details, ["id"], ["chain_name", "token_name"], "inner").select(
+    return skewed_join(pairs, details, ["id"], "inner").select(
         "id",
         "protocol_name",
         "category",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 from flowtide.session import ensure_checkpoints
 
 
@@ -27,22 +27,23 @@ def _arcs(weights: DataFrame) -> DataFrame:
     )
 
 
-def label_propagation(weights: DataFrame, max_iter: int = 30) -> DataFrame:
+def label_propagation(weights: DataFrame, max_rounds: int = 500) -> DataFrame:
     """``time, node, community`` of the weighted edges ``time, source, target, weight``.
 
     A node prefers the label with the largest edge weight among its neighbours; ties keep the own label,
     then go to the smallest. In every round a hashed half of the nodes takes its preference, since two groups
-    that all move at once can swap labels forever. Rounds end when every node has what it prefers. Each round
+    that all move at once can swap labels forever. Rounds end when every node has what it prefers; labels that still move
+    after ``max_rounds`` are an error, never a result. Each round
     is cut off by a checkpoint in the cluster's shared folder, so a lost executor never replays
-    earlier rounds. A hub's votes are combined map-side and its label is salted over the joins.
+    earlier rounds. A hub's votes are combined map-side.
     """
     ensure_checkpoints(weights.sparkSession)
     arcs = _arcs(weights).checkpoint()
     nodes = weights.select("time", F.explode(F.array("source", "target")).alias("node"))
     labels = nodes.dropna().distinct().select("time", "node", F.col("node").alias("label")).checkpoint()
-    for turn in range(max_iter):
+    for turn in range(max_rounds):
         known = labels.select("time", F.col("node").alias("other"), "label")
-        heard = salted_join(arcs, known, ["time", "other"], ["node"], "inner").select(
+        heard = skewed_join(arcs, known, ["time", "other"], "inner").select(
             "time", "node", "label", "weight", F.lit(False).alias("own")
         )
         own = labels.select("time", "node", "label", F.lit(0.0).alias("weight"), F.lit(True).alias("own"))
@@ -65,6 +66,8 @@ def label_propagation(weights: DataFrame, max_iter: int = 30) -> DataFrame:
         ).checkpoint()
         if labels.where("unsettled").isEmpty():
             break
+    else:
+        raise RuntimeError(f"labels still move after {max_rounds} rounds")
     return labels.select("time", "node", F.col("label").alias("community"))
 
 
@@ -78,11 +81,10 @@ def partition_quality(weights: DataFrame, labels: DataFrame) -> DataFrame:
     """Coverage and (undirected) modularity of a labelling, per time slice."""
     of_source = labels.select("time", F.col("node").alias("source"), F.col("community").alias("_from"))
     of_target = labels.select("time", F.col("node").alias("target"), F.col("community").alias("_to"))
-    labelled = salted_join(
-        salted_join(weights, of_source, ["time", "source"], ["target"], "inner"),
+    labelled = skewed_join(
+        skewed_join(weights, of_source, ["time", "source"], "inner"),
         of_target,
         ["time", "target"],
-        ["source"],
         "inner",
     )
     inside = F.when(F.col("_from") == F.col("_to"), F.col("weight")).otherwise(F.lit(0.0))

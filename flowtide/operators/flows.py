@@ -15,7 +15,7 @@ def value_flows(changes: DataFrame, token_map: DataFrame) -> DataFrame:
     unknown) change the other way. Opening quantity and value stay with the protocol's side. ``period`` and
     ``copies`` are carried along when present.
     """
-    rows = lookup_tokens(changes, token_map, ["id", "chain_name"])
+    rows = lookup_tokens(changes, token_map)
     falls = F.col("usd_change") < 0
     rises = F.col("usd_change") >= 0
     carried = [c for c in ("period", "copies") if c in changes.columns]

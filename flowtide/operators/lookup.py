@@ -7,22 +7,13 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtide.plans.skew import salted_join
-
-# beyond this many literals an IN list is slower to plan than a join
-MAX_IN_LIST = 1_000
-# ids of a list that is still sent to every executor
-MAX_BROADCAST_IDS = 100_000
+from flowtide.plans.skew import skewed_join
 
 
 def facts_of_protocols(facts: DataFrame, ids: Iterable[str]) -> DataFrame:
-    wanted = set(ids)
-    if len(wanted) <= MAX_IN_LIST:
-        return facts.where(F.col("id").isin(list(wanted)))
-    table = facts.sparkSession.createDataFrame([(i,) for i in wanted], "id string")
-    if len(wanted) <= MAX_BROADCAST_IDS:
-        return facts.join(F.broadcast(table), "id", "left_semi")
-    return salted_join(facts, table, ["id"], ["chain_name", "date", "token_name"], "left_semi").select(*facts.columns)
+    """Facts of the listed protocols; a list of any length is a table of ids."""
+    table = facts.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], "id string")
+    return skewed_join(facts, table, ["id"], "left_semi").select(*facts.columns)
 
 
 def protocol_info(protocols: DataFrame, identifier: str | Iterable[str | None]) -> DataFrame:
@@ -80,5 +71,4 @@ def category_to_type(df: DataFrame, category_map: DataFrame) -> DataFrame:
     """Overwrite ``type`` by the broad category; unmapped becomes ``Unknown`` but NULL stays NULL."""
     lookup = category_map.select(F.col("detailed").alias("category"), F.col("broad").alias("_broad"))
     broad = F.when(F.col("category").isNotNull(), F.coalesce("_broad", F.lit("Unknown")))
-    spread_by = [c for c in df.columns if c not in ("category", "type")]
-    return salted_join(df, lookup, ["category"], spread_by).withColumn("type", broad).select(*df.columns)
+    return skewed_join(df, lookup, ["category"]).withColumn("type", broad).select(*df.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowtide.functions.values import sum_of_map_text
 from flowtide.operators.aggregates import token_frequency
 from flowtide.operators.similarity import similarity_matches
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 
 
 class Mapping(NamedTuple):
@@ -92,16 +92,16 @@ def id_info(protocols: DataFrame, category_map: DataFrame) -> DataFrame:
     )
 
 
-def lookup_tokens(df: DataFrame, token_map: DataFrame, spread_by: list[str]) -> DataFrame:
+def lookup_tokens(df: DataFrame, token_map: DataFrame) -> DataFrame:
     """Add ``token_id``; tokens without a mapping get NULL."""
     owners = token_map.select("token_name", F.col("mapped_id").alias("token_id"))
-    return salted_join(df, owners, ["token_name"], spread_by)
+    return skewed_join(df, owners, ["token_name"])
 
 
-def name_ids(df: DataFrame, info: DataFrame, column: str, spread_by: list[str]) -> DataFrame:
+def name_ids(df: DataFrame, info: DataFrame, column: str) -> DataFrame:
     """Replace an id column by the display name, else the id text, else ``None`` as a text."""
     names = info.select(F.col("id").alias(column), F.col("name").alias("_name"))
-    joined = salted_join(df, names, [column], spread_by)
+    joined = skewed_join(df, names, [column])
     return joined.withColumn(column, F.coalesce("_name", column, F.lit("None"))).select(*df.columns)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from flowtide.operators.changes import historical_changes
 from flowtide.operators.flows import value_flows
 from flowtide.operators.mapping import name_ids
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 
 # sorts before every id, so that an unmapped (NULL) end has a place in the order of a pair
 _NO_NODE = "\u0000"
@@ -107,7 +107,7 @@ def link_composition(flows: DataFrame) -> DataFrame:
     """Flow per token along each link; negative for tokens that move against the net flow."""
     period = _period(flows)
     canonical = canonical_links(flows)
-    both = salted_join(canonical, _net(canonical), [*period, "source", "target"], ["token"], "inner", null_safe=True)
+    both = skewed_join(canonical, _net(canonical), [*period, "source", "target"], "inner", null_safe=True)
     ends = _in_flow_direction(both)
     amount = F.when(F.col("net") < 0, -F.col("amount")).otherwise(F.col("amount"))
     return both.select(
@@ -174,8 +174,8 @@ def historical_edges(flows: DataFrame, info: DataFrame, threshold: float | None
     edges = links(flows).withColumnRenamed("period", "time")
     if threshold is not None:
         edges = edges.where(F.col("size") > threshold)
-    sources = name_ids(edges, info, "source", ["time", "target"])
-    return name_ids(sources, info, "target", ["time", "source"]).select("time", "source", "target", "size")
+    sources = name_ids(edges, info, "source")
+    return name_ids(sources, info, "target").select("time", "source", "target", "size")
 
 
 def historical_nodes(flows: DataFrame, info: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -185,7 +185,7 @@ def historical_nodes(flows: DataFrame, info: DataFrame, threshold: float | None
         nodes = nodes.where(F.col("size") > threshold)
     known = info.select("id", "name", "category")
     unknown = F.lit("Unknown")
-    return salted_join(nodes, known, ["id"], ["time"]).select(
+    return skewed_join(nodes, known, ["id"]).select(
         "time",
         F.coalesce("name", unknown).alias("id"),
         "size",

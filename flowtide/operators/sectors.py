@@ -5,11 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.functions.calendar import as_day
-from flowtide.plans.skew import expand_copies, salted_join
+from flowtide.plans.skew import expand_copies, skewed_join
+from flowtide.session import ensure_checkpoints
 
 # fixed values: sectors left out, the renamed sector, and the unit of the flow axis
 LEFT_OUT = ("Privacy & Security", "Unknown")
@@ -32,7 +32,7 @@ def typed_edges(edges: DataFrame, nodes: DataFrame, match_time: bool = False, fo
 
     def attach(df: DataFrame, end: str, other: str) -> DataFrame:
         side = types.withColumnsRenamed({"id": end, "type": f"{end}_type", "_n": f"_{end}_n"})
-        return salted_join(df, side, [*on_time, end], [other, "time"])
+        return skewed_join(df, side, [*on_time, end])
 
     both = attach(attach(edges.select("time", "source", "target", "size"), "source", "target"), "target", "source")
     one = F.lit(1).cast("bigint")
@@ -66,15 +66,12 @@ def sector_flows(typed: DataFrame) -> DataFrame:
         .groupBy("side", "time", "type")
         .agg(F.sum("flow").alias("flow"))
     )
-    # one row per sector and time from here on: the vocabulary of a side is the list of its sectors
-    vocabulary = F.collect_set("type").over(W.partitionBy("side"))
-    by_time = (
-        totals.withColumn("types", vocabulary)
-        .groupBy("side", "time", "types")
-        .agg(F.map_from_entries(F.collect_list(F.struct("type", "flow"))).alias("flows"))
-    )
-    grid = by_time.select("side", "time", "flows", F.explode("types").alias("type"))
-    flow = F.coalesce(F.try_element_at("flows", F.col("type")), F.lit(0.0)) + F.lit(0.0)
+    # written once: the grid below reads it three times
+    ensure_checkpoints(typed.sparkSession)
+    totals = totals.checkpoint()
+    times, types = (totals.select("side", c).distinct() for c in ("time", "type"))
+    grid = times.join(types, "side").join(totals, ["side", "time", "type"], "left")
+    flow = F.coalesce("flow", F.lit(0.0)) + F.lit(0.0)
     return grid.select(
         "time",
         "type",
@@ -112,7 +109,7 @@ def flow_ratio(df: DataFrame, order_by: str = "inflow") -> DataFrame:
         "time", "type", F.abs(F.col("first_in") / second).alias("_ratio")
     )
     ratio = F.when(F.col("inflow").isNotNull(), F.col("_ratio")).alias("ratio")
-    joined = salted_join(rows, ratios, ["time", "type"], ["inflow", "outflow"])
+    joined = skewed_join(rows, ratios, ["time", "type"])
     return joined.select(*df.columns, ratio)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flowtide.operators.aggregates import tvl_on_days
 from flowtide.plans.running import with_running_totals
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 
 
 def global_series(positions: DataFrame, ordered: bool = True) -> DataFrame:
@@ -62,7 +62,7 @@ def threshold_labels(shares: DataFrame, percentage: float = 90) -> DataFrame:
         F.count("is_below_threshold").alias("total"),
     )
     label = F.format_string("%s (%d/%d)", "year", "below_threshold", "total")
-    return salted_join(flagged, summary.withColumn("legend_label", label), ["year"], ["id", "name"])
+    return skewed_join(flagged, summary.withColumn("legend_label", label), ["year"])
 
 
 def treemap(shares: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.functions.text import joined_text, terms
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 from flowtide.session import ensure_checkpoints
 
 # keeps pairs whose score equals the threshold up to rounding among the candidates
@@ -42,7 +42,7 @@ def token_vectors(documents: DataFrame) -> DataFrame:
         .agg(F.sum(F.signum("tf")).alias("df"), F.max(F.col("kind") == "token").alias("in_tokens"))
         .select("term", "df", "in_tokens", idf.alias("idf"))
     )
-    raw = salted_join(counts, frequencies, ["term"], ["kind", "doc"], "inner").withColumn(
+    raw = skewed_join(counts, frequencies, ["term"], "inner").withColumn(
         "raw", F.col("tf") * F.col("idf")
     )
     # one group is the distinct terms of one text, which was a single cell before
@@ -81,18 +81,17 @@ def similarity_matches(
     token_terms, protocol_terms = side("token", "token_name"), side("protocol", "id")
     in_prefix = F.col("suffix") >= threshold * threshold - _SLACK
     candidates = (
-        salted_join(
+        skewed_join(
             token_terms.where(in_prefix).select("token_name", "term"),
             protocol_terms.where(in_prefix).select("id", "term"),
             ["term"],
-            ["token_name"],
             "inner",
         )
         .select("token_name", "id")
         .distinct()
     )
     scores = (
-        salted_join(candidates, token_terms.drop("suffix"), ["token_name"], ["id"], "inner")
+        skewed_join(candidates, token_terms.drop("suffix"), ["token_name"], "inner")
         .join(protocol_terms.drop("suffix"), ["id", "term"])
         .groupBy("token_name", "id")
         .agg(F.sum(F.col("token_weight") * F.col("protocol_weight")).alias("score"))

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.functions.calendar import as_day
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 
 # fixed values: how many communities and members are shown, and the size scale
 TOP_COMMUNITIES = 3
@@ -23,17 +23,17 @@ class Subgraph(NamedTuple):
     edges: DataFrame
 
 
-def _scaled(size: str, low: float, high: float) -> Column:
-    """Min-max scaling over the whole (already bounded) frame; ``low`` where all sizes are equal."""
-    everything = W.partitionBy(F.lit(0))
-    smallest, largest = F.min(size).over(everything), F.max(size).over(everything)
-    share = (F.col(size) - smallest) / (largest - smallest)
-    return F.when(largest > smallest, share * (high - low) + low).otherwise(F.lit(low))
+def _scaled(rows: DataFrame, low: float, high: float) -> DataFrame:
+    """Add ``visual_size``, min-max scaled over the whole frame; ``low`` where all sizes are equal."""
+    ends = rows.agg(F.struct(F.min("size").alias("low"), F.max("size").alias("high")).alias("ends")).select("ends").scalar()
+    share = (F.col("size") - ends["low"]) / (ends["high"] - ends["low"])
+    scaled = F.when(ends["high"] > ends["low"], share * (high - low) + low).otherwise(F.lit(low))
+    return rows.withColumn("visual_size", scaled)
 
 
-def _renamed(df: DataFrame, names: DataFrame, column: str, spread_by: list[str]) -> DataFrame:
+def _renamed(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
     lookup = names.select(F.col("id").alias(column), F.col("name").alias("_name"))
-    return salted_join(df, lookup, [column], spread_by).withColumn(column, F.coalesce("_name", column)).select(*df.columns)
+    return skewed_join(df, lookup, [column]).withColumn(column, F.coalesce("_name", column)).select(*df.columns)
 
 
 def top_network(
@@ -46,22 +46,21 @@ def top_network(
 ) -> Subgraph:
     """The ``top_x`` largest nodes and the links among them, with display names and scaled sizes.
 
-    ``nodes`` has ``id, size``, ``links`` has ``source, target, size``, ``names`` maps ``id`` to ``name``. The chosen nodes are
-    at most ``top_x`` rows, hence the broadcast.
+    ``nodes`` has ``id, size``, ``links`` has ``source, target, size``, ``names`` maps ``id`` to ``name``.
     """
     ranked = nodes.select("id", "size").orderBy(F.desc("size"), F.asc_nulls_last("id")).limit(top_x)
     candidates = links.select("source", "target", "size")
     if names is not None:
-        named = _renamed(nodes.select("id", "size"), names, "id", ["size"])
+        named = _renamed(nodes.select("id", "size"), names, "id")
         ranked = named.orderBy(F.desc("size"), F.asc_nulls_last("id")).limit(top_x)
-        candidates = _renamed(_renamed(candidates, names, "source", ["target"]), names, "target", ["source"])
-    chosen = F.broadcast(ranked.select(F.col("id").alias("chosen")).distinct())
+        candidates = _renamed(_renamed(candidates, names, "source"), names, "target")
+    chosen = ranked.select(F.col("id").alias("chosen")).distinct()
     inside = candidates.join(chosen, F.col("source").eqNullSafe(F.col("chosen")), "left_semi").join(
         chosen, F.col("target").eqNullSafe(F.col("chosen")), "left_semi"
     )
     return Subgraph(
-        ranked.withColumn("visual_size", _scaled("size", *node_range)),
-        inside.withColumn("visual_size", _scaled("size", *edge_range)),
+        _scaled(ranked, *node_range),
+        _scaled(inside, *edge_range),
     )
 
 
@@ -109,10 +108,10 @@ def top_communities(
     )
     sources = nodes.select("time", F.col("node").alias("source"), "community")
     targets = nodes.select("time", F.col("node").alias("target"), "community")
-    from_chosen = salted_join(
-        edges.select("time", "source", "target", "size"), sources, ["time", "source"], ["target"], "inner"
+    from_chosen = skewed_join(
+        edges.select("time", "source", "target", "size"), sources, ["time", "source"], "inner"
     )
-    inside = salted_join(from_chosen, targets, ["time", "target", "community"], ["source"], "inner").select(
+    inside = skewed_join(from_chosen, targets, ["time", "target", "community"], "inner").select(
         "time", "community", "source", "target", "size", (F.sqrt("size") / VISUAL_SCALE * 2).alias("visual_weight")
     )
     return Subgraph(nodes, inside)

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from flowtide.functions.calendar import as_day, date_spine, day_number, epoch_seconds, shift
 
-MAX_BROADCAST_DAYS = 200_000
-
 
 def assign_windows(
     facts: DataFrame, start: str | date, end: str | date, granularity: str, column: str = "window_start"
@@ -19,13 +17,11 @@ def assign_windows(
 
     The range condition becomes an equi-join on the day number: each window lists the days it touches. That
     table has one row per day of the span plus one per window, so its size follows from the arguments
-    alone; it is broadcast up to a fixed bound and joined by shuffle beyond.
+    alone, and Spark decides by it how to join.
     """
     first, last = as_day(start), as_day(end)
     limit = shift(last, granularity)
     days = _window_days(facts.sparkSession, first, last, granularity, column)
-    if 2 * (limit - first).days + 2 <= MAX_BROADCAST_DAYS:
-        days = F.broadcast(days)
     in_span = F.col("date").between(epoch_seconds(first), epoch_seconds(limit))
     return (
         facts.where(in_span)

@@ -2,52 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    how: str = "left",
-    buckets: int = 16,
-    null_safe: bool = False,
+def skewed_join(
+    big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
-    """Join ``big`` to ``small`` on ``keys`` with every key of ``big`` split over ``buckets`` tasks.
+    """Join ``big`` to ``small`` on ``keys``, where one key may hold a large part of ``big``.
 
-    ``small`` must be far smaller than ``big`` (a dimension or an aggregate): its rows are repeated once
-    per bucket. The salt is a hash of ``spread_by``, columns of ``big`` that vary within a key, so a
-    recomputed task sends its rows to the same places. Where the planner finds ``small`` below
-    the broadcast threshold it still broadcasts it, and nothing is shuffled at all.
+    Both sides reach the join through plain shuffles, so Spark's adaptive execution splits the partition of a hot key and
+    copies only the matching part of ``small`` to its splits; where it finds ``small`` below the broadcast threshold,
+    nothing is shuffled. No row is copied on suspicion. With ``null_safe`` NULL keys are equal.
     """
-    if buckets & (buckets - 1):
-        raise ValueError("buckets must be a power of two")
-    # unlike a remainder, a bit mask is never NULL, so no null check on it is pushed down to the rows below
-    salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(buckets - 1).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     if not null_safe:
-        return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
-    renamed = copies.withColumnsRenamed({**{k: f"_right_{k}" for k in keys}, "_salt": "_right_salt"})
-    condition = salted["_salt"] == renamed["_right_salt"]
+        return big.join(small, keys, how)
+    renamed = small.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = F.lit(True)
     for key in keys:
-        condition &= salted[key].eqNullSafe(renamed[f"_right_{key}"])
-    joined = salted.join(renamed, condition, how)
-    return joined.drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])
+        condition &= big[key].eqNullSafe(renamed[f"_right_{key}"])
+    return big.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def expand_copies(df: DataFrame, copies: str = "copies", block: int = 1024) -> DataFrame:
     """Repeat each row as often as its ``copies`` column says, and drop that column.
 
-    The repetition is done in blocks that are shuffled before they are written out, so the copies
-    of one row are produced by many tasks.
+    Rows with up to ``block`` copies, nearly all of them, are repeated where they are. The others are cut into blocks, in two
+    levels so that no array grows with the number, and the blocks are shuffled before they are written out.
     """
     columns = [c for c in df.columns if c != copies]
-    n = F.col(copies)
-    last_block = F.floor((n - 1) / block).cast("bigint")
-    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-    spread = blocks.repartition(*columns, "_block")
-    in_block = F.least(F.lit(block).cast("bigint"), n - F.col("_block") * block)
-    rows = spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_block)))
-    return rows.select(*columns)
+    n = F.col(copies).cast("bigint")
+    zero, one, size = (F.lit(v).cast("bigint") for v in (0, 1, block))
+
+    def numbers(first: Column, last: Column, name: str, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, F.explode(F.sequence(first, last)))
+
+    few = numbers(one, F.col(copies).cast("bigint"), "_copy", df.where((n > 0) & (n <= block))).select(*columns)
+    many = df.where(n > block)
+    outer = numbers(zero, F.floor((n - 1) / (block * block)).cast("bigint"), "_outer", many)
+    inner = numbers(zero, F.least(size, F.ceil((n - F.col("_outer") * block * block) / block).cast("bigint")) - 1, "_inner", outer)
+    left = n - F.col("_outer") * block * block - F.col("_inner") * block
+    blocks = inner.withColumn("_size", F.least(size, left)).repartition(*columns, "_outer", "_inner")
+    return few.unionByName(numbers(one, F.col("_size"), "_copy", blocks).select(*columns))

@@ -27,12 +27,12 @@ def _described(text: str):
 class Position:
     """One observation of a token held by a protocol on a chain, in physical column order."""
 
-    id: str = _described("Unique identifier for the protocol")
-    chain_name: str = _described("Blockchain name")
-    date: int = _described("Unix timestamp of the data")
-    token_name: str = _described("Token name")
-    quantity: float = _described("Quantity of the token")
-    value_usd: float = _described("Value in USD")
+    id: str = _described("Protocol that holds the token")
+    chain_name: str = _described("Chain of the holding; a suffix marks borrowed amounts")
+    date: int = _described("Time of the observation, seconds since 1970")
+    token_name: str = _described("Symbol of the token")
+    quantity: float = _described("Amount held, in units of the token")
+    value_usd: float = _described("Amount held, in US dollars")
 
 
 _SPARK_TYPES: dict[type, DataType] = {int: LongType(), str: StringType(), float: DoubleType()}
@@ -85,7 +85,8 @@ POOLS = StructType(
     ]
 )
 
-_ENTRIES = "array<struct<date:bigint,tokens:map<string,double>>>"
+# amounts may be numbers, texts or integers beyond any type
+_ENTRIES = "array<struct<date:bigint,tokens:map<string,string>>>"
 TVL_DOCUMENT = f"id string, chainTvls map<string,struct<tokensInUsd:{_ENTRIES},tokens:{_ENTRIES}>>"
 
 

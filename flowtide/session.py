@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,8 +28,8 @@ def build_session(app_name: str = "flowtide", **overrides: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder, because only there driver and
-    executors share one disk.
+    Where it is unset, a local master gets a folder of its own beside the warehouse, removed when Python ends; only there
+    driver and executors share one disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -37,11 +40,20 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="flowtide-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    os.makedirs(warehouse, exist_ok=True)
+    fallback = tempfile.mkdtemp(prefix="flowtide-scratch-", dir=warehouse)
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     context.setCheckpointDir(fallback)
     return fallback
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems; a missing one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, writing to the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

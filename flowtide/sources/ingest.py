@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from flowtide.functions.values import last_entry_per_key
-from flowtide.plans.skew import salted_join
+from flowtide.plans.skew import skewed_join
 from flowtide.schemas import as_facts
 
 
@@ -21,7 +21,7 @@ def flatten_tvl(documents: DataFrame) -> DataFrame:
     """Fact rows of ``id, chainTvls: {chain: {tokensInUsd, tokens}}`` documents.
 
     The value and the quantity list of a chain are paired by position up to the shorter one. Date and tokens
-    come from the value side; a token without a quantity has 0. Repeated keys keep their last value.
+    come from the value side; a token without a quantity, or an amount that is no number, has 0. Repeated keys keep their last value.
     """
     chains = documents.select("id", F.explode(last_entry_per_key(F.col("chainTvls"))).alias("chain_name", "lists"))
     values, quantities = F.col("lists.tokensInUsd"), F.col("lists.tokens")
@@ -43,8 +43,8 @@ def flatten_tvl(documents: DataFrame) -> DataFrame:
     return as_facts(
         tokens.withColumns(
             {
-                "quantity": F.coalesce(F.try_element_at("qty", F.col("token_name")), zero),
-                "value_usd": F.coalesce("value", zero),
+                "quantity": F.coalesce(F.try_element_at("qty", F.col("token_name")).try_cast("double"), zero),
+                "value_usd": F.coalesce(F.col("value").try_cast("double"), zero),
             }
         )
     )
@@ -55,8 +55,8 @@ def incremental_rows(incoming: DataFrame, latest: DataFrame) -> DataFrame:
 
     ``latest`` has one row per key. Keys with a NULL part never match, so their rows pass.
     """
-    joined = salted_join(
-        incoming, latest, ["id", "chain_name", "token_name"], ["date", "quantity", "value_usd"], buckets=8
+    joined = skewed_join(
+        incoming, latest, ["id", "chain_name", "token_name"]
     )
     is_new = F.col("latest_date").isNull() | (F.col("date") > F.col("latest_date"))
     return joined.where(is_new).select(*incoming.columns)

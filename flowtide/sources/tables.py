@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,6 +12,10 @@ from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.mapping import Mapping
 
 
+#: Table property with the cluster columns.
+CLUSTER_PROPERTY = "flowtide.clustered-by"
+
+
 def clustered(df: DataFrame, cluster_by: list[str]) -> DataFrame:
     """Range-partition and sort by the cluster columns, so that row groups carry narrow statistics.
 
@@ -42,12 +48,31 @@ def create_table(
         data = clustered(data, cluster_by)
     location = {"path": path} if path else {}
     data.write.mode("errorifexists").format("parquet").saveAsTable(name, partitionBy=partition_by, **location)
+    if cluster_by:
+        _set_properties(spark, name, **{CLUSTER_PROPERTY: ",".join(cluster_by)})
+
+
+def _set_properties(spark: SparkSession, name: str, **values: str) -> None:
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({listed})", args={"name": name})
+
+
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:name)", args={"name": name}).collect()
+    return {r["key"]: r["value"] for r in rows}
+
+
+def cluster_columns(spark: SparkSession, name: str) -> list[str]:
+    """The columns a table was created to be clustered by."""
+    return [c for c in table_properties(spark, name).get(CLUSTER_PROPERTY, "").split(",") if c]
 
 
 def append_table(df: DataFrame, name: str) -> None:
-    """Append by column name."""
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.insertInto(name)
+    """Append by column name, clustered as the table is."""
+    spark = df.sparkSession
+    rows = df.select(*spark.table(name).columns)
+    by = cluster_columns(spark, name)
+    (clustered(rows, by) if by else rows).write.insertInto(name)
 
 
 def append_parquet(spark: SparkSession, path: str, name: str) -> None:
@@ -58,13 +83,38 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder a table's files lie in now."""
+    rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def refresh_table(df: DataFrame, name: str) -> None:
-    """Replace a table by new content (the protocol dimension on every ingest)."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def refresh_table(df: DataFrame, name: str, place: str) -> None:
+    """Replace a table by new content (the protocol dimension on every ingest), which may be computed from the table.
+
+    The content goes to a fresh folder under ``place`` first, and only then the table is made to point there: a
+    failed refresh leaves the old table as it was. Clustering is kept.
+    """
+    spark = df.sparkSession
+    exists = table_exists(spark, name)
+    by = cluster_columns(spark, name) if exists else []
+    fresh = f"{place}/{uuid.uuid4().hex}"
+    (clustered(df, by) if by else df).write.parquet(fresh)
+    if exists:
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{fresh}'", args={"name": name})
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=fresh, source="parquet")
+
+
+def upsert_table(source: DataFrame, name: str, keys: list[str], place: str) -> None:
+    """``upsert`` into a stored table of the same columns."""
+    spark = source.sparkSession
+    refresh_table(upsert(spark.table(name), source, keys), name, place)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -95,7 +145,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_snapshots(document: DataFrame, path: str, period: str = "period") -> None:
     """Network JSON lines, one directory per date of ``period``."""
     rows = document.withColumn("date", F.date_format(period, "yyyy-MM-dd"))
-    rows.select("part", "json", "date").write.mode("overwrite").partitionBy("date").json(path)
+    # by date and content: a few files per date, and a date of any size still spreads
+    spread = rows.select("part", "json", "date").repartition("date", F.pmod(F.xxhash64("json"), F.lit(8)))
+    spread.write.mode("overwrite").partitionBy("date").json(path)
 
 
 def write_latest_dates(facts: DataFrame, path: str) -> None:

@@ -5,10 +5,12 @@ Layout under the sink path::
     data/batch_id=K/     rows accepted from micro-batch K
     maxima/batch_id=K/   newest date per (id, chain, token) among them
     snapshots/upto=K/    newest date per key over all batches up to K
+    marks/upto=K/        one row: snapshot K is complete
 
 Every batch overwrites its own directories and reads only those of earlier batches, so a replay after a
 failure writes the same rows again instead of dropping or doubling them. The high-water mark is read
-from the newest earlier snapshot plus the maxima since then, never from the data.
+from the newest earlier snapshot plus the maxima since then, never from the data, and only for the keys of the batch:
+they are picked out before anything is grouped or shuffled. Snapshots older than the last three are removed.
 """
 
 from __future__ import annotations
@@ -20,9 +22,12 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from flowtide.operators.aggregates import latest_dates
 from flowtide.schemas import FACTS, as_facts
+from flowtide.session import remove_folder
 from flowtide.sources.ingest import incremental_rows
 
 KEYS = ["id", "chain_name", "token_name"]
+#: Snapshots that stay for replays.
+KEPT_SNAPSHOTS = 3
 _MAXIMA = StructType([FACTS[k] for k in KEYS] + [StructField("latest_date", FACTS["date"].dataType)])
 
 
@@ -40,30 +45,51 @@ class FactSink:
         rows.write.mode("ignore").parquet(f"{self.path}/data/batch_id=-1")
         latest_dates(rows).write.mode("ignore").parquet(f"{self.path}/snapshots/upto=-1")
         self.spark.createDataFrame([], _MAXIMA).write.mode("ignore").parquet(f"{self.path}/maxima/batch_id=-1")
+        self._mark(-1)
         return self
 
     def facts(self) -> DataFrame:
         return self.spark.read.schema(FACTS).parquet(f"{self.path}/data").select(*FACTS.names)
 
-    def latest_before(self, batch_id: int) -> DataFrame:
-        """Newest stored date per key, from the batches before ``batch_id`` alone."""
-        snapshots = self._read("snapshots", "upto")
-        # an empty snapshot has no row to be found by; starting from the first one is then just as right
-        upto = snapshots.where(F.col("upto") < batch_id).agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+    def latest_before(self, batch_id: int, keys: DataFrame | None = None) -> DataFrame:
+        """Newest stored date per key, from the batches before ``batch_id`` alone; only for ``keys`` where given."""
+        upto = self._marks().where(F.col("upto") < batch_id).agg(F.max("upto")).first()[0]
+        if upto is None:
+            raise ValueError(f"no snapshot before batch {batch_id} is left")
         since = self._read("maxima", "batch_id").where((F.col("batch_id") > upto) & (F.col("batch_id") < batch_id))
-        known = snapshots.where(F.col("upto") == upto).drop("upto").unionByName(since.drop("batch_id"))
+        snapshot = self.spark.read.schema(_MAXIMA).parquet(f"{self.path}/snapshots/upto={upto}")
+        known = snapshot.unionByName(since.drop("batch_id"))
+        if keys is not None:
+            known = known.join(keys, KEYS, "left_semi")
         return known.groupBy(*KEYS).agg(F.max("latest_date").alias("latest_date"))
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         # a micro-batch runs in a session of its own
         here = FactSink(batch.sparkSession, self.path, self.snapshot_every)
         data, maxima = f"{self.path}/data/batch_id={batch_id}", f"{self.path}/maxima/batch_id={batch_id}"
-        incremental_rows(batch, here.latest_before(batch_id)).write.mode("overwrite").parquet(data)
+        keys = batch.select(*KEYS).distinct()
+        incremental_rows(batch, here.latest_before(batch_id, keys)).write.mode("overwrite").parquet(data)
         accepted = here.spark.read.schema(FACTS).parquet(data)
         latest_dates(accepted).write.mode("overwrite").parquet(maxima)
         if (batch_id + 1) % self.snapshot_every == 0:
             newest = here.latest_before(batch_id + 1)
             newest.write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={batch_id}")
+            here._mark(batch_id)
+            here._drop_old_snapshots(batch_id)
+
+    def _mark(self, upto: int) -> None:
+        one = self.spark.range(1).select(F.lit(upto).alias("upto"))
+        one.write.mode("overwrite").parquet(f"{self.path}/marks/upto={upto}/rows")
+
+    def _marks(self) -> DataFrame:
+        return self.spark.read.schema("upto int").parquet(f"{self.path}/marks/*/rows")
+
+    def _drop_old_snapshots(self, upto: int) -> None:
+        """Keep the newest ones: a replay of a recent batch still finds where to start."""
+        marks = [r.upto for r in self._marks().where(F.col("upto") <= upto).orderBy(F.desc("upto")).limit(KEPT_SNAPSHOTS + 1).collect()]
+        for old in marks[KEPT_SNAPSHOTS:]:
+            remove_folder(self.spark, f"{self.path}/marks/upto={old}")
+            remove_folder(self.spark, f"{self.path}/snapshots/upto={old}")
 
     def _read(self, name: str, partition: str) -> DataFrame:
         schema = StructType([*_MAXIMA.fields, StructField(partition, IntegerType())])

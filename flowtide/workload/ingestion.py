@@ -12,12 +12,21 @@ from pyspark.sql import functions as F
 from flowtide.functions.calendar import epoch_seconds
 from flowtide.functions.predicates import epoch_range
 from flowtide.operators import aggregates, network
-from flowtide.schemas import FACTS, TVL_DOCUMENT, as_facts
+from flowtide.schemas import FACTS, as_facts
 from flowtide.session import shared_dir
 from flowtide.sources import ingest, readers, tables
 from flowtide.streaming.ingest import FactSink, stream_landed_files
 from flowtide.workload.adapters import with_ctes
-from flowtide.workload.networks import EDGES_SQL, YEARS, history, yearly_edges
+from flowtide.workload.networks import (
+    DOCUMENT_SQL,
+    EDGES_SQL,
+    NODES_SQL,
+    YEARS,
+    document_entries,
+    history,
+    yearly_edges,
+    yearly_nodes,
+)
 from flowtide.workload.registry import query, r
 
 
@@ -43,19 +52,42 @@ def _(t):
     return ingest.normalise_headers(headers)
 
 
-@query("flatten_tvl", with_ctes(f"{_FACTS} from facts"))
-def _(t):
-    """Facts written as nested documents, then parsed and flattened again."""
+_FLATTENED = f"""
+    select id, chain_name, date, token_name,
+           {r("case when token_name like 'P%' then 0 else quantity end")} quantity, {r('value_usd')} value_usd
+    from facts where chain_name <> 'O' or date < (
+        select max(date) from facts f where f.id = facts.id and f.chain_name = facts.chain_name)"""
+
 
-    def entry(column: str):
-        tokens = F.map_from_arrays(F.array("token_name"), F.array(column))
-        return F.array(F.struct("date", tokens.alias("tokens")))
+def _documents(facts):
+    """Documents of all chains, dates and tokens of an id; chain O lacks its last quantities, and no token in P has one."""
 
-    lists = F.struct(entry("value_usd").alias("tokensInUsd"), entry("quantity").alias("tokens"))
-    chains = F.map_from_arrays(F.array("chain_name"), F.array(lists))
-    text = F.to_json(F.struct("id", chains.alias("chainTvls")))
-    documents = t.facts.select(F.from_json(text, TVL_DOCUMENT).alias("doc")).select("doc.*")
-    return ingest.flatten_tvl(documents)
+    def entries(tokens):
+        listed = F.collect_list(F.struct("date", tokens.alias("tokens")))
+        return F.array_sort(listed, lambda a, b: F.signum(a["date"] - b["date"]).cast("int"))
+
+    amounts = F.map_from_entries(F.collect_list(F.struct("token_name", "value_usd")))
+    # quantities are written as texts, some of them no numbers
+    text = F.when(F.col("token_name").startswith("P"), "n/a").otherwise(F.col("quantity").cast("string"))
+    counts = F.map_from_entries(F.collect_list(F.struct(F.col("token_name"), text)))
+    dates = facts.groupBy("id", "chain_name", "date").agg(amounts.alias("usd"), counts.alias("qty"))
+    chains = dates.groupBy("id", "chain_name").agg(entries(F.col("usd")).alias("tokensInUsd"), entries(F.col("qty")).alias("tokens"))
+    shorter = F.when(F.col("chain_name") == "O", F.slice("tokens", F.lit(1), F.size("tokens") - 1)).otherwise(F.col("tokens"))
+    lists = F.struct("tokensInUsd", shorter.alias("tokens"))
+    named = chains.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("chain_name"), lists))).alias("chainTvls"))
+    return named.select("id", F.to_json(F.struct("id", "chainTvls")).alias("value"))
+
+
+@query("flatten_tvl", with_ctes(_FLATTENED))
+def _(t):
+    """Facts through files: one part of the ids as a document per file, the rest as JSON lines."""
+    folder = _scratch(t)
+    documents = _documents(t.facts).withColumn("lines", F.pmod(F.xxhash64("id"), F.lit(2)) == 0)
+    documents.where("lines").select("value").write.text(f"{folder}/lines")
+    documents.where("not lines").select("value", F.col("id").alias("file")).write.partitionBy("file").text(f"{folder}/files")
+    read = readers.read_tvl_documents
+    both = read(t.spark, f"{folder}/lines", lines=True).unionByName(read(t.spark, f"{folder}/files"))
+    return ingest.flatten_tvl(both)
 
 
 @query(
@@ -95,18 +127,58 @@ def _(t):
     return sink.facts()
 
 
-@query(
-    "upsert",
-    f"""select o_orderkey, o_custkey, o_orderstatus,
+_UPSERTED = f"""select o_orderkey, o_custkey, o_orderstatus,
                {r("case when o_orderstatus = 'F' then o_totalprice + 1 else o_totalprice end")} o_totalprice,
                o_orderdate, o_orderpriority
-        from orders where o_orderdate < timestamp '1998-01-01' or o_orderstatus = 'F'""",
-)
-def _(t):
+        from orders"""
+
+
+def _halves(t):
+    """All orders: the target lacks every third F order, the source brings all of them with a new price."""
     orders = t.raw("orders")
-    target = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    source = orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return tables.upsert(target, source, ["o_orderkey"])
+    target = orders.where((F.col("o_orderstatus") != "F") | (F.col("o_orderkey") % 3 != 0))
+    return target, orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+
+
+@query("upsert", _UPSERTED)
+def _(t):
+    return tables.upsert(*_halves(t), ["o_orderkey"])
+
+
+@query("upserted_table", _UPSERTED)
+def _(t):
+    """The same through a stored table, which is read while it is replaced."""
+    folder, name = _scratch(t), f"orders_{uuid.uuid4().hex}"
+    target, source = _halves(t)
+    tables.create_table(t.spark, name, data=target, cluster_by=["o_orderdate"], path=f"{folder}/table")
+    tables.upsert_table(source, name, ["o_orderkey"], folder)
+    place = tables.table_location(t.spark, name)
+    tables.drop_table(t.spark, name)
+    return readers.read_parquet(t.spark, place)
+
+
+@query("refreshed_table", with_ctes(f"select id, name, slug, {r('tvl')} tvl, category, type from protocols"))
+def _(t):
+    """A dimension that is replaced by a reduced copy of itself after it was stored doubled."""
+    folder, name = _scratch(t), f"protocols_{uuid.uuid4().hex}"
+    kept = t.protocols.select("id", "name", "slug", "tvl", "category", "type")
+    tables.create_table(t.spark, name, data=kept.unionByName(kept), path=f"{folder}/table")
+    tables.refresh_table(readers.read_table(t.spark, name).distinct(), name, folder)
+    place = tables.table_location(t.spark, name)
+    tables.drop_table(t.spark, name)
+    return readers.read_parquet(t.spark, place)
+
+
+@query("clustered_append", with_ctes(f"{_FACTS} from facts"))
+def _(t):
+    """A table clustered from its schema on, filled by two appends."""
+    folder, name = _scratch(t), f"facts_{uuid.uuid4().hex}"
+    tables.create_table(t.spark, name, schema=FACTS, cluster_by=["date", "id"], path=f"{folder}/table")
+    old = F.col("date") < epoch_seconds("1997-01-01")
+    for part in (t.facts.where(old), t.facts.where(~old)):
+        tables.append_table(part, name)
+    tables.drop_table(t.spark, name)
+    return readers.read_parquet(t.spark, f"{folder}/table", schema=FACTS)
 
 
 @query("table_lifecycle", with_ctes(f"{_FACTS} from facts"))
@@ -160,19 +232,24 @@ def _(t):
 
 
 @query(
-    "network_snapshots",
+    "nodes_csv",
     with_ctes(
-        """select date, part, count(*) row_count from (
-               select strftime(period, '%Y-%m-%d') date, 'nodes' part from nodes union all
-               select strftime(period, '%Y-%m-%d'), 'links' from links) group by all""",
-        **YEARS,
+        f"select epoch_ns(time) as time, id, {r('size')} size, type from named", **YEARS, named=NODES_SQL.format(1000)
     ),
 )
 def _(t):
+    folder = _scratch(t)
+    tables.write_csv(yearly_nodes(t), folder)
+    return readers.read_nodes(t.spark, folder, nanoseconds=True)
+
+
+@query("network_snapshots", with_ctes(DOCUMENT_SQL.format("strftime(n.period, '%Y-%m-%d')", "date"), **YEARS))
+def _(t):
+    """Every entry of every node and link, read back from the snapshot files."""
     folder = _scratch(t)
     tables.write_snapshots(network.network_document(history(t, "year")), folder)
     stored = t.spark.read.schema("part string, json string, date string").json(folder)
-    return stored.groupBy("date", "part").agg(F.count("*").alias("row_count"))
+    return document_entries(stored, "date")
 
 
 @query("saved_mapping", with_ctes("select * from owners", **YEARS))

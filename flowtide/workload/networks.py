@@ -92,7 +92,7 @@ def _(t):
 def _(t):
     owners = mapping.primary_owners(t.primary_map, mapping.with_total_tvls(t.protocols))
     token_map = mapping.rule_token_map(_tagged_classes(t), owners).where(F.col("class") != "OTHER")
-    found = mapping.lookup_tokens(t.tagged_facts, token_map, ["id", "date"])
+    found = mapping.lookup_tokens(t.tagged_facts, token_map)
     return found.groupBy("id", "token_name", "token_id").agg(F.count("*").alias("row_count"))
 
 
@@ -332,9 +332,29 @@ def _(t):
     )
 
 
-@query("network_document")
+# every entry of every node's and link's composition
+DOCUMENT_SQL = f"""
+    select {{0}} {{1}}, 'nodes' part, n.id, cast(null as varchar) source, cast(null as varchar) target,
+           {r('n.size')} size, token, {r('amount')} amount
+    from nodes n left join (select period, id, token, sum(amount) amount from held group by all) h
+    on h.period = n.period and h.id is not distinct from n.id
+    union all
+    select {{0}}, 'links', null, source, target, {r('abs(sum(amount) over (partition by n.period, source, target))')}, token,
+           {r('amount')} from carried n"""
+
+
+def document_entries(document, period: str):
+    """The JSON lines of a network document parsed again, one row per entry of a composition."""
+    fields = "id string, source string, target string, size double, composition map<string,double>"
+    parsed = document.select(period, "part", F.from_json("json", fields, {"mode": "FAILFAST"}).alias("j"))
+    return parsed.select(
+        period, "part", "j.id", "j.source", "j.target", "j.size", F.explode_outer("j.composition").alias("token", "amount")
+    )
+
+
+@query("network_document", with_ctes(DOCUMENT_SQL.format("n.period", "period"), **YEARS))
 def _(t):
-    return network.network_document(history(t, "year"))
+    return document_entries(network.network_document(history(t, "year")), "period")
 
 
 @query("historical_network_nodes", with_ctes(f"select period, id, {r('size')} size from nodes", **_MONTHS))
@@ -464,16 +484,37 @@ def _(t):
     return subgraph.edge_weights(yearly_edges(t))
 
 
-@query("communities")
+_SLICE_NODES = """
+    select time, source node from edges where source <> target union select time, target from edges where source <> target
+    union select time, source from edges"""
+
+
+@query(
+    "communities",
+    with_ctes(
+        f"""select e.time, node, {r('max(size)')} size, true label_is_a_node
+            from members e left join named n on n.time = e.time and n.id = e.node group by 1, 2""",
+        **_YEARLY_EDGES,
+        members=_SLICE_NODES,
+    ),
+)
 def _(t):
+    """Labels are free to differ; every node of a slice has one, and it is a node of that slice."""
     labels = community.label_propagation(subgraph.edge_weights(yearly_edges(t)))
-    return community.community_members(labels, yearly_nodes(t))
+    members = community.community_members(labels, yearly_nodes(t))
+    known = labels.select("time", F.col("node").alias("community"), F.lit(True).alias("known"))
+    joined = members.join(known, ["time", "community"], "left")
+    return joined.select("time", "node", "size", F.coalesce("known", F.lit(False)).alias("label_is_a_node"))
 
 
-@query("community_quality")
+@query(
+    "community_quality",
+    with_ctes("select distinct time, true no_worse_than_one_community from edges", **_YEARLY_EDGES),
+)
 def _(t):
     weights = subgraph.edge_weights(yearly_edges(t))
-    return community.partition_quality(weights, community.label_propagation(weights))
+    quality = community.partition_quality(weights, community.label_propagation(weights))
+    return quality.select("time", (F.col("modularity") > -1e-9).alias("no_worse_than_one_community"))
 
 
 # sectors stand in for communities here, so that SQL can follow

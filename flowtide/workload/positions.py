@@ -34,9 +34,12 @@ def _(t):
     return readers.row_count(t.raw("lineitem"))
 
 
-@query("last_modified")
+@query("last_modified", "select count(*) row_count, true well_formed from lineitem")
 def _(t):
-    return readers.last_modified(t.raw("lineitem"))
+    """The time itself belongs to the file, so its form is compared, beside the rows behind it."""
+    form = F.col("last_modified").rlike(r"^20\d\d-\d\d-\d\d \d\d:\d\d:\d\d UTC$").alias("well_formed")
+    modified = readers.last_modified(t.raw("lineitem")).select(form)
+    return readers.row_count(t.raw("lineitem")).join(modified, how="left")
 
 
 @query(
@@ -237,28 +240,34 @@ def _(t):
     return aggregates.tvl_distribution_on_day(t.positions, t.protocols, "1998-01-01")
 
 
-_NAMES = "select id, chain_name, date, token_name from positions"
+# whole rows, those of chain O twice, so that groups of equal rows exist
+_NAMES = "select * from positions union all select * from positions where chain_name = 'O'"
+
+
+def _repeated(t):
+    return t.positions.unionByName(t.positions.where("chain_name = 'O'"))
 
 
 @query("duplicate_rows", with_ctes(f"select *, count(*) duplicate_count from ({_NAMES}) group by all having count(*) > 1"))
 def _(t):
-    return aggregates.duplicate_rows(t.positions.select("id", "chain_name", "date", "token_name"))
+    return aggregates.duplicate_rows(_repeated(t))
 
 
 @query(
     "detect_duplicates",
     with_ctes(f"""
     select concat('{{"id":"', id, '","chain_name":"', chain_name, '","date":', cast(date as varchar), ',"token_name":"',
-                  token_name, '"}}') json_representation, count(*) duplicate_count
+                  token_name, '","quantity":', cast(quantity as double), ',"value_usd":', cast(value_usd as double), '}}')
+           json_representation, count(*) duplicate_count
     from ({_NAMES}) group by 1 having count(*) > 1"""),
 )
 def _(t):
-    return aggregates.detect_duplicates(t.positions.select("id", "chain_name", "date", "token_name"))
+    return aggregates.detect_duplicates(_repeated(t))
 
 
 @query("remove_duplicates", with_ctes(f"select distinct * from ({_NAMES})"))
 def _(t):
-    return aggregates.remove_duplicates(t.positions.select("id", "chain_name", "date", "token_name"))
+    return aggregates.remove_duplicates(_repeated(t))
 
 
 @query(
