@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import FractionalType, StructType
 
 # fixed value: a term is a run of two or more letters, numbers or underscores of any script
 TERM_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -15,8 +15,14 @@ def terms(text: Column) -> Column:
 
 
 def joined_text(schema: StructType, columns: list[str] | None = None) -> Column:
-    """The given (default: all string) columns joined by blanks; NULL and the cell ``None`` count as empty."""
-    names = columns or [f.name for f in schema if isinstance(f.dataType, StringType)]
-    cells = [F.coalesce(F.when(F.col(n) != "None", F.col(n)), F.lit("")) for n in names]
+    """The given (default: all) columns joined by blanks; NULL and the cell ``None`` count as empty.
+
+    Floating-point numbers have two decimals, so that they print alike everywhere.
+    """
+    cells = []
+    for name in columns or schema.names:
+        fractional = isinstance(schema[name].dataType, FractionalType)
+        text = (F.col(name).cast("decimal(38,2)") if fractional else F.col(name)).cast("string")
+        cells.append(F.coalesce(F.when(text != "None", text), F.lit("")))
     return F.concat_ws(" ", *cells)
 

@@ -120,7 +120,10 @@ def _similarity_sql(docs: str, ranks: str) -> dict[str, str]:
 
 _SUPPLIER_DOCS = _similarity_sql(
     """select 'token' kind, token_name doc, token_name text from classes union all
-       select 'protocol', id, concat_ws(' ', id, name, slug, category, type, coalesce(symbol, ''), assetToken)
+       select 'protocol', id, concat_ws(' ', id, name, slug, cast(tvl as decimal(38, 2)), category, type, coalesce(symbol, ''),
+                                         assetToken, concat('{''Ethereum'': ', id, ', ''Polygon'': ',
+                                                            cast(round(tvl * 100) as bigint), '}'),
+                                         cast(total_tvls as decimal(38, 2)))
        from protocols""",
     "select id, name, total_tvls from protocols",
 )
@@ -130,14 +133,11 @@ def _best(threshold: float) -> str:
     return f"select token_name, id, name, {r('score')} score from best where score >= {threshold}"
 
 
-_SUPPLIER_TEXT = ["id", "name", "slug", "category", "type", "symbol", "assetToken"]
-
-
 @query("similarity_matches", with_ctes(_best(0.3), **_TAGGED, **_SUPPLIER_DOCS))
 def _(t):
     tokens = _tagged_classes(t).select("token_name")
     ranked = mapping.with_total_tvls(t.protocols)
-    return similarity.similarity_matches(tokens, ranked, 0.3, _SUPPLIER_TEXT)
+    return similarity.similarity_matches(tokens, ranked, 0.3)
 
 
 @query(
@@ -151,7 +151,7 @@ def _(t):
 )
 def _(t):
     return mapping.update_mapping(
-        t.tagged_facts, t.protocols, t.category_map, t.primary_map, 0.3, _SUPPLIER_TEXT
+        t.tagged_facts, t.protocols, t.category_map, t.primary_map, 0.3
     ).token_map
 
 
