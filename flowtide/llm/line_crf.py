@@ -2,7 +2,7 @@
 
 Counts of words, symbols, equal lines and repeated word triples are exact and cover whole texts. The field has two
 labels, binary features of a line and label transitions. It is fitted by maximum likelihood on labelled documents: the lines
-of a good document are content and those of a bad one boilerplate, as far as the line itself is not a repeat.
+of a good document are content and those of a bad one boilerplate.
 Viterbi decoding then labels every line of every document, and the share of words in content lines decides.
 """
 
@@ -20,7 +20,7 @@ from flowtide.llm.words import SPACE, Words, chunks, mix, rank_in_group, span_ha
 
 SAMPLE_DOCS = 3000
 SEGMENT = 64
-FEATURES = 20
+FEATURES = 24
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _UPPER = np.zeros(256, bool)
@@ -106,6 +106,10 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> Lines:
         solid > 12 * per_line, solid < 3 * per_line,
         _UPPER[data[words.starts[first]]] if len(full) else np.zeros(0, bool),
         stutter * 5 > per_line,
+        per_line >= 60,
+        (per_line >= 25) & (symbols == 0) & (shouts == 0) & (echo * 5 <= per_line),
+        symbols * 4 > solid,
+        (per_line >= 25) & (symbols * 10 > solid),
     ]
     codes = np.zeros(len(full), np.int64)
     for bit, holds in enumerate(facts):
@@ -235,10 +239,8 @@ def train_field(docs: DataFrame, labels: DataFrame, train: Column | None = None,
 
     given = _sample(docs, labels, train, limit).select("text", F.col("_quality").cast("int"))
     rows = given.mapInArrow(run, "codes array<bigint>, quality int").collect()
-    codes = [np.array(r.codes, np.int64) for r in rows if r.codes]
-    # a repeated line is no content, whatever the document is
-    marks = [np.full(len(c), r.quality, np.int64) & ~(c >> 11) & 1 for c, r in zip(codes, [r for r in rows if r.codes], strict=True)]
-    return fit_field(codes, marks)
+    rows = [r for r in rows if r.codes]
+    return fit_field([np.array(r.codes, np.int64) for r in rows], [np.full(len(r.codes), r.quality, np.int64) for r in rows])
 
 
 def quality_report(docs: DataFrame, field: Field, min_share: float = 0.5) -> DataFrame:
