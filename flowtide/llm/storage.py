@@ -6,16 +6,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtide.session import shared_dir
+from flowtide.session import remove_folder, shared_dir
 
 
 def scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/flowtide-llm-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once and read back: later steps neither recompute it nor depend on lost executors."""
+def stored(df: DataFrame, places: list[str] | None = None) -> DataFrame:
+    """``df`` written once and read back: later steps neither recompute it nor depend on lost executors.
+
+    Its folder is added to ``places``, for ``discard`` when nothing reads it any more.
+    """
     spark = df.sparkSession
     place = scratch(spark)
     df.write.parquet(place)
+    if places is not None:
+        places.append(place)
     return spark.read.schema(df.schema).parquet(place)
+
+
+def discard(spark: SparkSession, places: list[str]) -> None:
+    while places:
+        remove_folder(spark, places.pop())

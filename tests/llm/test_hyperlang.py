@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import hyperlang
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "ung", "ein", "ver"], "cc": ["žo", "ął", "ęść", "ry"]}

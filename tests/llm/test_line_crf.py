@@ -7,6 +7,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import line_crf, words
 
 

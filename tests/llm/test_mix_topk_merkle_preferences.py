@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import merkle_audit, norm_topk, poisson_mix, preferences
 
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
+from llm_docs import docs_of  # noqa: F401
 import corpus_pipeline
 from flowtide.llm.queries import QUERIES, SQL
 

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import recompression
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import simhash
 from flowtide.llm.components import components
 

@@ -3,6 +3,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import unigram
 from flowtide.llm.unigram import MARK
 

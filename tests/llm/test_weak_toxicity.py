@@ -1,5 +1,6 @@
 import numpy as np
 
+from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import weak_toxicity
 
 
