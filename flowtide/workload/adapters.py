@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.operators.mapping import Mapping, update_mapping
+from flowtide.session import shared_dir
+from flowtide.sources.tables import load_or_build_mapping
 
 
 def _epoch(column: str):
@@ -20,6 +23,7 @@ class Tables:
     spark: SparkSession
     folder: str
     _raw: dict[str, DataFrame] = field(default_factory=dict)
+    made: dict[str, DataFrame] = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
@@ -99,7 +103,12 @@ class Tables:
 
     @cached_property
     def mapping(self) -> Mapping:
-        return update_mapping(self.positions, self.protocols, self.category_map, self.primary_map)
+        """Built once per session and folder, then read from its saved tables, as a user would."""
+        name = hashlib.md5(self.folder.encode()).hexdigest()
+        place = f"{shared_dir(self.spark)}/flowtide-mapping/{self.spark.sparkContext.applicationId}/{name}"
+        return load_or_build_mapping(
+            self.spark, place, lambda: update_mapping(self.positions, self.protocols, self.category_map, self.primary_map)
+        )
 
     @cached_property
     def pools(self) -> DataFrame:

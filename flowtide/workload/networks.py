@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowtide.operators import changes, community, flows, mapping, network, similarity, subgraph
+from flowtide.session import ensure_checkpoints
 from flowtide.workload.adapters import with_ctes
 from flowtide.workload.positions import FROM_1996, HISTORY, YEAR_1996, YEARLY_HISTORY, changes_sql, spans_sql
 from flowtide.workload.registry import query, r
@@ -468,12 +469,20 @@ def _(t):
 _YEARLY_EDGES = {**YEARS, "edges": EDGES_SQL.format(1000), "named": NODES_SQL.format(1000)}
 
 
+def _yearly_flows(t):
+    """Written once: edges and nodes of a query both follow from them."""
+    if "yearly flows" not in t.made:
+        ensure_checkpoints(t.spark)
+        t.made["yearly flows"] = history(t, "year").checkpoint()
+    return t.made["yearly flows"]
+
+
 def yearly_edges(t):
-    return network.historical_edges(history(t, "year"), t.mapping.id_info, 1000)
+    return network.historical_edges(_yearly_flows(t), t.mapping.id_info, 1000)
 
 
 def yearly_nodes(t):
-    return network.historical_nodes(history(t, "year"), t.mapping.id_info, 1000)
+    return network.historical_nodes(_yearly_flows(t), t.mapping.id_info, 1000)
 
 
 @query(

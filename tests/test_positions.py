@@ -177,7 +177,7 @@ def test_schema_of_record():
     assert schema.simpleString() == (
         "struct<id:string,chain_name:string,date:bigint,token_name:string,quantity:double,value_usd:double>"
     )
-    assert schema["id"].metadata["comment"] == "Unique identifier for the protocol"
+    assert schema["id"].metadata["comment"] == "Protocol that holds the token"
 
 
 def test_numbers_in_text(spark):
