@@ -55,7 +55,7 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
 def _matrix(table: pa.Table) -> np.ndarray:
     rows = table.column("code").to_pylist()
-    return np.frombuffer(b"".join(rows)).reshape(len(rows), -1)
+    return np.frombuffer(b"".join(rows)).reshape(len(rows), -1) if rows else np.zeros((0, 0))
 
 
 def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:

@@ -86,6 +86,14 @@ def test_top_k_equals_brute_force(spark, monkeypatch, shape):
     assert sorted(map(tuple, got)) == slow_top(vectors, [i for i, _ in vectors if i is not None and i % 50 == 0], 5)
 
 
+def test_top_k_with_query_blocks_that_stay_empty(spark, monkeypatch):
+    monkeypatch.setattr(norm_topk, "QUERY_BLOCK", 1)
+    vectors = [(i, [float(i % 7), float(i % 5)]) for i in range(60)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>")
+    got = norm_topk.top_k(df, df.where("vec_id % 10 = 0"), k=3).collect()
+    assert sorted(map(tuple, got)) == slow_top(vectors, range(0, 60, 10), 3)
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert norm_topk.top_k(empty, empty).count() == 0
