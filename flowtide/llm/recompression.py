@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.llm.storage import stored
+from flowtide.llm.storage import discard, stored
 from flowtide.llm.words import chunks, mix, span_hashes, words_of
 
 ROUNDS = 3
@@ -167,21 +167,23 @@ def _window_hashes(window: int):
     return run
 
 
-def repeated_ranges(docs: DataFrame, window: int = 35) -> DataFrame:
+def repeated_ranges(docs: DataFrame, window: int = 35, places: list[str] | None = None) -> DataFrame:
     """(t1, t2, ranges): the word ranges [low, high) of each text that repeated windows cover.
 
     ``t1`` and ``t2`` identify the text. Only grouped counts and joins with their results are used, so an anchor
-    or a passage with a third of all rows is combined before it is shuffled, and never gathered.
+    or a passage with a third of all rows is combined before it is shuffled, and never gathered. The folders
+    of intermediate tables, which the result reads, are added to ``places``.
     """
     schema = "key bigint, span bigint, t1 bigint, t2 bigint, low int, high int"
     texts = docs.where("text is not null").select(*_text_id(), "text")
-    spans = stored(texts.mapInArrow(_find_spans(window), schema))
+    spans = stored(texts.mapInArrow(_find_spans(window), schema), places)
     keys = spans.groupBy("key").agg(F.count("*").alias("n"), (F.min("span") != F.max("span")).alias("mixed"))
-    shared = stored(spans.join(keys.where("n > 1").drop("n"), "key"))
+    # stored, so that the join reads both sides from plain shuffles and Spark can split a hot key
+    shared = stored(spans.join(stored(keys.where("n > 1").drop("n"), places), "key"), places)
     forms = shared.groupBy("key", "span").agg(
         F.count("*").alias("n"), F.first("mixed").alias("mixed"), *[F.first(c).alias(c) for c in ("t1", "t2", "low", "high")]
     )
-    forms = stored(forms)
+    forms = stored(forms, places)
     whole = shared.join(forms.where("n > 1").select("key", "span"), ["key", "span"], "left_semi")
 
     listed = forms.where("mixed").groupBy("t1", "t2").agg(
@@ -191,7 +193,7 @@ def repeated_ranges(docs: DataFrame, window: int = 35) -> DataFrame:
     firsts = docs.groupBy(*_text_id()).agg(F.min("doc_id").alias("_first"))
     chosen = docs.select(*_text_id(), "text", "doc_id").join(listed.join(firsts, ["t1", "t2"]), ["t1", "t2"])
     chosen = chosen.where(F.col("doc_id").eqNullSafe(F.col("_first"))).select("t1", "t2", "text", "spans")
-    windows = stored(chosen.mapInArrow(_window_hashes(window), schema))
+    windows = stored(chosen.mapInArrow(_window_hashes(window), schema), places)
     again = windows.groupBy("key", "shape").agg(F.min("span").alias("a"), F.max("span").alias("b")).where("a <> b")
     single = windows.where("unique").join(again.select("key", "shape"), ["key", "shape"], "left_semi")
 
@@ -217,7 +219,9 @@ def _kept(words: list[bytes], ranges: list[dict] | None) -> tuple[list[bytes], i
 
 def with_ranges(docs: DataFrame, window: int = 35) -> DataFrame:
     """``docs`` with the ranges of its text in ``_ranges`` (null: none)."""
-    ranges = stored(repeated_ranges(docs, window)).toDF("_t1", "_t2", "_ranges")
+    places: list[str] = []
+    ranges = stored(repeated_ranges(docs, window, places)).toDF("_t1", "_t2", "_ranges")
+    discard(docs.sparkSession, places)
     t1, t2 = _text_id()
     marked = docs.withColumn("_a", t1).withColumn("_b", t2)
     on = (marked["_a"] == ranges["_t1"]) & (marked["_b"] == ranges["_t2"])
