@@ -13,12 +13,12 @@ from flowtide.llm.storage import stored
 #: SQL can express neither the language model nor the connected components.
 ORACLE_SQL = None
 
-#: A text whose letters are this far from every learned language is not text.
+#: A text with enough letter triples that is this far from every learned language is not text.
 MIN_LANGUAGE_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or unlike every learned language, go."""
+    """Documents without letters go, and those with enough letters to tell that they are unlike every learned language."""
     return hyperlang.accepted(docs, hyperlang.train(docs, ~held_out()), MIN_LANGUAGE_SCORE)
 
 

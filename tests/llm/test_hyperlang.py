@@ -51,6 +51,22 @@ def test_unseen_texts_go_to_their_language(spark, docs_of, model):
     assert kept.count() == len(rows) + 2 and len(kept.columns) == 7
 
 
+def test_short_and_repetitive_documents_stay_and_long_foreign_text_goes(spark, docs_of, model):
+    pick = random.Random(3)
+    short = [(n, prose(lang, pick, n % 5 + 1)) for n, lang in enumerate(list(SYLLABLES) * 20)]
+    # letters of the learned languages that their words hardly ever join so
+    short += [(100, "Avec."), (101, "Mo."), (102, "a"), (103, "Avec. " * 500), (104, prose("aa", pick, 30) + " avec" * 5000)]
+    foreign = "".join(chr(0x4E00 + pick.randrange(3000)) for _ in range(400))
+    docs = docs_of(*short, (200, foreign), (201, "12 %% 3"), (202, None))
+    scores = {r.doc_id: r.score for r in hyperlang.identify(docs, model).collect()}
+    assert sum(scores[i] < 0.2 for i, _ in short) >= 3 and scores[200] < 0.2
+    assert sorted(r.doc_id for r in hyperlang.accepted(docs, model, 0.2).collect()) == [i for i, _ in short]
+
+
+def test_variety_is_the_number_of_evenly_used_triples():
+    assert hyperlang.variety(["ab", "ab ab ab", "", None]).tolist() == [2, 2, 0, 0]
+
+
 def test_nothing_to_learn_from(spark, docs_of):
     empty = hyperlang.train(docs_of((1, "text", None)))
     assert empty.languages == []
