@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from flowtide.llm.storage import stored
 
 SAMPLE_DOCS = 20_000
-MAX_CANDIDATES = 20_000
 MAX_VOTERS = 400
 MIN_SUPPORT = 3
 #: Voters count as related from this correlation within the labels.
@@ -41,6 +40,7 @@ PATTERNS = {
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _COMPILED = [re.compile(p, re.IGNORECASE) for p in PATTERNS.values()]
 _PREFIXES = (4, 5, 6)
+_FLUSH = 200_000
 
 
 class Model(NamedTuple):
@@ -61,38 +61,40 @@ def _fired(text: str | None, features: dict[str, int]) -> list[int]:
     return sorted(found) + extra
 
 
-def _wilson(hits: np.ndarray, total: np.ndarray, z: float = 1.64) -> np.ndarray:
+def _wilson(hits: Column, total: Column, z: float = 1.64) -> Column:
     """Lower end of the confidence interval of a share."""
     p = hits / total
-    return (p + z * z / (2 * total) - z * np.sqrt(p * (1 - p) / total + z * z / (4 * total**2))) / (1 + z * z / total)
+    return (p + z * z / (2 * total) - z * F.sqrt(p * (1 - p) / total + z * z / (4 * total * total))) / (1 + z * z / total)
 
 
-def _mine(sample: DataFrame, base: float) -> list[str]:
-    """Words and beginnings that mark toxic documents of the sample, most useful first."""
+def _marking(sample: DataFrame, base: float, min_support: int) -> DataFrame:
+    """Words and beginnings that mark toxic documents of the sample: feature, and n toxic and ``missed`` clean documents with it."""
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(word_features(text.as_py())), pa.string())], ["feature"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter[str], Counter[str]] = Counter(), Counter()
 
-    toxic = sample.where("toxic = 1").select("text")
-    counts = toxic.mapInArrow(explode, "feature string").groupBy("feature").agg(F.count("*").alias("n"))
-    rows = counts.where(F.col("n") >= MIN_SUPPORT).orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES).collect()
-    hits = {r.feature: r.n for r in rows}
+        def flush() -> pa.RecordBatch:
+            names = list(seen[0].keys() | seen[1].keys())
+            columns = [pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in (seen[1], seen[0]))]
+            for c in seen:
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, ["feature", "n", "missed"])
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(word_features(text.as_py()) & hits.keys())
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["feature", "n"])
-
-    missed = sample.where("toxic = 0").select("text").mapInArrow(clean, "feature string, n bigint")
-    misses = {r.feature: r.n for r in missed.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
-    names = sorted(hits)
-    n = np.array([hits[f] for f in names], float)
-    lower = _wilson(n, n + np.array([misses.get(f, 0) for f in names])) if names else n
-    good = [f for f, low in zip(names, lower, strict=True) if low >= max(0.4, 2 * base)]
+            for text, toxic in zip(batch.column(0), batch.column(1), strict=True):
+                seen[toxic.as_py() == 1].update(word_features(text.as_py()))
+                if len(seen[0]) + len(seen[1]) > _FLUSH:
+                    yield flush()
+        yield flush()
+
+    parts = sample.select("text", "toxic").where("toxic in (0, 1)").mapInArrow(count, "feature string, n bigint, missed bigint")
+    counts = parts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("missed").alias("missed")).where(F.col("n") >= min_support)
+    return counts.where(_wilson(F.col("n"), F.col("n") + F.col("missed")) >= max(0.4, 2 * base))
+
+
+def _mine(sample: DataFrame, base: float, max_voters: int = MAX_VOTERS, min_support: int = MIN_SUPPORT) -> list[str]:
+    """At most ``max_voters`` words and beginnings that mark toxic documents of the sample, most useful first."""
+    good = sorted(r.feature for r in _marking(sample, base, min_support).select("feature").collect())
     number = {f: i for i, f in enumerate(good)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,11 +102,12 @@ def _mine(sample: DataFrame, base: float) -> list[str]:
             found = [sorted(number[f] for f in word_features(t.as_py()) & number.keys()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["found"])
 
+    toxic = sample.where("toxic = 1").select("text")
     docs = [r.found for r in toxic.mapInArrow(present, "found array<int>").collect() if r.found]
-    return [good[i] for i in _cover(docs, len(good))]
+    return [good[i] for i in _cover(docs, len(good), max_voters, min_support)]
 
 
-def _cover(docs: list[list[int]], n: int) -> list[int]:
+def _cover(docs: list[list[int]], n: int, max_voters: int = MAX_VOTERS, min_support: int = MIN_SUPPORT) -> list[int]:
     """Features by the documents they explain; one explained already counts a quarter.
 
     So words that only ride along in copies of one document get no vote.
@@ -115,9 +118,9 @@ def _cover(docs: list[list[int]], n: int) -> list[int]:
             holders[f].append(d)
     worth, gain = np.ones(len(docs)), np.array([float(len(h)) for h in holders])
     chosen: list[int] = []
-    while len(chosen) < min(MAX_VOTERS, n):
+    while len(chosen) < min(max_voters, n):
         best = int(gain.argmax())
-        if gain[best] < MIN_SUPPORT - 0.5:
+        if gain[best] < min_support - 0.5:
             break
         chosen.append(best)
         for d in holders[best]:
@@ -185,9 +188,18 @@ def fit_scale(scores: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[
     return (float(theta[0] / unit), float(theta[1])) if theta[0] > 0 else (1.0, 0.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, limit: int = SAMPLE_DOCS) -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    use: Column | None = None,
+    limit: int = SAMPLE_DOCS,
+    max_voters: int = MAX_VOTERS,
+    min_support: int = MIN_SUPPORT,
+) -> Model:
     """Fit on at most ``limit`` documents of ``labels(doc_id, toxic)``, chosen by a hash of their id.
 
+    Every word or beginning in at least ``min_support`` toxic documents that marks them well is a candidate; of these at most
+    ``max_voters`` vote, taken by the toxic documents they explain until the next would add fewer than ``min_support`` (less a half).
     Documents with equal text count once. Without labelled documents only the general lexicon votes.
     """
     rows = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
@@ -197,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, limit:
     sample = stored(sample.groupBy("text").agg(F.max("_toxic").alias("toxic")).repartition(16, F.xxhash64("text")))
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = float(np.clip(toxic / max(n, 1), 0.001, 0.5))
-    names = list(dict.fromkeys([*LEXICON, *(_mine(sample, prior) if toxic else [])]))
+    names = list(dict.fromkeys([*LEXICON, *(_mine(sample, prior, max_voters, min_support) if toxic else [])]))
     features = {f: i for i, f in enumerate(names)}
     width = len(features) + len(PATTERNS)
 

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from llm_docs import docs_of  # noqa: F401
 from flowtide.llm import weak_toxicity
@@ -34,6 +35,21 @@ def test_learns_stems_and_scores_unseen_documents(spark, docs_of):
     assert weak_toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_rare_toxic_words_are_found_behind_many_frequent_ones(spark):
+    letters = "abcdefghij"
+    common = " ".join(f"q{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in letters)
+    texts = [(f"{common} zu{letters[i]}u", 1) for i in range(8)] + [(f"zarkol me{letters[i]}e", 1) for i in range(3)]
+    texts += [(f"{common} gu{letters[i]}u", 0) for i in range(10)]
+    sample = spark.createDataFrame([*texts, ("zarkol", None)], "text string, toxic int")
+    # 20,000 frequent words and beginnings alike in clean documents; zarkol and its beginnings are in three toxic ones
+    frequent = " ".join(f"x{w}" for w in common.split())
+    sample = sample.withColumn("text", F.when(F.col("text").contains("qaaaa"), F.concat("text", F.lit(" " + frequent))).otherwise(F.col("text")))
+    found = {r.feature: (r.n, r.missed) for r in weak_toxicity._marking(sample, 0.1, 3).collect()}
+    assert found == dict.fromkeys(["zarkol", "^zark", "^zarko", "^zarkol"], (3, 0))
+    assert set(weak_toxicity._mine(sample, 0.1)) <= found.keys() and weak_toxicity._mine(sample, 0.1, min_support=4) == []
+    assert len(weak_toxicity._mine(sample, 0.1, max_voters=1)) == 1
+
+
 def test_without_labels_the_lexicon_votes(spark, docs_of):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     docs = docs_of((1, "you pathetic moron, you idiot"), (2, "a fine day"))
