@@ -73,6 +73,7 @@ class Bucket:
         order = np.lexsort((ids, -norms))
         self.ids, self.rows, self.norms = ids[order], rows[order], norms[order]
         self.unit = self.rows / np.maximum(self.norms, 1e-300)[:, None]
+        self.repeats = len(np.unique(ids)) < len(ids)
         self.sorted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def coordinate(self, f: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,21 +107,33 @@ class Bucket:
         return np.flatnonzero(hits[:long_enough] == len(focus))
 
 
-def _best(query_ids, queries, norms, bounds, bucket: Bucket, k: int):
-    """Up to k best (query, vector, score) of each query within a block; ties go to the smaller id."""
+def _best_of_each(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids in order, each once with its best score."""
+    order = np.lexsort((-scores, ids))
+    first = np.append(True, ids[order][1:] != ids[order][:-1])[: len(order)]
+    return ids[order][first], scores[order][first]
+
+
+def _best(query_ids, queries, norms, bounds, bucket: Bucket, k: int, names=None):
+    """Up to k best (query, vector, score) of each query within a block, each id once; ties go to the smaller id.
+
+    ``names`` stand for the queries in the result in place of their ids.
+    """
     out = []
-    for query_id, query, norm, bound in zip(query_ids, queries, norms, bounds, strict=True):
+    for query_id, query, norm, bound, name in zip(query_ids, queries, norms, bounds, query_ids if names is None else names, strict=True):
         at = bucket.candidates(query, norm, bound)
         at = at[bucket.ids[at] != query_id]
         if not len(at):
             continue
         scores, ids = _products(bucket.rows[at], query), bucket.ids[at]
-        if len(at) > k:
+        if bucket.repeats:
+            ids, scores = _best_of_each(ids, scores)
+        if len(ids) > k:
             kth = np.partition(scores, -k)[-k]
             near = scores >= kth
             scores, ids = scores[near], ids[near]
         top = np.lexsort((ids, -scores))[:k]
-        out.append((np.full(len(top), query_id), ids[top], scores[top]))
+        out.append((np.full(len(top), name), ids[top], scores[top]))
     if not out:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
@@ -159,12 +172,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
         low = np.full(len(ids), -np.inf)
         if len(ids) and stock_rows.num_rows:
             block = Bucket(stock_rows.column("vec_id").to_numpy(), _matrix(stock_rows), stock_rows.column("norm").to_numpy())
-            found, _, scores = _best(ids, rows, norms, low, block, k)
-            at = np.searchsorted(np.sort(ids), found)
-            order = np.argsort(ids, kind="stable")
-            count = np.bincount(order[at], minlength=len(ids))
+            # by row, because a query id may have several vectors too
+            found, _, scores = _best(ids, rows, norms, low, block, k, np.arange(len(ids)))
+            count = np.bincount(found, minlength=len(ids))
             least = np.full(len(ids), np.inf)
-            np.minimum.at(least, order[at], scores)
+            np.minimum.at(least, found, scores)
             low = np.where(count >= k, least, -np.inf)
         return pa.table({"vec_id": ids, "code": asked_rows.column("code"), "bound": low})
 

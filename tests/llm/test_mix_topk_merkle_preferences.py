@@ -94,6 +94,16 @@ def test_top_k_with_query_blocks_that_stay_empty(spark, monkeypatch):
     assert sorted(map(tuple, got)) == slow_top(vectors, range(0, 60, 10), 3)
 
 
+def test_top_k_counts_an_id_with_many_vectors_once(spark):
+    pick = np.random.default_rng(7)
+    vectors = [(i, pick.normal(size=4).tolist()) for i in range(1, 60)]
+    # close but unequal, and the longest of all; the queries have several vectors too
+    vectors += [(7, [9.0 + j / 16, 9.0, 9.0, 9.0]) for j in range(40)] + [(0, [1.0, 1.0, 1.0, j / 16]) for j in range(6)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    got = norm_topk.top_k(df, df.where("vec_id % 10 = 0"), k=5).collect()
+    assert sorted(map(tuple, got)) == slow_top(vectors, range(0, 60, 10), 5)
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert norm_topk.top_k(empty, empty).count() == 0
