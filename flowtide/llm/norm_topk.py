@@ -22,21 +22,22 @@ BLOCK = 8192
 QUERY_BLOCK = 1024
 FOCUS = 3
 COORDINATE_FROM = 0.4
-#: Components are clipped here after scaling, so that no score leaves the range of long.
-LARGEST = 1 << 26
 _SLACK = 1e-9
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """(vec_id, dim, norm, code): floor(scale * x) of every component as packed doubles.
 
-    Left out: rows without id, null vectors, and vectors with a null or non-finite component.
+    Left out: rows without id, null vectors, and vectors with a null or non-finite component. A component that only scaling
+    makes infinite is an error.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
-            flat = np.floor(lists.flatten().to_numpy(zero_copy_only=False).astype(float) * scale).clip(-LARGEST, LARGEST)
+            flat = np.floor(lists.flatten().to_numpy(zero_copy_only=False).astype(float) * scale)
+            if not np.isfinite(flat).all():
+                raise OverflowError(f"a component times {scale} is beyond the range of double")
             sizes = lists.value_lengths().to_numpy().astype(np.int64)
             ends = np.cumsum(sizes)
             norms = np.array([np.sqrt(np.sum(flat[e - s : e] ** 2)) for s, e in zip(sizes, ends, strict=True)])
@@ -59,11 +60,20 @@ def _matrix(table: pa.Table) -> np.ndarray:
 
 
 def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact integer products: doubles are exact below 2**53, beyond that integers are used."""
+    """Exact integer products: doubles are exact below 2**53, beyond that integers are used, and Python's where long is too small.
+
+    A product outside the range of long is an error, as in the SQL.
+    """
     largest = np.abs(rows).max(initial=0) * np.abs(query).max(initial=0) * max(1, len(query))
     if largest < 2**53:
         return (rows @ query).astype(np.int64)
-    return rows.astype(np.int64) @ query.astype(np.int64)
+    if largest < 2**62:
+        return rows.astype(np.int64) @ query.astype(np.int64)
+    other = [int(x) for x in query]
+    exact = [sum(int(x) * y for x, y in zip(row, other, strict=True)) for row in rows.tolist()]
+    if any(not -(2**63) <= x < 2**63 for x in exact):
+        raise OverflowError("a score is outside the range of long")
+    return np.array(exact, np.int64)
 
 
 class Bucket:
@@ -143,7 +153,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     """(query_id, rank, vec_id, score): the k best vectors for each row of ``queries``, never itself.
 
     Both tables have vec_id and embedding. Nulls and non-finite components: see ``quantised``. Vectors meet only vectors of
-    their own dimension. Equal rows count once; an id with several vectors scores by its best pair. Buckets
+    their own dimension. Scores are exact; one that is met outside the range of long is an error. Equal rows count once; an id with several vectors scores by its best pair. Buckets
     are dealt out in blocks by a hash of the id, so vectors of one length, or copies of one vector, spread. Ties at
     the bound survive every pruning step.
     """

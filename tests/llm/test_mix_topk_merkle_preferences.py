@@ -104,6 +104,20 @@ def test_top_k_counts_an_id_with_many_vectors_once(spark):
     assert sorted(map(tuple, got)) == slow_top(vectors, range(0, 60, 10), 5)
 
 
+def test_top_k_of_large_components_is_exact_or_fails(spark):
+    vectors = [(i, [float(300_000 + i), float(i % 3)]) for i in range(20)] + [(50, [2.0**40, 1.0]), (51, [2.0**40, 2.0]), (100, [1.0, 3.0])]
+    df = spark.createDataFrame([v for v in vectors if v[0] < 50 or v[0] == 100], "vec_id bigint, embedding array<double>")
+    got = norm_topk.top_k(df, df.where("vec_id % 50 = 0"), k=5).collect()
+    assert sorted(map(tuple, got)) == slow_top([v for v in vectors if v[0] < 50 or v[0] == 100], [0, 100], 5)
+    rows = np.array([[2.0**61, -(2.0**61) + 2**9, 3.0], [2.0**40, 1.0, 0.0]])
+    assert norm_topk._products(rows, np.array([4.0, 4.0, 1.0])).tolist() == [2**11 + 3, 2**42 + 4]
+    with pytest.raises(OverflowError):
+        norm_topk._products(rows, np.array([2.0**30, 0.0, 0.0]))
+    wide = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="outside the range of long"):
+        norm_topk.top_k(wide, wide.where("vec_id % 50 = 0"), k=5).collect()
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert norm_topk.top_k(empty, empty).count() == 0
