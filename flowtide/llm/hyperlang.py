@@ -122,15 +122,17 @@ def bundles(texts: list[str | None], triples: Triples) -> np.ndarray:
 
 
 def train(docs: DataFrame, use: Column | None = None, limit: int = SAMPLE_DOCS) -> Model:
-    """Prototypes from about ``limit`` documents that have text and lang, chosen by a hash of their id.
+    """Prototypes from the documents that have text and lang: all of a language, or about ``limit`` chosen by a hash of their id.
 
-    ``use`` restricts them. Per language, only sums over its texts leave the tasks.
+    So a rare language is learned in a table of any size. ``use`` restricts the documents. Per language, only sums over its texts leave the tasks.
     """
     labelled = docs.where("lang is not null and text is not null")
     labelled = labelled if use is None else labelled.where(use)
-    share = min(1.0, limit / max(1, labelled.count()))
     buckets = 1 << 20
-    labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)) < int(share * buckets) if share < 1 else F.lit(True))
+    large = labelled.groupBy("lang").count().where(F.col("count") > limit).collect()
+    if large:
+        parts = F.create_map(*[F.lit(x) for r in large for x in (r.lang, max(1, int(limit / r["count"] * buckets)))])
+        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)) < F.coalesce(parts[F.col("lang")], F.lit(buckets)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         triples, sums = Triples(), {}

@@ -67,6 +67,15 @@ def test_variety_is_the_number_of_evenly_used_triples():
     assert hyperlang.variety(["ab", "ab ab ab", "", None]).tolist() == [2, 2, 0, 0]
 
 
+def test_a_rare_language_is_learned_from_a_large_table(spark, docs_of):
+    pick = random.Random(4)
+    docs = docs_of(*[(i, prose("aa", pick, 5), "aa") for i in range(2000)], (5000, prose("bb", pick), "bb"), (5001, prose("cc", pick), "cc"))
+    model = hyperlang.train(docs, limit=20)
+    assert model.languages == ["aa", "bb", "cc"]
+    found = hyperlang.identify(docs_of((1, prose("bb", pick)), (2, prose("cc", pick))), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "bb", 2: "cc"}
+
+
 def test_nothing_to_learn_from(spark, docs_of):
     empty = hyperlang.train(docs_of((1, "text", None)))
     assert empty.languages == []
