@@ -59,7 +59,7 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(rows)).reshape(len(rows), -1) if rows else np.zeros((0, 0))
 
 
-def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+def exact_products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Exact integer products: doubles are exact below 2**53, beyond that integers are used, and Python's where long is too small.
 
     A product outside the range of long is an error, as in the SQL.
@@ -135,7 +135,7 @@ def _best(query_ids, queries, norms, bounds, bucket: Bucket, k: int, names=None)
         at = at[bucket.ids[at] != query_id]
         if not len(at):
             continue
-        scores, ids = _products(bucket.rows[at], query), bucket.ids[at]
+        scores, ids = exact_products(bucket.rows[at], query), bucket.ids[at]
         if bucket.repeats:
             ids, scores = _best_of_each(ids, scores)
         if len(ids) > k:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.llm import (
+    hard_negatives,
     hyperlang,
     line_crf,
     merkle_audit,
@@ -15,6 +16,7 @@ from flowtide.llm import (
     poisson_mix,
     preferences,
     recompression,
+    repair,
     simhash,
     unigram,
     weak_toxicity,
@@ -227,3 +229,111 @@ def _(spark, folder):
     """Damage of a replica of all pages, written as WARC records, found from the roots down."""
     records = merkle_audit.warc_records(table(spark, folder, "pages"))
     return merkle_audit.audit(records, damaged(records))
+
+
+def _repair_sql() -> str:
+    """A forward pass over each conversation's turns: four states, each nine digits of cost and the audit behind them."""
+
+    def more(x: str, cost: str, letter: str) -> str:
+        return f"(lpad((left({x}, 9)::int + {cost})::varchar, 9, '0') || substr({x}, 10) || '{letter}')"
+
+    never = "'999999999'"
+    x0, xs, xu, xa = (f"x[{i}]" for i in range(1, 5))
+    role, live, extra = "left(y[1], 1)", "y[1] <> 'x'", "(case when y[1] = upper(y[1]) then 3 else 0 end)"
+    to_user = f"least({x0}, {xs}, {xa})"
+
+    def when(test: str, value: str) -> str:
+        return f"(case when {test} then {value} else {never} end)"
+
+    turns = (
+        more(x0, "4", "D"),
+        f"least({more(xs, '4', 'D')}, {when(f'lower({role}) = $$s$$', more(x0, extra, 'K'))})",
+        f"least({more(xu, '4', 'D')}, {when(f'lower({role}) = $$u$$', more(to_user, extra, 'K'))}, {when(live, more(to_user, '3 + ' + extra, 'R'))})",
+        f"least({more(xa, '4', 'D')}, {when(f'lower({role}) = $$a$$', more(xu, extra, 'K'))}, {when(live, more(xu, '3 + ' + extra, 'R'))})",
+    )
+    inserted = (
+        x0, xs, f"least({xu}, {more(f'least({x0}, {xs}, {xa})', '3', 'I')})",
+        f"least({xa}, {more(xu, '3', 'I')}, {more(more(f'least({x0}, {xs})', '3', 'I'), '3', 'I')})",
+    )
+    start = "['000000000', '999999999', '000000003I', '000000006II']"
+    return f"""
+with damage as (
+  select conv_id, turn, coalesce("role", ' ') "role", coalesce(text, ' ') text,
+         xor(list_reduce(flatten(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+             lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end, 4294967295::bigint), 4294967295) % 20 rule
+  from conversations),
+rows as (
+  select conv_id, turn, case when rule = 4 then 'user' else "role" end "role",
+         case rule when 1 then '' when 2 then translate(text, '.!?', '') else text end text,
+         unnest(range(case when rule = 3 then 2 else 1 end)) copy from damage where rule <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, "role", text, copy) rn,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) bare from rows),
+faults as (
+  select *, left("role", 1) ini, case when bare = '' then 'blank'
+         when row_number() over (partition by conv_id, "role", text order by rn) > 1 then 'duplicate'
+         when right(bare, 1) not in ('.', '!', '?') then 'truncated' else '' end fault,
+         lag(left("role", 1)) over (partition by conv_id order by rn) prev from placed),
+signs as (
+  select *, case when fault in ('blank', 'duplicate') then 'x'
+                 when fault = 'truncated' then upper(case when ini in ('s', 'u', 'a') then ini else 'o' end)
+                 when ini in ('s', 'u', 'a') then ini else 'o' end sign from faults),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where fault = 'blank') blank,
+         count(*) filter (where fault = 'duplicate') duplicate, count(*) filter (where fault = 'truncated') truncated,
+         count(*) filter (where prev is not null and prev || ini not in ('su', 'ua', 'au')) illegal,
+         list_reduce(flatten(list([[sign], ['']] order by rn)), lambda x, y: case when y[1] = ''
+             then [{', '.join(inserted)}] else [{', '.join(turns)}] end, {start}) ends
+  from signs group by conv_id),
+solved as (select *, least(ends[1], ends[4]) won from counted),
+letters as (
+  select conv_id, p, substr(won, 9 + p, 1) letter
+  from (select conv_id, won, unnest(range(1, length(won) - 8)) p from solved)),
+steps as (
+  select *, sum((letter <> 'I')::int) over w rn, sum((letter <> 'D')::int) over w out from letters
+  window w as (partition by conv_id order by p)),
+made as (
+  select s.conv_id, p, out, letter, f."role", f.text, max((out = 1 and letter = 'K' and ini = 's')::int) over (partition by s.conv_id) lead
+  from steps s left join faults f on s.conv_id is not distinct from f.conv_id and s.rn = f.rn and letter <> 'I' where letter <> 'D'),
+texts as (
+  select conv_id, sha256(string_agg(
+           (case when letter = 'K' then "role" when (out - lead) % 2 = 1 then 'user' else 'assistant' end) || ':' ||
+           (case when letter = 'I' then '' else text end), chr(10) order by p)) h from made group by conv_id)
+select i.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate,
+       coalesce(truncated, 0)::bigint truncated, coalesce(illegal, 0)::bigint illegal, coalesce(left(won, 9)::bigint, 0) cost,
+       coalesce(substr(won, 10), '') audit, coalesce(h, sha256('')) repaired_sha256
+from (select distinct conv_id from conversations) i
+left join solved s on i.conv_id is not distinct from s.conv_id left join texts t on i.conv_id is not distinct from t.conv_id
+"""
+
+
+@query("op12_repair_conversations", _repair_sql())
+def _(spark, folder):
+    """Faults, cheapest edits and repaired text of every conversation after damage by rule."""
+    conversations = table(spark, folder, "conversations")
+    return repair.repair_report(repair.damaged(conversations), conversations)
+
+
+_HARD_NEGATIVES_SQL = """
+with v as (
+  select distinct vec_id::bigint vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+         [floor(256 * x::double) for x in embedding] e
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+s as (
+  select q.vec_id anchor_id, q.e anchor, q.label = c.label same, c.vec_id, list_inner_product(q.e, c.e)::bigint score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0),
+p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.vec_id positive_id, row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id)::int "rank",
+       s.vec_id negative_id, p.score positive_score, s.score negative_score
+from p join s on p.anchor_id = s.anchor_id and not s.same and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score
+qualify "rank" <= 5
+"""
+
+
+@query("op13_hard_negatives", _HARD_NEGATIVES_SQL)
+def _(spark, folder):
+    """The five hardest negatives for each of the five best positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)

@@ -34,7 +34,7 @@ def test_queries_equal_their_sql(spark, oracle, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_held_out_documents_follow_the_contract(spark):
