@@ -109,8 +109,9 @@ def _band(mean: np.ndarray, spread: np.ndarray, means: np.ndarray, spreads: np.n
     return middle - room, middle + room
 
 
-def _kth(values: np.ndarray, k: int) -> float:
-    return float(np.partition(values, -k)[-k]) if len(values) >= k else -np.inf
+def _kth(values: np.ndarray, k: int):
+    """The k-th largest; less than anything, if there are fewer."""
+    return np.partition(values, -k)[-k] if len(values) >= k else -np.inf
 
 
 def nearest(anchors: Block, i: int, block: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +228,7 @@ def hard_negatives(
     targets = chosen.where("positive_score >= 0").groupBy("anchor").agg(
         F.collect_set("positive_score").alias("scores"), F.min("positive_score").alias("least"))
     second = asked.withColumnRenamed("label", "own").join(targets, "anchor")
-    floor = F.when(F.col("norm") > 0, F.col("least") * share[0] / share[1] / F.col("norm")).otherwise(F.lit(0.0))
+    floor = F.when(F.col("norm") > 0, F.col("least").cast("double") * share[0] / share[1] / F.col("norm")).otherwise(F.lit(0.0))
     second = stored(second.withColumn("floor", floor * (1 - _SLACK)))
 
     def find_negatives(left: pa.Table, right: pa.Table) -> pa.Table:
