@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtide.llm.norm_topk import exact_products
+from flowtide.llm.norm_topk import _products as exact_products
 from flowtide.llm.storage import stored
 
 BLOCK = 8192
