@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtide.llm import (
+    block_lstm,
     hard_negatives,
     hyperlang,
     line_crf,
@@ -337,3 +338,10 @@ def _(spark, folder):
     """The five hardest negatives for each of the five best positives of every hundredth vector."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query("op11_recurrent_extraction")
+def _(spark, folder):
+    """The article of every page, as the recurrent labeller sees it."""
+    pages = table(spark, folder, "pages")
+    return block_lstm.extract(pages, block_lstm.train(pages))
