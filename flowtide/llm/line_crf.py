@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.llm.words import SPACE, Words, chunks, mix, rank_in_group, span_hashes, words_of
+from flowtide.llm.words import SPACE, Words, chunks, paired, repeats, words_of
 
 SAMPLE_DOCS = 3000
 SEGMENT = 64
@@ -59,18 +59,31 @@ def _line_bounds(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends - (data[ends - 1] == 10)
 
 
+def _seen_before(data: np.ndarray, doc: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether an earlier line of the same document has the same bytes."""
+    again = np.zeros(len(doc), bool)
+    seen: set[bytes] = set()
+    now = None
+    for i, (d, a, b) in enumerate(zip(doc.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+        if d != now:
+            seen, now = set(), d
+        line = data[a:b].tobytes()
+        again[i] = line in seen
+        seen.add(line)
+    return again
+
+
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> Lines:
     """The lines with a word, their features, and the counts of their documents."""
     words = words_of(data, offsets)
     n_docs = len(offsets) - 1
-    spans = words.spans()
-    names = spans.hashes(words.starts, words.ends)
+    names, _ = words.numbered()
     n = len(names)
 
     repeated = np.zeros(n, bool)
     begin = np.flatnonzero(words.doc[: n - 2] == words.doc[2:]) if n > 2 else np.zeros(0, np.int64)
-    triples = span_hashes(mix(names), begin, begin + 3)
-    twice = begin[rank_in_group(words.doc[begin], triples)[0] > 1]
+    triples = paired(paired(names[begin], names[begin + 1]), names[begin + 2]) if len(begin) else begin
+    twice = begin[repeats(words.doc[begin], triples)[0] > 1]
     for k in range(3):
         repeated[twice + k] = True
 
@@ -82,7 +95,7 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> Lines:
     first = np.searchsorted(words.starts, starts)
     doc = words.doc[first] if n else np.zeros(0, np.int64)
     last = first + per_line - 1
-    again = rank_in_group(doc, spans.hashes(starts, ends))[1]
+    again = _seen_before(data, doc, starts, ends)
 
     solid = _between(~SPACE[data], starts, ends)
     symbols, upper, digits, bars, shouts = (

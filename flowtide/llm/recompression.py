@@ -9,7 +9,8 @@ outermost run and then one letter on each side. What is left of a window is its
 The window is filed under the symbol of its core that covers most words (its anchor). Equal windows thus meet in one anchor
 symbol; anchors that occur once are no repeats. A window without a core is filed under its own hash. Neighbouring
 windows of one anchor form a span. Spans that are equal verify all their windows at once, the rest of an anchor's
-windows are compared one by one.
+windows are compared one by one. Anchors are built from one half of the words' 128-bit hashes, spans and windows are verified by
+polynomials modulo a prime over the other half, so what makes a candidate has no say in its verification.
 """
 
 from __future__ import annotations
@@ -121,15 +122,15 @@ def _find_spans(window: int):
             t1, t2 = (batch.column(i).to_numpy() for i in (0, 1))
             for row, _, data, offsets in chunks(batch.column(2)):
                 words = words_of(data, offsets)
-                hashes = words.hashes()
-                begin, key, best = anchors(hashes, words.doc, window)
+                names, others = words.names()
+                begin, key, best = anchors(names, words.doc, window)
                 if not len(begin):
                     continue
                 first, last = _spans(begin, best)
                 low, high = begin[first], begin[last]
                 doc = words.doc[low]
                 base = words.first[doc]
-                span = span_hashes(mix(hashes), low, high + window)
+                span = span_hashes(others, low, high + window)
                 yield pa.RecordBatch.from_arrays(
                     [_long(key[first]), _long(span), pa.array(t1[row + doc]), pa.array(t2[row + doc]),
                      pa.array((low - base).astype(np.int32)), pa.array((high - base).astype(np.int32))],
@@ -156,7 +157,7 @@ def _window_hashes(window: int):
                 which = np.repeat(np.arange(len(low)), count)
                 at = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
                 begin = words.first[doc[which]] + at
-                shape = span_hashes(mix(words.hashes()), begin, begin + window)
+                shape = span_hashes(words.names()[1], begin, begin + window)
                 owner = row + doc[which]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[which]), _long(shape), pa.array(span[which]), pa.array(t1[owner]), pa.array(t2[owner]),

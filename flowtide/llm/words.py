@@ -1,7 +1,8 @@
-"""Words of many texts at once: numpy arrays over the bytes of an Arrow string column, no object per word.
+"""Words of many texts at once: numpy arrays over the bytes of an Arrow string column.
 
-A word is a maximal run of bytes other than space and ``\\t \\n \\v \\f \\r``. Hashes are polynomials modulo 2**64 over a
-random table of bytes, mixed at the end, so equal words have equal hashes in every task.
+A word is a maximal run of bytes other than space and ``\\t \\n \\v \\f \\r``. Within a block of texts words are numbered exactly; between
+tasks they go by two independent halves of a 128-bit hash, taken once for every distinct word. Hashes of sequences of words
+are polynomials modulo the prime 2**61 - 1 at a random point, so no sequences collide by their structure.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_128_digest
 
 CHUNK_BYTES = 2 << 20
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-_TABLE = np.random.default_rng(20240607).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_WORDS_AT_ONCE = 1 << 18
+_PRIME = np.uint64((1 << 61) - 1)
+_LOW30, _LOW31 = np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1)
+_N1, _N30, _N31, _N61 = (np.uint64(n) for n in (1, 30, 31, 61))
+_BASE = 0x1B873593CC9E2D51 % ((1 << 61) - 1)
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 
@@ -30,19 +34,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime."""
+    x = (x & _PRIME) + (x >> _N61)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Product of reduced values modulo the prime, from halves of 31 bits."""
+    a_high, a_low, b_high, b_low = a >> _N31, a & _LOW31, b >> _N31, b & _LOW31
+    middle = a_low * b_high + a_high * b_low
+    return _reduced((a_high * b_high << _N1) + (middle >> _N30) + ((middle & _LOW30) << _N31) + a_low * b_low)
+
+
 class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown as needed."""
+    """Powers of a base and of its inverse modulo the prime, grown as needed."""
 
     def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.bases = base, pow(base, -1, int(_PRIME))
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                values = np.full(max(n, 1 << 16), base & _MASK, np.uint64)
-                values[0] = 1
-                setattr(self, name, np.multiply.accumulate(values))
+        while len(self.up) < n:
+            k = len(self.up)
+            shifts = (np.full(1, pow(b, k, int(_PRIME)), np.uint64) for b in self.bases)
+            self.up, self.down = (np.concatenate([v, times(v, s)]) for v, s in zip((self.up, self.down), shifts, strict=True))
         return self.up[:n], self.down[:n]
 
 
@@ -50,16 +66,17 @@ _POWERS = Powers(_BASE)
 
 
 class Spans:
-    """Hashes of any slices of an array; each depends on the values in its slice only."""
+    """Hashes of any slices of an array of 64-bit values; each depends on the values in its slice only."""
 
     def __init__(self, values: np.ndarray):
         up, self.down = _POWERS.upto(len(values) + 1)
-        self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+        terms = times(_reduced(values), up[: len(values)])
+        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(part, dtype=np.uint64)]) for part in (terms >> _N31, terms & _LOW31)]
+        self.sums = _reduced(times(_reduced(sums[0]), np.full(1, 1 << 31, np.uint64)) + _reduced(sums[1]))
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        inside = (self.sums[ends] - self.sums[starts]) * self.down[starts]
-        return mix(inside + (ends - starts).astype(np.uint64))
+        inside = times(_reduced(self.sums[ends] + (_PRIME - self.sums[starts])), self.down[starts])
+        return mix(inside ^ mix((ends - starts).astype(np.uint64)))
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -74,12 +91,22 @@ class Words(NamedTuple):
     doc: np.ndarray  # text number of each word
     first: np.ndarray  # number of the first word of each text, and the total
 
-    def spans(self) -> Spans:
-        """For hashes of any ranges of bytes."""
-        return Spans(_TABLE[self.data])
-
-    def hashes(self) -> np.ndarray:
-        return self.spans().hashes(self.starts, self.ends)
+    def numbered(self) -> tuple[np.ndarray, list[bytes]]:
+        """A number for every word, equal for equal words only, and the distinct words by their number."""
+        known: dict[bytes, int] = {}
+        ids = np.zeros(len(self.starts), np.int64)
+        for first, last in zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True):
+            for low in range(first, last, _WORDS_AT_ONCE):
+                high = min(low + _WORDS_AT_ONCE, last)
+                found = self.data[self.starts[low] : self.ends[high - 1]].tobytes().split()
+                ids[low:high] = [known.setdefault(w, len(known)) for w in found]
+        return ids, list(known)
+
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent 64-bit names of every word, the same in every task."""
+        ids, distinct = self.numbered()
+        digests = np.frombuffer(b"".join(map(xxh3_128_digest, distinct)), np.uint64).reshape(-1, 2)
+        return digests[ids, 0], digests[ids, 1]
 
     def per_doc(self, per_word: np.ndarray) -> np.ndarray:
         """Sums of a value per word, by text."""
@@ -128,26 +155,20 @@ def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         row = stop
 
 
-def rank_in_group(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeats(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each item, how many items have the same (group, value), and whether an earlier one has it.
 
-    ``group`` rises; values are 64-bit hashes.
+    Both are small whole numbers, of groups and of distinct values.
     """
     if not len(value):
         return np.zeros(0, np.int64), np.zeros(0, bool)
-    order = np.lexsort((value, group)) if len(value) < 64 else _order(group, value)
-    g, v = group[order], value[order]
-    new = np.ones(len(v), bool)
-    new[1:] = (g[1:] != g[:-1]) | (v[1:] != v[:-1])
-    runs = np.cumsum(new) - 1
-    sizes = np.bincount(runs)
-    count = np.empty(len(v), np.int64)
-    count[order] = sizes[runs]
-    again = np.empty(len(v), bool)
-    again[order] = ~new
-    return count, again
-
-
-def _order(group: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Stable order by one mixed key: equal (group, value) pairs are neighbours."""
-    return np.argsort(mix(value + mix(group.astype(np.uint64) + np.uint64(1))), kind="stable")
+    key = group.astype(np.int64) * (int(value.max()) + 1) + value
+    _, first, at, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    return count[at], first[at] != np.arange(len(key))
+
+
+def paired(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A number for every pair of small numbers, equal for equal pairs only."""
+    if not len(left):
+        return np.zeros(0, np.int64)
+    return np.unique(left * (int(right.max()) + 1) + right, return_inverse=True)[1]

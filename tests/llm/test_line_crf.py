@@ -32,6 +32,15 @@ def test_base_counts_equal_brute_force(texts):
     assert [list(g) for g in got] == [brute(t) for t in texts]
 
 
+def test_thue_morse_lines_are_different():
+    bits = [0]
+    for _ in range(10):
+        bits += [1 - b for b in bits]
+    text = "\n".join("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    base = line_crf.lines_of(*words.buffers(pa.array([text]))).base
+    assert [int(base[c][0]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] == brute(text)
+
+
 def random_field(seed):
     pick = np.random.default_rng(seed)
     return line_crf.Field(pick.normal(size=line_crf.FEATURES), pick.normal(size=(2, 2)))

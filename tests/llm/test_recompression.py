@@ -58,3 +58,17 @@ def test_hot_passage(spark, docs_of):
     texts = [(i, f"own{i} {passage} end{i}" if i % 3 else f"alone{i}") for i in range(300)]
     got = {r.doc_id: r.n_removed for r in recompression.removal_report(docs_of(*texts)).collect()}
     assert all(got[i] == (45 if i % 3 else 0) for i in range(300))
+
+
+def test_thue_morse_words_and_passages_are_told_apart(spark, docs_of):
+    """Polynomials modulo a power of two cannot tell a Thue-Morse sequence from its mirror image."""
+    bits = [0]
+    for _ in range(10):
+        bits += [1 - b for b in bits]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    tail = " ".join(f"t{i}" for i in range(34))
+    texts = [(0, f"{one} {tail}"), (1, f"{two} {tail}")]
+    texts += [(2 + flip, " ".join(f"w{b ^ flip}" for b in bits) + f" end{flip}") for flip in (0, 1)]
+    got = {r.doc_id: tuple(r)[1:] for r in recompression.removal_report(docs_of(*texts)).collect()}
+    assert got == brute(texts, 35)
+    assert got[0][1] == got[1][1] == 0

@@ -18,8 +18,10 @@ def test_words_and_hashes_follow_the_definition(texts):
     want = [(d, w) for d, t in enumerate(texts) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
     got = [(d, bytes(data[a:b]).decode()) for d, a, b in zip(found.doc, found.starts, found.ends, strict=True)]
     assert got == want
-    names = found.hashes()
-    assert len(set(names.tolist())) == len({w for _, w in want})
+    ids, distinct = found.numbered()
+    assert [distinct[i].decode() for i in ids] == [w for _, w in want] and len(set(distinct)) == len(distinct)
+    for names in found.names():
+        assert len(set(names.tolist())) == len({w for _, w in want})
     assert np.diff(found.first).tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
 
 
@@ -31,7 +33,30 @@ def test_chunks_keep_texts_whole_and_sliced_columns_work():
     assert list(words.chunks(pa.array([], pa.string()))) == []
 
 
-def test_rank_in_group():
-    group, value = np.array([0, 0, 0, 1, 1]), np.array([5, 7, 5, 5, 5], np.uint64)
-    count, again = words.rank_in_group(group, value)
+def test_repeats():
+    group, value = np.array([0, 0, 0, 1, 1]), np.array([5, 7, 5, 5, 5])
+    count, again = words.repeats(group, value)
     assert count.tolist() == [2, 1, 2, 2, 2] and again.tolist() == [False, False, True, False, True]
+    assert words.paired(np.array([1, 1, 2]), np.array([3, 4, 3])).tolist() == [0, 1, 2]
+
+
+def thue_morse(k):
+    bits = [0]
+    for _ in range(k):
+        bits += [1 - b for b in bits]
+    return bits
+
+
+def test_spans_are_polynomials_and_tell_thue_morse_apart():
+    pick = np.random.default_rng(0)
+    values = pick.integers(0, 1 << 63, 60, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    prime = (1 << 61) - 1
+    spans = words.Spans(values)
+    starts, ends = pick.integers(0, 30, 40), pick.integers(30, 61, 40)
+    for a, b, h in zip(starts, ends, spans.hashes(starts, ends), strict=True):
+        want = sum(int(v) % prime * pow(words._BASE, i, prime) for i, v in enumerate(values[a:b])) % prime
+        assert h == words.mix(np.array([want], np.uint64) ^ words.mix(np.array([b - a], np.uint64)))[0]
+    one = np.array(thue_morse(11), np.uint64) + np.uint64(7)
+    both = np.concatenate([one, np.uint64(15) - one])
+    found = words.span_hashes(both, np.array([0, 2048]), np.array([2048, 4096]))
+    assert found[0] != found[1]
