@@ -1,8 +1,9 @@
 """Quality rules with line labelling: a linear-chain conditional random field marks lines as content or boilerplate.
 
 Counts of words, symbols, equal lines and repeated word triples are exact and cover whole texts. The field has two
-labels, binary features of a line and label transitions. It is fitted by maximum likelihood on labelled documents: the lines
-of a good document are content and those of a bad one boilerplate.
+labels, binary features of a line and label transitions. The labels of lines are hidden: only documents are labelled, and a document's label
+is a noisy sign on each of its lines, for a bad document has lines of prose too. So the field is fitted to the marginal likelihood of
+the signs, summed over all labellings, and how far the signs can be trusted is estimated with it.
 Viterbi decoding then labels every line of every document, and the share of words in content lines decides.
 """
 
@@ -21,6 +22,8 @@ from flowtide.llm.words import SPACE, Words, chunks, paired, repeats, words_of
 SAMPLE_DOCS = 3000
 SEGMENT = 64
 FEATURES = 24
+#: First guess of P(good document | label of a line), for boilerplate and for content.
+TRUST = (0.1, 0.97)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _UPPER = np.zeros(256, bool)
@@ -143,32 +146,86 @@ def _bits(codes: np.ndarray) -> np.ndarray:
     return (codes[..., None] >> np.arange(FEATURES)) & 1
 
 
-def fit_field(codes: list[np.ndarray], labels: list[np.ndarray], steps: int = 150, ridge: float = 1e-3) -> Field:
-    """Maximum likelihood by gradient steps; the chains are cut into segments of ``SEGMENT`` lines."""
-    parts = [(c[i : i + SEGMENT], y[i : i + SEGMENT]) for c, y in zip(codes, labels, strict=True) for i in range(0, len(c), SEGMENT)]
-    if not parts or len({int(v) for _, y in parts for v in y}) < 2:
-        return Field(np.eye(FEATURES)[0], np.zeros((2, 2)))
-    parts.sort(key=lambda p: -len(p[0]))
-    size = np.array([len(c) for c, _ in parts])
-    inside = np.arange(size[0]) < size[:, None]
-    # lines with equal features are told apart by place only
-    forms, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    bits = _bits(forms).astype(float)
-    form, y = np.zeros(inside.shape, np.int64), np.zeros(inside.shape, np.int64)
-    form[inside], y[inside] = at, np.concatenate([v for _, v in parts])
-    total = inside.sum()
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[:, :-1][inside[:, 1:]], y[:, 1:][inside[:, 1:]]), 1)
-    observed = np.bincount(form[inside], y[inside], len(forms)) @ bits
-    theta = np.zeros(FEATURES + 4)
+class Chains:
+    """Lines of documents in segments of ``SEGMENT``, padded; lines with equal features are told apart by place only."""
+
+    def __init__(self, codes: list[np.ndarray], signs: list[np.ndarray]):
+        parts = [(c[i : i + SEGMENT], z[i : i + SEGMENT]) for c, z in zip(codes, signs, strict=True) for i in range(0, len(c), SEGMENT)]
+        parts.sort(key=lambda p: -len(p[0]))
+        size = np.array([len(c) for c, _ in parts])
+        self.inside = np.arange(size[0]) < size[:, None]
+        forms, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        self.bits = _bits(forms).astype(float)
+        self.form, self.sign = np.zeros(self.inside.shape, np.int64), np.zeros(self.inside.shape, np.int64)
+        self.form[self.inside], self.sign[self.inside] = at, np.concatenate([z for _, z in parts])
+        self.total = int(self.inside.sum())
+
+    def sums(self, node: np.ndarray) -> np.ndarray:
+        """Features of the content lines, by their probability."""
+        return np.bincount(self.form[self.inside], node[self.inside], len(self.bits)) @ self.bits
+
+    def marginals(self, theta: np.ndarray, evidence: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        return _marginals((self.bits @ theta[:FEATURES])[self.form] + evidence, theta[FEATURES:].reshape(2, 2), self.inside)
+
+    def gradient(self, theta: np.ndarray, trust: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the log of the signs' likelihood per line, and the posterior of content; ``trust`` is P(good sign | label)."""
+        odds = np.log(np.stack([(1 - trust[1]) / (1 - trust[0]), trust[1] / trust[0]]))
+        free, moves = self.marginals(theta)
+        held, held_moves = self.marginals(theta, odds[self.sign])
+        return np.concatenate([self.sums(held) - self.sums(free), (held_moves - moves).ravel()]) / self.total, held
+
+
+def _climb(theta: np.ndarray, gradient, steps: int, ridge: float) -> np.ndarray:
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        node, edge = _marginals((bits @ theta[:FEATURES])[form], theta[FEATURES:].reshape(2, 2), inside)
-        expected = np.bincount(form[inside], node[inside], len(forms)) @ bits
-        gradient = np.concatenate([observed - expected, (seen - edge).ravel()]) / total - ridge * theta
-        mean = 0.9 * mean + 0.1 * gradient
-        square = 0.99 * square + 0.01 * gradient**2
+        slope = gradient(theta, step) - ridge * theta
+        mean = 0.9 * mean + 0.1 * slope
+        square = 0.99 * square + 0.01 * slope**2
         theta = theta + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    return theta
+
+
+def fit_field(codes: list[np.ndarray], signs: list[np.ndarray], steps: int = 100, ridge: float = 1e-3) -> Field:
+    """Fit to one sign per line, in three climbs.
+
+    The first takes the signs for labels, the second climbs their marginal likelihood with hidden labels. Both leave the transitions
+    out: signs are equal all through a document, and a chain would explain them by never changing its label. The third fits
+    the whole field to the labels that are likeliest by the second, from a line's features alone: the signs leave open how
+    much of a doubtful line is noise and how much label, sharp labels do not. Without lines of both signs every line is content.
+    """
+    given = [(c, z) for c, z in zip(codes, signs, strict=True) if len(c)]
+    if len({int(v) for _, z in given for v in z}) < 2:
+        return Field(np.eye(FEATURES)[0], np.zeros((2, 2)))
+    chains = Chains([c for c, _ in given], [z for _, z in given])
+    good = (chains.sign * chains.inside).astype(float)
+    trust = np.array(TRUST)
+    still = np.zeros(4)
+
+    def told(node: np.ndarray, edge: np.ndarray | None):
+        observed = chains.sums(node)
+
+        def slope(theta: np.ndarray, step: int) -> np.ndarray:
+            found, moves = chains.marginals(theta)
+            rest = still if edge is None else (edge - moves).ravel()
+            return np.concatenate([observed - chains.sums(found), rest]) / chains.total
+
+        return slope
+
+    def hidden(theta: np.ndarray, step: int) -> np.ndarray:
+        slope, held = chains.gradient(theta, trust)
+        if step % 10 == 0:
+            for label, share in enumerate((1 - held, held)):
+                weight = share[chains.inside]
+                trust[label] = ((weight @ good[chains.inside]) + TRUST[label] * 20) / (weight.sum() + 20)
+            trust[:] = np.clip(trust, (0.01, 0.6), (0.4, 0.99))
+        return np.append(slope[:FEATURES], still)
+
+    theta = _climb(np.zeros(FEATURES + 4), told(good, None), steps // 2, ridge)
+    theta = _climb(theta, hidden, steps, ridge)
+    held = (chains.marginals(theta)[0] >= 0.5).astype(float)
+    sides = np.stack([1 - held, held], -1)
+    both = np.where(chains.inside[:, 1:, None, None], sides[:, :-1, :, None] * sides[:, 1:, None, :], 0).sum((0, 1))
+    theta = _climb(theta, told(held, both), steps, ridge)
     return Field(theta[:FEATURES], theta[FEATURES:].reshape(2, 2))
 
 
@@ -227,7 +284,8 @@ def _sample(docs: DataFrame, labels: DataFrame, train: Column | None, limit: int
     if train is not None:
         rows = rows.where(train)
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # a doc_id with several texts is represented by the first in order
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_quality").agg(F.min("text").alias("text"))
 
 
 def train_field(docs: DataFrame, labels: DataFrame, train: Column | None = None, limit: int = SAMPLE_DOCS) -> Field:
@@ -260,7 +318,7 @@ def quality_report(docs: DataFrame, field: Field, min_share: float = 0.5) -> Dat
     """doc_id, the exact counts, base_failed, the content share and the verdict, for every row of ``docs``.
 
     Nulls: a null text has no words, so it fails the base rules; a null doc_id is returned as it is. Repeated rows are judged
-    alike. Further columns are not read.
+    alike. An empty table gives no rows. Further columns are not read, whatever their names.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

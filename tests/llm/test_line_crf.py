@@ -87,3 +87,55 @@ def test_fitted_field_tells_content_from_junk(spark, docs_of):
     # without labels of both kinds every line is content
     none = line_crf.train_field(docs, labels.limit(0))
     assert all(r.kept for r in line_crf.quality_report(docs_of(*rows), none).collect())
+
+
+def test_marginal_likelihood_of_hidden_labels_equals_enumeration():
+    """The gradient climbs the likelihood of the signs, summed over all labellings of short documents."""
+    pick = np.random.default_rng(5)
+    codes = [pick.integers(0, 1 << line_crf.FEATURES, n) for n in (1, 3, 4)]
+    signs = [np.full(len(c), i % 2, np.int64) for i, c in enumerate(codes)]
+    chains, trust = line_crf.Chains(codes, signs), np.array([0.2, 0.9])
+
+    def likelihood(theta):
+        field = line_crf.Field(theta[: line_crf.FEATURES], theta[line_crf.FEATURES :].reshape(2, 2))
+        total = 0.0
+        for c, z in zip(codes, signs, strict=True):
+            paths = list(product((0, 1), repeat=len(c)))
+            weights = np.exp([path_score(field, c, y) for y in paths])
+            told = [np.prod([trust[a] if b else 1 - trust[a] for a, b in zip(y, z, strict=True)]) for y in paths]
+            total += np.log(weights @ told / weights.sum())
+        return total / chains.total
+
+    theta = pick.normal(size=line_crf.FEATURES + 4)
+    slope, _ = chains.gradient(theta, trust)
+    for i in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[i] = 1e-5
+        assert np.isclose((likelihood(theta + step) - likelihood(theta - step)) / 2e-5, slope[i], atol=1e-6)
+
+
+def test_prose_between_menu_lines_is_labelled_by_line(spark, docs_of):
+    """Bad documents have lines of prose, good ones a few menus: labels change within a document, and the share decides."""
+    pick = np.random.default_rng(1)
+    prose = lambda: "The " + " ".join(f"word{i}" for i in pick.integers(0, 5000, 14)) + "."
+    menu = lambda: " | ".join(f"$$$nav{i}***" for i in pick.integers(0, 5000, 9))
+
+    def document(good):
+        kinds = [prose if pick.random() < (0.9 if good else 0.25) else menu for _ in range(12)]
+        return kinds, "\n".join(k() for k in kinds)
+
+    made = [document(i % 2) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(300)], "doc_id bigint, quality int, toxic int")
+    docs = docs_of(*[(i, text) for i, (_, text) in enumerate(made)])
+    field = line_crf.train_field(docs, labels)
+    right = total = 0
+    for kinds, text in made:
+        lines = line_crf.lines_of(*words.buffers(pa.array([text])))
+        found = line_crf.viterbi(field, lines.codes, lines.doc)
+        right += sum(f == (k is prose) for f, k in zip(found, kinds, strict=True))
+        total += len(kinds)
+    assert right > 0.98 * total
+    shares = {r.doc_id: (r.content_share, r.kept) for r in line_crf.quality_report(docs, field).collect()}
+    mixed = [d for d, (kinds, _) in enumerate(made) if 0 < sum(k is prose for k in kinds) < 12]
+    assert sum(0 < shares[d][0] < 1 for d in mixed) > 0.95 * len(mixed) > 200
+    assert all(kept == (share >= 0.5) for share, kept in shares.values())
