@@ -306,8 +306,10 @@ def train(pages: DataFrame, limit: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS
 
     Training sequences are cut after ``SEGMENT`` blocks. An empty table still gives a model, from filler text.
     """
-    usable = pages.where(F.length("html").between(1, chars)).select("html")
-    rows = usable.orderBy(F.xxhash64("html"), "html").limit(limit).collect()
+    usable = pages.where(F.length("html").between(1, chars)).select(F.xxhash64("html").alias("h"), "html")
+    # the hashes first, so that no task sends pages that are not chosen; equal pages count once
+    hashes = [r.h for r in usable.select("h").distinct().orderBy("h").limit(limit).collect()]
+    rows = usable.where(F.col("h").isin(hashes)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if hashes else []
     parsed = [blocks(r.html) for r in rows]
     hasher = Hasher()
     examples = []

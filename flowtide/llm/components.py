@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.llm.storage import stored
+from flowtide.llm.storage import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,23 +23,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.union(least.select("u", F.col("m").alias("v")))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges(u, v)``; the root is the smallest node that can be reached.
 
     Each round is a grouped minimum and a join with it, so no list of neighbours is formed and a node with
-    very many links is a skewed join that Spark splits. The rounds end when nothing changes; each is
-    written to the shared folder.
+    very many links is a skewed join that Spark splits. The rounds end when the edges are those of the round before; each is
+    written to the shared folder, and removed when the next one is there.
     """
-    edges = stored(edges.where("u <> v").select("u", "v").distinct())
-    mark = _mark(edges)
-    while mark[0]:
+    places: list[str] = []
+    edges = stored(edges.where("u <> v").select("u", "v").distinct(), places)
+    count = edges.count()
+    while count:
         large = _large_star(edges).where("u <> v").distinct()
-        edges = stored(_small_star(large).where("u <> v").distinct())
-        before, mark = mark, _mark(edges)
-        if before == mark:
+        after = stored(_small_star(large).where("u <> v").distinct(), places)
+        before, count = count, after.count()
+        done = before == count and after.join(edges, ["u", "v"], "left_anti").isEmpty()
+        edges = after
+        discard([places.pop(0)])
+        if done:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v")).distinct()

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtide.llm.norm_topk import _products as exact_products
+from flowtide.llm.norm_topk import check_range
 from flowtide.llm.storage import stored
 
 BLOCK = 8192
@@ -187,7 +188,7 @@ def hard_negatives(
     the anchor after ``floor(scale * x)``, higher first, ties by vec_id. An anchor's positives are its first ``positives`` rows of the
     same label; for each, the first ``per_positive`` rows of other labels whose score lies between ``share`` of the positive's and it.
 
-    Scores are exact; one outside the range of long is an error if it is met. Rows that take no part: see ``prepared``. Vectors
+    Scores are exact; vectors so long that a score might be outside the range of long are an error. Rows that take no part: see ``prepared``. Vectors
     meet only vectors of their own length; rows with the anchor's own id are no partners of it. Equal rows count once,
     different rows of one id are rows of their own. Empty tables, and anchors without partners, give no rows.
     Further columns are not read, whatever their names.
@@ -196,6 +197,7 @@ def hard_negatives(
     count = stock.groupBy("dim", "label").agg(F.count("*").alias("n"))
     sizes = stored(count.select("dim", "label", F.ceil(F.col("n") / BLOCK).cast("bigint").alias("blocks")))
     asked = stock.where(anchors)
+    check_range(stock, asked)
     tables = asked.groupBy("dim").agg(F.ceil(F.count("*") / ANCHOR_BLOCK).cast("bigint").alias("tables"))
     asked = asked.join(tables, "dim").withColumn("anchor_block", F.pmod(F.xxhash64("vec_id"), "tables")).drop("tables")
     asked = stored(asked.withColumn("anchor", F.sha2(F.concat_ws(":", "vec_id", "label", F.hex("code")), 256)))

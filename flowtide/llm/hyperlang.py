@@ -8,7 +8,7 @@ that bear its name, and a text goes to the language whose prototype has the larg
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowtide.llm.storage import from_row, whole_row
+
 DIMENSIONS = 1024
 SAMPLE_DOCS = 50_000
 UNKNOWN = "und"
@@ -24,6 +26,8 @@ MIN_VARIETY = 100
 _BLOCK_DOCS = 64
 _BLOCK_CHARS = 1 << 20
 _SEED = 41
+SLICE_CHARS = 1 << 18
+SLICE_TRIPLES = 4096
 
 
 class Model(NamedTuple):
@@ -38,7 +42,7 @@ def _letters() -> np.ndarray:
     return np.strings.isalpha(points.view("U1"))
 
 
-@cache
+@lru_cache(maxsize=1 << 15)
 def _letter_vector(point: int) -> np.ndarray:
     """The vector of a letter; 0 stands for everything between words."""
     return np.random.default_rng([_SEED, point]).integers(0, 2, DIMENSIONS).astype(np.int8) * np.int8(2) - np.int8(1)
@@ -68,41 +72,48 @@ class Triples:
         return self.vectors[[self.rows[key] for key in keys]].astype(np.float32)
 
 
-def count_triples(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct triple keys, and how often each text has each."""
+def triple_slices(texts: list[str | None], size: int = SLICE_CHARS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Letter triples of the texts, in slices of ``size`` characters: distinct keys, which of them each triple is, its text's number.
+
+    A word's outer letters have a boundary beside them, also at the ends of a text.
+    """
     lowered = [(t or "").lower() for t in texts]
-    points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, lowered), np.int64, len(texts)))
-    signs = np.where(_letters()[points], points, 0)
-    kept = np.ones(len(signs), bool)
-    kept[1:] = (signs[1:] > 0) | (signs[:-1] > 0) | (doc[1:] != doc[:-1])
-    signs, doc = signs[kept].astype(np.int64), doc[kept]
-    # a word's outer letters have a boundary beside them, also at the ends of a text
-    padded = np.concatenate([[0], signs, [0]])
-    owner = np.concatenate([[-1], doc, [-1]])
-    left = np.where(owner[:-2] == doc, padded[:-2], 0)
-    right = np.where(owner[2:] == doc, padded[2:], 0)
-    here = signs > 0
-    left, middle, right, doc = left[here], signs[here], right[here], doc[here]
-    present = np.zeros(0x110000, bool)
-    for part in (left, middle, right):
-        present[part] = True
-    alphabet = np.flatnonzero(present)
-    n = len(alphabet)
-    small = np.zeros(0x110000, np.int64)
-    small[alphabet] = np.arange(n)
-    ids = (small[left] * n + small[middle]) * n + small[right]
-    if n <= 200:
-        seen = np.zeros(n**3, bool)
-        seen[ids] = True
-        found = np.flatnonzero(seen)
-        place = np.cumsum(seen) - 1
-        at = place[ids]
-    else:
-        found, at = np.unique(ids, return_inverse=True)
-    counts = np.bincount(doc * len(found) + at, minlength=len(texts) * len(found)).reshape(len(texts), len(found))
-    keys = (alphabet[found // (n * n)] << 42) | (alphabet[found // n % n] << 21) | alphabet[found % n] if n else found
-    return keys, counts
+    sizes = np.fromiter(map(len, lowered), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    whole = "".join(lowered)
+    for low in range(0, len(whole), size):
+        high = min(low + size, len(whole))
+        # one more character on each side
+        first, last = max(low - 1, 0), min(high + 1, len(whole))
+        points = np.frombuffer(whole[first:last].encode("utf-32-le", "surrogatepass"), np.uint32)
+        doc = np.searchsorted(ends, np.arange(first, last), side="right")
+        padded = np.concatenate([[0], np.where(_letters()[points], points, 0).astype(np.int64), [0]])
+        owner = np.concatenate([[-1], doc, [-1]])
+        left = np.where(owner[:-2] == doc, padded[:-2], 0)
+        right = np.where(owner[2:] == doc, padded[2:], 0)
+        middle = padded[1:-1]
+        here = middle > 0
+        here[: low - first] = False
+        here[high - first :] = False
+        left, middle, right, doc = left[here], middle[here], right[here], doc[here]
+        if not len(doc):
+            continue
+        present = np.zeros(0x110000, bool)
+        for part in (left, middle, right):
+            present[part] = True
+        alphabet = np.flatnonzero(present)
+        n = len(alphabet)
+        small = np.zeros(0x110000, np.int64)
+        small[alphabet] = np.arange(n)
+        ids = (small[left] * n + small[middle]) * n + small[right]
+        if n <= 200:
+            seen = np.zeros(n**3, bool)
+            seen[ids] = True
+            found = np.flatnonzero(seen)
+            at = (np.cumsum(seen) - 1)[ids]
+        else:
+            found, at = np.unique(ids, return_inverse=True)
+        yield (alphabet[found // (n * n)] << 42) | (alphabet[found // n % n] << 21) | alphabet[found % n], at, doc
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -117,8 +128,18 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 
 def bundles(texts: list[str | None], triples: Triples) -> np.ndarray:
-    keys, counts = count_triples(texts)
-    return counts.astype(np.float32) @ triples.of(keys) if len(keys) else np.zeros((len(texts), DIMENSIONS), np.float32)
+    """Sums of the triples' vectors, taken ``SLICE_TRIPLES`` distinct ones at a time, so memory does not follow the texts."""
+    total = np.zeros((len(texts), DIMENSIONS))
+    for keys, at, doc in triple_slices(texts):
+        if len(keys) > SLICE_TRIPLES:
+            order = np.argsort(at, kind="stable")
+            at, doc = at[order], doc[order]
+        cuts = np.searchsorted(at, np.arange(0, len(keys) + SLICE_TRIPLES, SLICE_TRIPLES)) if len(keys) > SLICE_TRIPLES else [0, len(at)]
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            part = keys[k * SLICE_TRIPLES : (k + 1) * SLICE_TRIPLES]
+            counts = np.bincount(doc[a:b] * len(part) + at[a:b] - k * SLICE_TRIPLES, minlength=len(texts) * len(part))
+            total += counts.reshape(len(texts), len(part)).astype(np.float32) @ triples.of(part)
+    return total.astype(np.float32)
 
 
 def train(docs: DataFrame, use: Column | None = None, limit: int = SAMPLE_DOCS) -> Model:
@@ -175,7 +196,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score for every row.
 
     Nulls: a null text is ``und`` with score 0; a null doc_id is returned as it is. Repeated rows get the same answer, ties go to
-    the language first in order. Further columns are not read.
+    the language first in order. An empty table gives no rows. Further columns are not read, whatever their names.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -193,9 +214,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def variety(texts: list[str | None]) -> np.ndarray:
     """How many triples each text would have if all of its triples were equally frequent: (sum of counts)^2 / sum of squares."""
     found = np.zeros(len(texts))
-    for start, stop in _blocks(texts):
-        counts = count_triples(texts[start:stop])[1].astype(float)
-        found[start:stop] = counts.sum(1) ** 2 / np.maximum((counts**2).sum(1), 1)
+    for i, text in enumerate(texts):
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for more, at, _ in triple_slices([text]):
+            joined = np.concatenate([keys, more])
+            keys, of = np.unique(joined, return_inverse=True)
+            counts = np.bincount(of, np.concatenate([counts, np.bincount(at)])).astype(np.int64)
+        found[i] = counts.sum() ** 2 / max((counts.astype(float) ** 2).sum(), 1)
     return found
 
 
@@ -204,18 +229,20 @@ def accepted(docs: DataFrame, model: Model, min_score: float, min_variety: float
 
     A text is unlike a language below a cosine of ``min_score``. The cosine of good prose grows with the number of its triples, so a
     text whose ``variety`` is under ``min_variety`` is too short or too repetitive to tell, and stays. Without any learned
-    language no row is accepted.
+    language no row is accepted, an empty table gives no rows. Nulls and empty texts have no letters; repeated rows are judged alike.
+    Memory follows slices of a text, never a whole one's triples.
     """
-    at = docs.columns.index("text")
+    given = docs.select("text", whole_row(docs, "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         triples = Triples()
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = batch.column(0).to_pylist()
             names, scores = predict(texts, model, triples)
             kept = np.array([n != UNKNOWN for n in names], bool)
             low = np.flatnonzero(kept & (scores < min_score))
             kept[low] = variety([texts[i] for i in low]) < min_variety
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    kept = given.mapInArrow(run, given.schema)
+    return kept.select(*from_row(kept, docs.columns, text=F.col("text")))

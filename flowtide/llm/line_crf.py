@@ -255,6 +255,8 @@ def viterbi(field: Field, codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     chain = doc.tolist()
     (stay0, up), (down, stay1) = field.transitions.tolist()
     n = len(chain)
+    if not n:
+        return np.zeros(0, bool)
     from0, from1 = bytearray(n), bytearray(n)
     low, high, now = 0.0, 0.0, None
     ends = []
@@ -268,8 +270,7 @@ def viterbi(field: Field, codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
         c, d = low + up, high + stay1
         from0[i], from1[i] = b >= a, d >= c
         low, high = max(a, b), max(c, d) + gain[i]
-    if n:
-        ends.append((n - 1, high >= low))
+    ends.append((n - 1, high >= low))
     labels = np.zeros(n, bool)
     for (last, label), start in zip(reversed(ends), reversed([0, *[e + 1 for e, _ in ends[:-1]]]), strict=True):
         for i in range(last, start - 1, -1):

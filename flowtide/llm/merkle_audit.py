@@ -33,16 +33,21 @@ def leaves(records: DataFrame) -> DataFrame:
 
 
 def _joined(parts: Column) -> Column:
-    return F.sha2(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(parts)), lambda s: F.concat_ws(" ", *[s[f"c{i}"] for i in range(3)]))), 256)
+    lines = F.transform(F.sort_array(F.collect_list(parts)), lambda s: F.concat_ws(" ", *[s[f"c{i}"] for i in range(4)]))
+    return F.sha2(F.concat_ws("\n", lines), 256)
 
 
 def tree(leaf_rows: DataFrame, leaf: int = LEAF_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
-    """Levels of nodes (file, node, hash, children) from the offset ranges up to one node per file, each stored."""
-    parts = F.struct(F.col("offset").alias("c0"), F.col("length").alias("c1"), F.col("hash").alias("c2"))
-    grouped = leaf_rows.groupBy("file", F.floor(F.col("offset") / leaf).alias("node"))
-    levels = [stored(grouped.agg(_joined(parts).alias("hash"), F.count("*").alias("children")))]
+    """Levels of nodes (file, node, hash, children) from the offset ranges up to one node per file, each stored.
+
+    Equal records are counted first, so a record that stands there very often is one child with its number.
+    """
+    counted = leaf_rows.groupBy("file", "offset", "length", "hash").agg(F.count("*").alias("n"))
+    parts = F.struct(F.col("offset").alias("c0"), F.col("length").alias("c1"), F.col("hash").alias("c2"), F.col("n").alias("c3"))
+    grouped = counted.groupBy("file", F.floor(F.col("offset") / leaf).alias("node"))
+    levels = [stored(grouped.agg(_joined(parts).alias("hash"), F.sum("n").alias("children")))]
     while levels[-1].agg(F.max("node")).first()[0]:
-        parts = F.struct(F.col("node").alias("c0"), F.col("children").alias("c1"), F.col("hash").alias("c2"))
+        parts = F.struct(F.col("node").alias("c0"), F.col("children").alias("c1"), F.col("hash").alias("c2"), F.lit(1).alias("c3"))
         grouped = levels[-1].groupBy("file", F.floor(F.col("node") / fanout).alias("node"))
         levels.append(stored(grouped.agg(_joined(parts).alias("hash"), F.count("*").alias("children"))))
     return levels

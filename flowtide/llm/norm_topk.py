@@ -19,7 +19,7 @@ from flowtide.llm.storage import stored
 
 BUCKETS = 16
 BLOCK = 8192
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 16384
 FOCUS = 3
 COORDINATE_FROM = 0.4
 _SLACK = 1e-9
@@ -117,6 +117,13 @@ class Bucket:
         return np.flatnonzero(hits[:long_enough] == len(focus))
 
 
+def check_range(stock: DataFrame, asked: DataFrame) -> None:
+    """An error, if the lengths leave room for a score outside the range of long: so it depends on the data and on no pruning."""
+    longest = [t.groupBy("dim").agg(F.max("norm").alias(n)) for t, n in ((stock, "a"), (asked, "b"))]
+    if not longest[0].join(longest[1], "dim").where(F.col("a") * F.col("b") >= 2.0**63).isEmpty():
+        raise OverflowError("a score may be outside the range of long")
+
+
 def _best_of_each(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids in order, each once with its best score."""
     order = np.lexsort((-scores, ids))
@@ -153,12 +160,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     """(query_id, rank, vec_id, score): the k best vectors for each row of ``queries``, never itself.
 
     Both tables have vec_id and embedding. Nulls and non-finite components: see ``quantised``. Vectors meet only vectors of
-    their own dimension. Scores are exact; one that is met outside the range of long is an error. Equal rows count once; an id with several vectors scores by its best pair. Buckets
+    their own dimension. Scores are exact; vectors so long that a score might be outside the range of long are an error. Empty tables give no rows, further columns
+    are not read. Equal rows count once; an id with several vectors scores by its best pair. Buckets
     are dealt out in blocks by a hash of the id, so vectors of one length, or copies of one vector, spread. Ties at
     the bound survive every pruning step.
     """
     stock = stored(quantised(vectors, scale))
     asked = stored(quantised(queries, scale))
+    check_range(stock, asked)
     cuts = [i / BUCKETS for i in range(BUCKETS - 1, 0, -1)]
     limits = stock.groupBy("dim").agg(F.percentile_approx("norm", cuts).alias("limits"))
     bucketed = stock.join(limits, "dim").withColumn("bucket", F.size(F.filter("limits", lambda x: x > F.col("norm")))).drop("limits")
@@ -174,8 +183,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     wanted = asked.join(plan, "dim").withColumn("query_block", F.pmod(spread, F.col("query_blocks")))
 
     keys = ["dim", "bucket", "block", "query_block"]
-    copies = dealt.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-    copies = copies.select(*[F.col(c).cast("bigint") for c in keys], "vec_id", "norm", "code")
+    code = [F.col(c).cast("bigint") for c in keys[:3]]
 
     def first_bounds(asked_rows: pa.Table, stock_rows: pa.Table) -> pa.Table:
         ids, rows, norms = (asked_rows.column("vec_id").to_numpy(), _matrix(asked_rows), asked_rows.column("norm").to_numpy())
@@ -192,17 +200,27 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
 
     lead = F.col("buckets")[0]["bucket"].cast("bigint").alias("bucket")
     leading = wanted.select("dim", lead, F.col("query_block").cast("bigint").alias("query_block"), "vec_id", "norm", "code")
-    seeds = copies.where("block = 0").drop("block")
+    # only the first block of the bucket with the longest vectors goes to all queries
+    first = plan.select("dim", F.col("buckets")[0]["bucket"].alias("bucket"), "query_blocks")
+    seeds = dealt.where("block = 0").drop("query_blocks").join(first, ["dim", "bucket"])
+    seeds = seeds.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     at = ["dim", "bucket", "query_block"]
-    tops = leading.select("dim", "bucket").distinct()
-    seeds = seeds.join(tops, ["dim", "bucket"], "left_semi")
+    seeds = seeds.select(*[F.col(c).cast("bigint") for c in at], "vec_id", "norm", "code")
     bounds = leading.groupBy(*at).cogroup(seeds.groupBy(*at)).applyInArrow(first_bounds, "vec_id bigint, code binary, bound double")
     bounds = stored(bounds)
 
     open_ = wanted.join(bounds, ["vec_id", "code"]).withColumn("b", F.explode("buckets"))
     # a bucket stays open unless its longest vector cannot reach the bound
     open_ = open_.where((F.col("bound") <= 0) | (F.col("b.longest") * F.col("norm") * (1 + _SLACK) >= F.col("bound")))
-    open_ = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("b.blocks") - 1))).withColumn("bucket", F.col("b.bucket"))
+    open_ = open_.withColumn("bucket", F.col("b.bucket"))
+    # what a block of queries asks for at least: a candidate goes to it only if its length can reach one of the bounds
+    shortest = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm") * (1 - _SLACK)).otherwise(F.lit(0.0))
+    asks = open_.groupBy("dim", "bucket", "query_block").agg(F.min(shortest).alias("floor"))
+    asks = asks.groupBy("dim", "bucket").agg(F.collect_list(F.struct("query_block", "floor")).alias("asks"))
+    copies = dealt.drop("query_blocks").join(stored(asks), ["dim", "bucket"])
+    copies = copies.withColumn("query_block", F.explode(F.transform(F.filter("asks", lambda a: a["floor"] <= F.col("norm")), lambda a: a["query_block"])))
+    copies = copies.select(*code, F.col("query_block").cast("bigint").alias("query_block"), "vec_id", "norm", "code")
+    open_ = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("b.blocks") - 1)))
     open_ = open_.select(*[F.col(c).cast("bigint") for c in keys], "vec_id", "norm", "code", "bound")
 
     def verify(asked_rows: pa.Table, stock_rows: pa.Table) -> pa.Table:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.llm.storage import stored
+from flowtide.llm.storage import free_name, from_row, stored, whole_row
 
 #: Above this mean a source is split into equal parts, so that exp(-mean) stays far from zero.
 PART = 32.0
@@ -57,12 +57,14 @@ def poisson(rate: Column, u: Column) -> Column:
 def mix(docs: DataFrame, weight: Column | None = None, total: float | None = None, seed: str = "mix") -> DataFrame:
     """``docs`` repeated to the target weights and in global random order; all columns stay, and three follow.
 
-    ``_copy`` numbers a document's copies, ``_order`` is a copy's random number in [0, 1), ``_rate`` the rate of the source.
-    Copies are dealt to partitions by their random number and sorted by it there, which needs no sampling pass. Nulls: a null source is a source of its own; a null doc_id draws like any other
-    id. Rows with equal doc_id draw equal counts. An empty table gives an empty mix.
+    ``_copy`` numbers a document's copies, ``_order`` is a copy's random number in [0, 1), ``_rate`` the rate of the source; where ``docs`` has a
+    column of such a name, the new one gets another underscore. Copies are dealt to partitions by their random number and sorted
+    by it there, which needs no sampling pass. Nulls: a null source is a source of its own; a null doc_id draws like any other
+    id. Rows with equal doc_id draw equal counts. An empty table gives an empty mix. Texts are not read.
     """
     found = stored(rates(docs, weight, total)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
-    joined = docs.join(found, docs["source"].eqNullSafe(found["_source"])).drop("_source")
+    given = docs.select(whole_row(docs), "source", "doc_id")
+    joined = given.join(found, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
     parts = F.greatest(F.ceil(F.col("_rate") / PART), F.lit(1)).cast("int")
     one = poisson(F.col("_rate") / parts, F.col("_u"))
     drawn = joined.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -70,6 +72,7 @@ def mix(docs: DataFrame, weight: Column | None = None, total: float | None = Non
     copies = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     copies = copies.withColumn("_copy", (F.col("_part") * 100_000 + F.col("_copy")).cast("bigint"))
     placed = copies.withColumn("_order", uniform(f"{seed}-order", "doc_id", "_copy"))
-    kept = [f"`{c}`" for c in docs.columns]
-    dealt = placed.select(*kept, "_copy", "_order", "_rate").repartition("_order")
-    return dealt.sortWithinPartitions("_order", F.col("doc_id").asc_nulls_first(), "_copy")
+    dealt = placed.select("_row", "doc_id", "_copy", "_order", "_rate").repartition("_order")
+    ordered = dealt.sortWithinPartitions("_order", F.col("doc_id").asc_nulls_first(), "_copy")
+    added = [F.col(c).alias(free_name(c, docs.columns)) for c in ("_copy", "_order", "_rate")]
+    return ordered.select(*from_row(ordered, docs.columns), *added)

@@ -41,7 +41,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op6_substring_dedup")
+_SUBSTRING_SQL = r"""
+with d as (
+  select row_number() over () id, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') w from documents),
+windows as (select id, p, sha256(array_to_string(w[p : p + 34], ' ')) h from (select id, w, unnest(range(1, len(w) - 33)) p from d where len(w) >= 35)),
+again as (select id, p from windows where h in (select h from windows group by h having count(*) > 1)),
+gone as (select id, list(distinct k) g from (select id, unnest(range(p, p + 35)) k from again) group by id),
+marked as (select doc_id, w, g from d left join gone using (id)),
+kept as (
+  select doc_id, len(w) n, w[:0] || list_transform(list_filter(list_zip(range(1, len(w) + 1), w), lambda x: not list_contains(coalesce(g, []), x[1])), lambda x: x[2]) k
+  from marked)
+select doc_id, n::bigint n_words, (n - len(k))::bigint n_removed, sha256(array_to_string(k, ' ')) kept_sha256 from kept
+"""
+
+
+@query("op6_substring_dedup", _SUBSTRING_SQL)
 def _(spark, folder):
     """Words kept after all windows of 35 words that occur anywhere else are gone."""
     return recompression.removal_report(table(spark, folder, "documents"), window=35)

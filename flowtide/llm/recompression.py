@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtide.llm.storage import discard, stored
+from flowtide.llm.storage import discard, from_row, stored, whole_row
 from flowtide.llm.words import chunks, mix, span_hashes, words_of
 
 ROUNDS = 3
@@ -219,21 +219,20 @@ def _kept(words: list[bytes], ranges: list[dict] | None) -> tuple[list[bytes], i
 
 
 def with_ranges(docs: DataFrame, window: int = 35) -> DataFrame:
-    """``docs`` with the ranges of its text in ``_ranges`` (null: none)."""
+    """(text, ranges, _row): the ranges of each text that are covered (null: none), and the other columns."""
     places: list[str] = []
-    ranges = stored(repeated_ranges(docs, window, places)).toDF("_t1", "_t2", "_ranges")
-    discard(docs.sparkSession, places)
+    ranges = stored(repeated_ranges(docs, window, places)).toDF("_t1", "_t2", "ranges")
+    discard(places)
     t1, t2 = _text_id()
-    marked = docs.withColumn("_a", t1).withColumn("_b", t2)
-    on = (marked["_a"] == ranges["_t1"]) & (marked["_b"] == ranges["_t2"])
-    return marked.join(ranges, on, "left").drop("_a", "_b", "_t1", "_t2")
+    marked = docs.select("text", whole_row(docs, "text"), t1, t2)
+    return marked.join(ranges, (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2")), "left").select("text", "ranges", "_row")
 
 
 def removal_report(docs: DataFrame, window: int = 35) -> DataFrame:
     """doc_id, n_words, n_removed and the SHA-256 of the words that stay, for every row of ``docs``.
 
     Nulls: a null text has no words; a null ``doc_id`` is returned as it is. Equal rows are repeats of each other.
-    Texts shorter than the window lose nothing. Further columns are not read.
+    Texts shorter than the window lose nothing. An empty table gives no rows. Further columns are not read, whatever their names.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -252,14 +251,15 @@ def removal_report(docs: DataFrame, window: int = 35) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    found = with_ranges(docs.select("doc_id", "text"), window).select("doc_id", "text", "_ranges")
+    found = with_ranges(docs.select("doc_id", "text"), window).select("_row.doc_id", "text", "ranges")
     return found.mapInArrow(run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """``docs`` with the covered words cut out of ``text``; texts that lose nothing stay as they are, byte by byte.
 
-    ``n_chars``, where there is one, follows the new text. A text of which nothing stays is empty.
+    ``n_chars``, where there is one, follows the new text. A text of which nothing stays is empty, a null text stays null. An empty
+    table gives no rows. All other columns stay, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,13 +271,11 @@ def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                 kept, removed = _kept((raw or b"").split(), ranges.as_py())
                 out.append(b" ".join(kept) if removed else raw)
             new = pa.array(out, pa.binary()).cast(pa.string())
-            names = batch.schema.names[2:]
-            yield pa.RecordBatch.from_arrays([new, *batch.columns[2:]], ["text", *names])
+            yield pa.RecordBatch.from_arrays([new, batch.column(2)], ["_text", "_row"])
 
-    others = [c for c in docs.columns if c != "text"]
-    found = with_ranges(docs, window).select("text", "_ranges", *[f"`{c}`" for c in others])
-    fields = [f for f in found.schema.fields if f.name != "_ranges"]
-    cut = found.mapInArrow(run, type(found.schema)(fields))
+    found = with_ranges(docs, window)
+    schema = type(docs.schema)().add("_text", docs.schema["text"].dataType).add("_row", found.schema["_row"].dataType)
+    changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*[f"`{c}`" for c in docs.columns])
+        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return found.mapInArrow(run, schema).select(*from_row(found, docs.columns, **changed))

@@ -9,6 +9,7 @@ Fingerprints of equal parity differ in two bits at most and meet in a single fli
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import combinations
 
 import numpy as np
@@ -17,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtide.llm.components import components
-from flowtide.llm.storage import stored
+from flowtide.llm.storage import discard, from_row, stored, whole_row
 
 _BLOCK = 1 << 15
+#: A half with more seeds is dealt out by whole variants.
+HOT_HALF = 1 << 14
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -111,36 +114,59 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 
     The members of a variant are linked to its smallest single-flip member, not to each other: a variant with
     very many members makes as many links. Every link is verified by its bit distance. All variants of a ball that share the
-    half it leaves alone go through the shuffle as one row and are spelled out behind it.
+    half it leaves alone go through the shuffle as one row and are spelled out behind it; where very many fingerprints share
+    a half, theirs are spelled out before it, so that half spreads over as many tasks as it has variants.
     """
     if max_bits not in (2, 3):
         raise ValueError("max_bits must be 2 or 3")
-    spark = prints.sparkSession
-    # rows that are dealt out by (side, half) need no second shuffle to be joined by (side, half, variant)
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     odd = F.bit_count("fingerprint") % 2 == 1
     singles = _seeds(prints, 0, "one").union(_seeds(prints, 0, "other"))
     singles = singles.union(_seeds(prints.where(odd), 1, "one")).union(_seeds(prints.where(odd), 1, "other"))
     wide = _seeds(prints.where(~odd), 0, "wide")
     if max_bits == 3:
         wide = wide.union(_seeds(prints.where(~odd), 1, "wide"))
-    first = _spelled(singles.repartition(tasks, "side", "half"), False)
-    hubs = first.groupBy("side", "half", "variant").agg(F.min("fingerprint").alias("hub"), F.count("*").alias("members"))
-    # an odd variant has single flips of even fingerprints only: it needs two of them
-    hubs = hubs.where((F.bit_count("variant") % 2 == 0) | (F.col("members") > 1)).drop("members")
-    emitted = _spelled(singles.union(wide).repartition(tasks, "side", "half"), max_bits == 3)
-    met = emitted.join(hubs.hint("shuffle_hash"), ["side", "half", "variant"]).where("fingerprint <> hub")
-    close = met.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("hub"))) <= max_bits)
-    return close.select(F.col("fingerprint").alias("u"), F.col("hub").alias("v")).distinct()
+    everything = singles.union(wide)
+    halves = ["side", "half"]
+    crowded = everything.groupBy(*halves).agg(F.count("*").alias("n")).where(F.col("n") > HOT_HALF).select(*halves)
+    places: list[str] = []
+    crowded = stored(crowded, places)
+
+    def met(how: str, deal) -> DataFrame:
+        first = _spelled(deal(singles.join(crowded, halves, how)), False)
+        hubs = first.groupBy(*halves, "variant").agg(F.min("fingerprint").alias("hub"), F.count("*").alias("members"))
+        # an odd variant has single flips of even fingerprints only: it needs two of them
+        hubs = hubs.where((F.bit_count("variant") % 2 == 0) | (F.col("members") > 1)).drop("members")
+        emitted = _spelled(deal(everything.join(crowded, halves, how)), max_bits == 3)
+        close = emitted.join(hubs, [*halves, "variant"]).where("fingerprint <> hub")
+        close = close.where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("hub"))) <= max_bits)
+        return close.select(F.col("fingerprint").alias("u"), F.col("hub").alias("v")).distinct()
+
+    with _partial_keys(prints.sparkSession):
+        # rows that are dealt out by (side, half) need no second shuffle to be joined by (side, half, variant)
+        plain = stored(met("left_anti", lambda seeds: seeds.repartition(*halves)))
+    spread = stored(met("left_semi", lambda seeds: seeds))
+    discard(places)
+    return plain.union(spread).distinct()
+
+
+@contextmanager
+def _partial_keys(spark) -> Iterator[None]:
+    """Joins planned and run within may use a partitioning by some of their keys; the session's setting comes back."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """(doc_id, row_hash, fingerprint, component_id, root) for every document; ``root`` is the group's smallest fingerprint.
 
     Nulls: a null text is an empty one, and all empty texts share fingerprint zero. A null ``doc_id`` takes part
-    but never names a group, unless the group has no other. Repeated rows stay rows of one group. Further
-    columns of ``docs`` are not read.
+    but never names a group, unless the group has no other. Repeated rows stay rows of one group. An empty table gives no rows.
+    Further columns of ``docs`` are not read.
     """
     marked = stored(fingerprints(docs, shingle))
     prints = marked.select("fingerprint").distinct()
@@ -154,7 +180,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each group; all columns stay.
+    """``docs`` with one document of each group; all columns stay, whatever their names. An empty table gives no rows.
 
     It is the one with the smallest doc_id, then the smallest text hash; one without doc_id stays only if no other has one.
     """
@@ -162,6 +188,7 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_hash")
     heads = groups.groupBy("root").agg(F.min(order).alias("head")).select("head.doc_id", "head.row_hash")
     heads = heads.toDF("_keep_id", "_keep_hash")
-    hashed = docs.withColumn("_row_hash", F.xxhash64("text"))
-    on = hashed["doc_id"].eqNullSafe(heads["_keep_id"]) & (hashed["_row_hash"] == heads["_keep_hash"])
-    return hashed.join(heads, on, "left_semi").dropDuplicates(["doc_id", "_row_hash"]).select(*docs.columns)
+    hashed = docs.select(whole_row(docs), "doc_id", F.xxhash64("text").alias("row_hash"))
+    on = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("row_hash") == F.col("_keep_hash"))
+    kept = hashed.join(heads, on, "left_semi").dropDuplicates(["doc_id", "row_hash"])
+    return kept.select(*from_row(kept, docs.columns))

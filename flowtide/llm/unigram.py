@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowtide.llm.storage import from_row, whole_row
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -303,13 +305,13 @@ def encoded(docs: DataFrame, model: Model) -> DataFrame:
     """
     added = ["token_ids", "n_tokens", "round_trip"]
     kept = [c for c in docs.columns if c not in added]
-    given = docs.select(*[f"`{c}`" for c in kept])
+    given = docs.select("text", whole_row(docs, "text", *added))
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # a few MB: the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
         for batch in batches:
-            texts = batch.column(kept.index("text")).to_pylist()
+            texts = batch.column(0).to_pylist()
             for start, stop in _blocks(texts):
                 part = texts[start:stop]
                 ids, offsets = encode(own, part)
@@ -319,15 +321,20 @@ def encoded(docs: DataFrame, model: Model) -> DataFrame:
                     pa.array(offsets.astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in part])
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(start, stop - start).columns, lists, pa.array(np.diff(offsets)), pa.array(same)], [*kept, *added]
+                    [*batch.slice(start, stop - start).columns, lists, pa.array(np.diff(offsets)), pa.array(same)], ["text", "_row", *added]
                 )
 
     from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType
 
     schema = type(docs.schema)(list(given.schema.fields))
     schema = schema.add("token_ids", ArrayType(IntegerType())).add("n_tokens", LongType()).add("round_trip", BooleanType())
-    return given.mapInArrow(run, schema)
+    made = given.mapInArrow(run, schema)
+    return made.select(*from_row(made, kept, text=F.col("text")), *added)
 
 
 def token_report(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, round_trip and token_ids for every row; nulls, empty texts and repeated rows as in ``encoded``.
+
+    An empty table gives no rows. Further columns are not read, whatever their names.
+    """
     return encoded(docs.select("doc_id", "text"), model).select("doc_id", "n_tokens", "round_trip", F.col("token_ids"))

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from flowtide.llm.storage import stored
 
 SAMPLE_DOCS = 20_000
-MAX_VOTERS = 400
 MIN_SUPPORT = 3
 #: Voters count as related from this correlation within the labels.
 RELATED = 0.3
@@ -92,8 +91,8 @@ def _marking(sample: DataFrame, base: float, min_support: int) -> DataFrame:
     return counts.where(_wilson(F.col("n"), F.col("n") + F.col("missed")) >= max(0.4, 2 * base))
 
 
-def _mine(sample: DataFrame, base: float, max_voters: int = MAX_VOTERS, min_support: int = MIN_SUPPORT) -> list[str]:
-    """At most ``max_voters`` words and beginnings that mark toxic documents of the sample, most useful first."""
+def _mine(sample: DataFrame, base: float, min_support: int = MIN_SUPPORT) -> list[str]:
+    """The words and beginnings that mark toxic documents of the sample, most useful first."""
     good = sorted(r.feature for r in _marking(sample, base, min_support).select("feature").collect())
     number = {f: i for i, f in enumerate(good)}
 
@@ -104,10 +103,10 @@ def _mine(sample: DataFrame, base: float, max_voters: int = MAX_VOTERS, min_supp
 
     toxic = sample.where("toxic = 1").select("text")
     docs = [r.found for r in toxic.mapInArrow(present, "found array<int>").collect() if r.found]
-    return [good[i] for i in _cover(docs, len(good), max_voters, min_support)]
+    return [good[i] for i in _cover(docs, len(good), min_support)]
 
 
-def _cover(docs: list[list[int]], n: int, max_voters: int = MAX_VOTERS, min_support: int = MIN_SUPPORT) -> list[int]:
+def _cover(docs: list[list[int]], n: int, min_support: int = MIN_SUPPORT) -> list[int]:
     """Features by the documents they explain; one explained already counts a quarter.
 
     So words that only ride along in copies of one document get no vote.
@@ -118,7 +117,7 @@ def _cover(docs: list[list[int]], n: int, max_voters: int = MAX_VOTERS, min_supp
             holders[f].append(d)
     worth, gain = np.ones(len(docs)), np.array([float(len(h)) for h in holders])
     chosen: list[int] = []
-    while len(chosen) < min(max_voters, n):
+    while len(chosen) < n:
         best = int(gain.argmax())
         if gain[best] < min_support - 0.5:
             break
@@ -193,23 +192,22 @@ def train(
     labels: DataFrame,
     use: Column | None = None,
     limit: int = SAMPLE_DOCS,
-    max_voters: int = MAX_VOTERS,
     min_support: int = MIN_SUPPORT,
 ) -> Model:
     """Fit on at most ``limit`` documents of ``labels(doc_id, toxic)``, chosen by a hash of their id.
 
-    Every word or beginning in at least ``min_support`` toxic documents that marks them well is a candidate; of these at most
-    ``max_voters`` vote, taken by the toxic documents they explain until the next would add fewer than ``min_support`` (less a half).
+    Every word or beginning in at least ``min_support`` toxic documents that marks them well is a candidate; of these
+    vote, taken by the toxic documents they explain, all until the next would add fewer than ``min_support`` (less a half).
     Documents with equal text count once. Without labelled documents only the general lexicon votes.
     """
     rows = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     rows = rows if use is None else rows.where(use)
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     sample = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample = stored(sample.groupBy("text").agg(F.max("_toxic").alias("toxic")).repartition(16, F.xxhash64("text")))
+    sample = stored(sample.groupBy("text").agg(F.max("_toxic").alias("toxic")))
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = float(np.clip(toxic / max(n, 1), 0.001, 0.5))
-    names = list(dict.fromkeys([*LEXICON, *(_mine(sample, prior, max_voters, min_support) if toxic else [])]))
+    names = list(dict.fromkeys([*LEXICON, *(_mine(sample, prior, min_support) if toxic else [])]))
     features = {f: i for i, f in enumerate(names)}
     width = len(features) + len(PATTERNS)
 
@@ -232,8 +230,8 @@ def train(
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) for every row.
 
-    Nulls: a null or empty text fires no voter; a null doc_id is returned as it is. Repeated rows get equal scores. Further
-    columns are not read.
+    Nulls: a null or empty text fires no voter; a null doc_id is returned as it is. Repeated rows get equal scores. An empty table
+    gives no rows. Further columns are not read, whatever their names.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -1,4 +1,6 @@
 import random
+import tracemalloc
+import zlib
 
 import numpy as np
 import pytest
@@ -33,10 +35,25 @@ def test_bundles_are_sums_of_bound_triples():
     assert not got[2].any() and not got[3].any() and np.array_equal(got[4], 2 * bound(0, ord("é"), 0))
 
 
-def test_many_letters_take_the_sorted_way():
-    text = "".join(chr(0x4E00 + i) for i in range(300))
-    keys, counts = hyperlang.count_triples([text, text[:5]])
-    assert len(keys) == counts.shape[1] and counts.sum(1).tolist() == [300, 5]
+def test_slices_of_texts_and_of_triples_change_nothing(monkeypatch):
+    pick = random.Random(6)
+    texts = ["".join(chr(0x4E00 + pick.randrange(3000)) for _ in range(700)), prose("aa", pick), None, "x", prose("cc", pick, 100), "é"]
+    whole = hyperlang.bundles(texts, hyperlang.Triples())
+    kinds = hyperlang.variety(texts)
+    for chars, triples in ((1, 4096), (7, 3), (100, 64)):
+        monkeypatch.setattr(hyperlang, "SLICE_TRIPLES", triples)
+        monkeypatch.setattr(hyperlang.triple_slices, "__defaults__", (chars,))
+        assert np.array_equal(hyperlang.bundles(texts, hyperlang.Triples()), whole)
+        assert np.allclose(hyperlang.variety(texts), kinds)
+
+
+def test_memory_does_not_follow_a_long_text_of_many_letters(model):
+    text = "".join(chr(0x4E00 + i % 20_000) if i % 3 else chr(0x3400 + i % 6000) for i in range(600_000))
+    tracemalloc.start()
+    names, _ = hyperlang.predict([text, "ka to mi ru"], model, hyperlang.Triples())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert names[1] == "aa" and peak < 400e6
 
 
 def test_unseen_texts_go_to_their_language(spark, docs_of, model):
@@ -48,7 +65,7 @@ def test_unseen_texts_go_to_their_language(spark, docs_of, model):
     assert all(r.lang_pred == want.get(r.doc_id, "aa" if r.doc_id is None else "und") for r in found)
     assert all(0 <= r.score <= 1 and (r.score == 0) == (r.lang_pred == "und") for r in found)
     kept = hyperlang.accepted(docs_of(*rows, *extra), model, 0.2)
-    assert kept.count() == len(rows) + 2 and len(kept.columns) == 7
+    assert kept.count() == len(rows) + 2 and kept.columns == docs_of((1, "")).columns
 
 
 def test_short_and_repetitive_documents_stay_and_long_foreign_text_goes(spark, docs_of, model):
@@ -82,3 +99,38 @@ def test_nothing_to_learn_from(spark, docs_of):
     rows = hyperlang.identify(docs_of((1, "text")), empty).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]
     assert hyperlang.identify(docs_of((1, "x")).limit(0), empty).count() == 0
+
+
+def test_whole_query_equals_brute_force(spark):
+    """Prototypes and cosines by plain sums over letters, for all documents."""
+    from flowtide.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+
+    def slow(text):
+        signs = [ord(c) if c.isalpha() else 0 for c in (text or "").lower()]
+        total = np.zeros(hyperlang.DIMENSIONS)
+        letter = hyperlang._letter_vector
+        for a, b, c in {(x, y, z) for x, y, z in zip([0, *signs], signs, [*signs[1:], 0], strict=False) if y}:
+            times = sum((x, y, z) == (a, b, c) for x, y, z in zip([0, *signs], signs, [*signs[1:], 0], strict=False))
+            total += times * (np.roll(letter(a), 2).astype(float) * np.roll(letter(b), 1) * letter(c))
+        return total
+
+    short = [r for r in docs if len(r.text or "") < 600]
+    vectors = {r.doc_id: slow(r.text) for r in short}
+    fast = hyperlang.bundles([r.text for r in docs], hyperlang.Triples())
+    assert all(np.array_equal(fast[i], vectors[r.doc_id]) for i, r in enumerate(docs) if r.doc_id in vectors)
+    sums = {}
+    for r, v in zip(docs, fast, strict=True):
+        if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None and np.linalg.norm(v):
+            sums[r.lang] = sums.get(r.lang, 0) + v / np.linalg.norm(v)
+    langs = sorted(sums)
+    prototypes = np.array([sums[x] / np.linalg.norm(sums[x]) for x in langs])
+    want = {}
+    for r, v in zip(docs, fast, strict=True):
+        cosines = prototypes @ v / max(np.linalg.norm(v), 1e-12)
+        want[r.doc_id] = (langs[int(cosines.argmax())], cosines.max().clip(0, 1)) if v.any() else ("und", 0.0)
+    got = QUERIES["op7_hyperdimensional_language"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.lang_pred == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 1e-4

@@ -83,3 +83,24 @@ def test_groups_and_the_one_that_stays(spark, docs_of):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [3, 6, 8] + ([] if near else [9])
     assert simhash.simhash_groups(docs.limit(0)).count() == 0
+
+
+def test_crowded_halves_are_dealt_out_by_variants(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_HALF", 30)
+    pick = np.random.default_rng(8)
+    values = sorted({int(5 << 32 | pick.integers(0, 1 << 12)) for _ in range(120)} | {int(v) for v in pick.integers(0, 1 << 62, 40)})
+    found = simhash.links(spark.createDataFrame([(v,) for v in values], "fingerprint bigint"), 3).collect()
+    pairs = [(a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= 3]
+    assert groups(values, pairs) == groups(values, [(r.u, r.v) for r in found])
+
+
+def test_whole_query_equals_brute_force(spark):
+    from flowtide.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    prints = {r.doc_id: slow_fingerprint(r.text) for r in docs}
+    ids = sorted(prints)
+    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[:i] if (prints[a] ^ prints[b]).bit_count() <= 3]
+    want = {n: (f"{prints[n]:016x}", g[0]) for g in groups(ids, pairs) for n in g}
+    got = QUERIES["op9_simhash_groups"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == want and len(got) == len(docs)

@@ -47,7 +47,6 @@ def test_rare_toxic_words_are_found_behind_many_frequent_ones(spark):
     found = {r.feature: (r.n, r.missed) for r in weak_toxicity._marking(sample, 0.1, 3).collect()}
     assert found == dict.fromkeys(["zarkol", "^zark", "^zarko", "^zarkol"], (3, 0))
     assert set(weak_toxicity._mine(sample, 0.1)) <= found.keys() and weak_toxicity._mine(sample, 0.1, min_support=4) == []
-    assert len(weak_toxicity._mine(sample, 0.1, max_voters=1)) == 1
 
 
 def test_without_labels_the_lexicon_votes(spark, docs_of):
@@ -73,3 +72,21 @@ def test_label_model_finds_accuracies_and_discounts_twins():
     noisy = np.where(pick.random(4000) < 0.1, 1 - truth, truth).astype(float)
     posterior = weak_toxicity.fit_label_model(votes, noisy, 5)
     assert ((posterior > 0.5) == truth).mean() > 0.95
+
+
+def test_label_model_equals_enumeration_of_a_few_voters():
+    """With independent voters the posterior is Bayes' rule over the two labels."""
+    pick = np.random.default_rng(2)
+    truth = pick.random(4000) < 0.3
+    rates = np.array([[0.02, 0.6], [0.03, 0.5], [0.01, 0.4], [0.05, 0.7]])
+    votes = (pick.random((4000, 4)) < np.where(truth[:, None], rates[:, 1], rates[:, 0])).astype(np.float32)
+    posterior = weak_toxicity.fit_label_model(votes, truth.astype(float), 4)
+    for form in {tuple(v) for v in votes.astype(int).tolist()}:
+        one = 0.3 * np.prod([r[1] if v else 1 - r[1] for v, r in zip(form, rates, strict=True)])
+        none = 0.7 * np.prod([r[0] if v else 1 - r[0] for v, r in zip(form, rates, strict=True)])
+        found = posterior[(votes == form).all(1)][0]
+        assert abs(found - one / (one + none)) < 0.15
+
+
+def test_many_useful_words_all_vote():
+    assert len(weak_toxicity._cover([[i] for i in range(600) for _ in range(3)], 600)) == 600
