@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from flowtide.schemas import EDGES, NODES, TVL_DOCUMENT
 from flowtide.session import SETTINGS
+from flowtide.sources.documents import document_texts
 
 _ZONE = SETTINGS["spark.sql.session.timeZone"]
 
@@ -22,18 +23,14 @@ def read_parquet(spark: SparkSession, *paths: str, schema: StructType | None = N
     return reader.parquet(*paths)
 
 
-def read_tvl_documents(spark: SparkSession, *paths: str, lines: bool = False) -> DataFrame:
+def read_tvl_documents(spark: SparkSession, *paths: str) -> DataFrame:
     """Nested documents from JSON files; amounts stay text until ``flatten_tvl`` turns them into numbers.
 
-    By default a file is read as a whole and holds one document, or several that begin on lines of their own; all are returned.
-    ``lines=True`` reads one document per line and splits large files. A malformed document is an error.
+    A file may hold any number of documents in any layout: see ``document_texts``, which also splits large files. A malformed document
+    is an error.
     """
-    texts = spark.read.text(list(paths), wholetext=not lines)
-    if not lines:
-        # inside a document a comma stands between } and {, and a string has no raw line end
-        texts = texts.select(F.explode(F.split("value", r"(?<=\})[ \t\r]*\n\s*(?=\{)")).alias("value"))
-    found = texts.where(F.trim("value") != "")
-    return found.select(F.from_json("value", TVL_DOCUMENT, {"mode": "FAILFAST"}).alias("d")).select("d.*")
+    texts = document_texts(spark, *paths)
+    return texts.select(F.from_json("text", TVL_DOCUMENT, {"mode": "FAILFAST"}).alias("d")).select("d.*")
 
 
 def _read_csv(spark: SparkSession, schema: StructType, paths: tuple[str, ...], nanoseconds: bool) -> DataFrame:

@@ -85,11 +85,23 @@ def _(t):
     documents = _documents(t.facts).withColumn("lines", F.pmod(F.xxhash64("id"), F.lit(2)) == 0)
     documents.where("lines").select("value").write.text(f"{folder}/lines")
     documents.where("not lines").select("value", F.col("id").alias("file")).write.partitionBy("file").text(f"{folder}/files")
-    read = readers.read_tvl_documents
-    both = read(t.spark, f"{folder}/lines", lines=True).unionByName(read(t.spark, f"{folder}/files"))
+    both = readers.read_tvl_documents(t.spark, f"{folder}/lines").unionByName(readers.read_tvl_documents(t.spark, f"{folder}/files"))
     return ingest.flatten_tvl(both)
 
 
+@query("concatenated_documents", with_ctes(_FLATTENED))
+def _(t):
+    """The same facts from files that hold many documents each: side by side on one line, in one array, and with line ends inside."""
+    folder = _scratch(t)
+    ranked = _documents(t.facts).withColumn("layout", F.pmod(F.xxhash64("id"), F.lit(3)))
+    spread = F.regexp_replace("value", r"([{,])", "$1\n  ")
+    for layout, text, before, between, after in ((0, F.col("value"), "", " ", ""), (1, F.col("value"), "[", ",", "]"), (2, spread, "", "\n", "")):
+        parts = ranked.where(F.col("layout") == layout).groupBy(F.pmod(F.xxhash64("value"), F.lit(4)).alias("file"))
+        joined = parts.agg(F.array_join(F.collect_list(text), between).alias("value"))
+        joined.select(F.concat(F.lit(before), "value", F.lit(after)).alias("value")).write.text(f"{folder}/layout={layout}")
+    return ingest.flatten_tvl(readers.read_tvl_documents(t.spark, *[f"{folder}/layout={i}" for i in range(3)]))
+
+
 @query(
     "incremental_rows",
     with_ctes(

@@ -1,13 +1,16 @@
 import json
+from urllib.parse import unquote
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.lookup import category_map_frame
 from flowtide.operators.mapping import Mapping
 from flowtide.schemas import FACTS
 from flowtide.sources import ingest, readers, tables
+from flowtide.sources.documents import document_texts
 from flowtide.streaming.ingest import FactSink, stream_landed_files
 
 
@@ -45,9 +48,8 @@ def test_documents_of_both_layouts_lose_nothing(spark, tmp_path):
 
     texts = [document(str(i), entry(a)) for i, a in enumerate((1, "12.5", None, "none"))]
     (tmp_path / "all.json").write_text("\n".join(texts) + "\n")
-    for lines in (False, True):
-        got = ingest.flatten_tvl(readers.read_tvl_documents(spark, str(tmp_path / "all.json"), lines=lines))
-        assert rows(got, "id", "value_usd", "quantity") == [("0", 1.0, 0.0), ("1", 12.5, 0.0), ("2", 0.0, 0.0), ("3", 0.0, 0.0)]
+    got = ingest.flatten_tvl(readers.read_tvl_documents(spark, str(tmp_path / "all.json")))
+    assert rows(got, "id", "value_usd", "quantity") == [("0", 1.0, 0.0), ("1", 12.5, 0.0), ("2", 0.0, 0.0), ("3", 0.0, 0.0)]
     (tmp_path / "pretty.json").write_text(json.dumps(json.loads(texts[1]), indent=2))
     assert readers.read_tvl_documents(spark, str(tmp_path / "pretty.json")).count() == 1
     (tmp_path / "bad.json").write_text('{"id": "1", "chainTvls": {')
@@ -55,6 +57,61 @@ def test_documents_of_both_layouts_lose_nothing(spark, tmp_path):
         readers.read_tvl_documents(spark, str(tmp_path / "bad.json")).collect()
 
 
+TRICKY = [{"id": str(i), "s": t} for i, t in enumerate(['}{"', "a\\", '\\"}', "[{]", "x\ny", "", "é}日", '{"id": 1}{', "},{", "\\\\"])]
+
+
+@pytest.mark.parametrize("blocks", ["1000000", "64"])
+def test_documents_are_found_in_any_layout(spark, tmp_path, blocks):
+    """Small blocks cut files into many slices, in strings and between documents; every layout gives all documents in order."""
+    dumps = [json.dumps(d, ensure_ascii=False) for d in TRICKY]
+    pretty = [json.dumps(d, indent=1) for d in TRICKY]
+    layouts = {
+        "side by side": "".join(dumps), "blanks": " ".join(dumps), "lines": "\n".join(dumps) + "\n", "array": json.dumps(TRICKY),
+        "pretty": json.dumps(TRICKY, indent=2), "pretties": "\r\n\r\n".join(pretty), "two arrays": json.dumps(TRICKY[:4]) + "\n" + json.dumps(TRICKY[4:]),
+        "commas": ",".join(dumps), "two on a line": "\n".join(a + " " + b for a, b in zip(dumps[::2], dumps[1::2], strict=True)),
+    }
+    for name, text in layouts.items():
+        (tmp_path / f"{name}.json").write_text(text, encoding="utf-8")
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "blank.json").write_text(" \n")
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, blocks)
+    try:
+        found = document_texts(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(setting, before)
+    got = {}
+    for r in sorted(found, key=lambda r: r.place):
+        got.setdefault(r.file, []).append(json.loads(r.text))
+    assert sorted(unquote(f).rsplit("/", 1)[1] for f in got) == sorted(f"{n}.json" for n in layouts)
+    assert all(v == TRICKY for v in got.values())
+
+
+@pytest.mark.parametrize(
+    "text", ['{"a": 1', '{"a": {"b": 1}', '{"a": 1} junk {"b": 2}', '{"a": 1}}', 'junk', '[{"a": 1}', '{"a": "x}', '{"a": 1} {"b"', '1 {"a": 1}', '{"a": 1}]']
+)
+def test_what_is_no_document_is_an_error(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        document_texts(spark, str(tmp_path)).collect()
+
+
+def test_a_large_file_is_read_in_many_tasks(spark, tmp_path):
+    with open(tmp_path / "one_line.json", "w") as file:
+        file.write("[" + ",".join('{"id": "%d", "chainTvls": {}}' % i for i in range(60_000)) + "]")
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "200000")
+    try:
+        lines = spark.read.text(str(tmp_path), lineSep="}")
+        assert lines.rdd.getNumPartitions() >= 8 and lines.agg({"value": "count"}).first()[0] > 100_000
+        found = document_texts(spark, str(tmp_path))
+        assert found.agg(F.count("*"), F.max("place"), F.countDistinct("text")).first()[:] == (60_000, 59_999, 60_000)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_upsert_and_refresh_reach_the_table(spark, tmp_path):
     name, place = "upsert_under_test", str(tmp_path)
     tables.drop_table(spark, name)
