@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.mapping import Mapping
+from flowtide.session import ensure_checkpoints, remove_folder  # noqa: F401
 
 
 #: Table property with the cluster columns.
@@ -93,28 +94,42 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def refresh_table(df: DataFrame, name: str, place: str) -> None:
     """Replace a table by new content (the protocol dimension on every ingest), which may be computed from the table.
 
-    The content goes to a fresh folder under ``place`` first, and only then the table is made to point there: a
-    failed refresh leaves the old table as it was. Clustering is kept.
+    The content goes to a fresh folder under ``place`` first, and only then the table changes: a failed refresh
+    leaves the old one as it was. An unpartitioned table is made to point to the new folder. Of a partitioned one the new table, with
+    its partitions, is made under another name and takes the place of the old one. Clustering and partitioning are
+    kept; the replaced folder is removed.
     """
     spark = df.sparkSession
     exists = table_exists(spark, name)
-    by = cluster_columns(spark, name) if exists else []
+    by, parts = (cluster_columns(spark, name), partition_columns(spark, name)) if exists else ([], [])
     fresh = f"{place}/{uuid.uuid4().hex}"
-    (clustered(df, by) if by else df).write.parquet(fresh)
-    if exists:
-        spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{fresh}'", args={"name": name})
-        spark.catalog.refreshTable(name)
-    else:
+    if not exists:
+        df.write.parquet(fresh)
         spark.catalog.createTable(name, path=fresh, source="parquet")
-
-
-def upsert_table(source: DataFrame, name: str, keys: list[str], place: str) -> None:
-    """``upsert`` into a stored table of the same columns."""
-    spark = source.sparkSession
-    refresh_table(upsert(spark.table(name), source, keys), name, place)
+        return
+    old = table_location(spark, name)
+    if parts:
+        new = f"{name}__{uuid.uuid4().hex}"
+        try:
+            create_table(spark, new, data=df.select(*spark.table(name).columns), partition_by=parts, cluster_by=by, path=fresh)
+        except Exception:
+            drop_table(spark, new)
+            remove_folder(spark, fresh)
+            raise
+        drop_table(spark, name)
+        spark.sql(f"ALTER TABLE IDENTIFIER(:new) RENAME TO {'.'.join(f'`{p}`' for p in name.split('.'))}", args={"new": new})
+    else:
+        (clustered(df, by) if by else df).write.parquet(fresh)
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{fresh}'", args={"name": name})
+    spark.catalog.refreshTable(name)
+    remove_folder(spark, old)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from flowtide.functions.predicates import epoch_range
 from flowtide.operators import aggregates, network
 from flowtide.schemas import FACTS, as_facts
 from flowtide.session import shared_dir
-from flowtide.sources import ingest, readers, tables
+from flowtide.sources import ingest, readers, rewrite, tables
 from flowtide.streaming.ingest import FactSink, stream_landed_files
 from flowtide.workload.adapters import with_ctes
 from flowtide.workload.networks import (
@@ -163,7 +163,7 @@ def _(t):
     folder, name = _scratch(t), f"orders_{uuid.uuid4().hex}"
     target, source = _halves(t)
     tables.create_table(t.spark, name, data=target, cluster_by=["o_orderdate"], path=f"{folder}/table")
-    tables.upsert_table(source, name, ["o_orderkey"], folder)
+    rewrite.upsert_table(source, name, ["o_orderkey"])
     place = tables.table_location(t.spark, name)
     tables.drop_table(t.spark, name)
     return readers.read_parquet(t.spark, place)
@@ -181,6 +181,50 @@ def _(t):
     return readers.read_parquet(t.spark, place)
 
 
+@query(
+    "refreshed_partitioned_table",
+    with_ctes(f"{_FACTS} from facts where date >= epoch(date '1998-01-01') and chain_name <> 'O'"),
+)
+def _(t):
+    """A table partitioned by chain that is replaced by part of itself: a chain goes, and the old dates of the others."""
+    folder, name = _scratch(t), f"facts_{uuid.uuid4().hex}"
+    tables.create_table(t.spark, name, data=as_facts(t.facts), partition_by=["chain_name"], cluster_by=["date"], path=f"{folder}/table")
+    kept = readers.read_table(t.spark, name).where((F.col("date") >= epoch_seconds("1998-01-01")) & (F.col("chain_name") != "O"))
+    tables.refresh_table(kept, name, folder)
+    stored = readers.read_parquet(t.spark, tables.table_location(t.spark, name), schema=FACTS)
+    tables.drop_table(t.spark, name)
+    return stored
+
+
+@query("upserted_partitioned_table", _UPSERTED)
+def _(t):
+    """The upsert into a table partitioned by status, whose F partition grows; read back through the table."""
+    folder, name = _scratch(t), f"orders_{uuid.uuid4().hex}"
+    target, source = _halves(t)
+    tables.create_table(t.spark, name, data=target, partition_by=["o_orderstatus"], cluster_by=["o_orderkey"], path=f"{folder}/table")
+    rewrite.upsert_table(source, name, ["o_orderkey"])
+    place, schema = tables.table_location(t.spark, name), t.spark.table(name).schema
+    tables.drop_table(t.spark, name)
+    return readers.read_parquet(t.spark, place, schema=schema)
+
+
+@query(
+    "deduplicated_table",
+    with_ctes(f"select distinct * from ({_FACTS} from facts where date < epoch(date '1998-01-01'))"),
+)
+def _(t):
+    """A stored table without the repeats that a second append of some of its rows made; with a limit first, then all."""
+    folder, name = _scratch(t), f"facts_{uuid.uuid4().hex}"
+    early = as_facts(t.facts).where(F.col("date") < epoch_seconds("1998-01-01"))
+    tables.create_table(t.spark, name, data=early, cluster_by=["date"], path=f"{folder}/table")
+    tables.append_table(early.where("id like '%1'"), name)
+    rewrite.remove_table_duplicates(t.spark, name, limit=10)
+    rewrite.remove_table_duplicates(t.spark, name)
+    place = tables.table_location(t.spark, name)
+    tables.drop_table(t.spark, name)
+    return readers.read_parquet(t.spark, place)
+
+
 @query("clustered_append", with_ctes(f"{_FACTS} from facts"))
 def _(t):
     """A table clustered from its schema on, filled by two appends."""

@@ -9,7 +9,7 @@ from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.lookup import category_map_frame
 from flowtide.operators.mapping import Mapping
 from flowtide.schemas import FACTS
-from flowtide.sources import ingest, readers, tables
+from flowtide.sources import ingest, readers, rewrite, tables
 from flowtide.sources.documents import document_texts
 from flowtide.streaming.ingest import FactSink, stream_landed_files
 
@@ -117,7 +117,7 @@ def test_upsert_and_refresh_reach_the_table(spark, tmp_path):
     tables.drop_table(spark, name)
     stored = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
     tables.create_table(spark, name, data=stored, cluster_by=["id"], path=f"{place}/first")
-    tables.upsert_table(spark.createDataFrame([(2, "c"), (3, "d")], "id int, name string"), name, ["id"], place)
+    rewrite.upsert_table(spark.createDataFrame([(2, "c"), (3, "d")], "id int, name string"), name, ["id"])
     assert rows(spark.table(name)) == [(1, "a"), (2, "c"), (3, "d")]
     broken = spark.table(name).selectExpr("id", "if(id > 0, raise_error('no'), name) name")
     with pytest.raises(Exception, match="no"):
@@ -127,6 +127,87 @@ def test_upsert_and_refresh_reach_the_table(spark, tmp_path):
     tables.drop_table(spark, name)
 
 
+def files_of(spark, name):
+    """File names of a table with the time they were written."""
+    found = spark.table(name).select("_metadata.file_name", "_metadata.file_modification_time").distinct()
+    return {r[0]: r[1] for r in found.collect()}
+
+
+def test_refresh_of_a_partitioned_table(spark, tmp_path):
+    name, place = "partitioned_under_test", str(tmp_path)
+    tables.drop_table(spark, name)
+    schema = "id int, v string, p string"
+    tables.create_table(spark, name, data=spark.createDataFrame([(1, "a", "01"), (2, "b", "q")], schema), partition_by=["p"], cluster_by=["id"], path=f"{place}/first")
+    tables.refresh_table(spark.createDataFrame([(3, "c", "r"), (4, "d", "01")], schema), name, place)
+    assert rows(spark.table(name)) == [(3, "c", "r"), (4, "d", "01")]
+    assert tables.partition_columns(spark, name) == ["p"] and tables.cluster_columns(spark, name) == ["id"]
+    assert not (tmp_path / "first").exists()
+    # computed from itself, with a partition more and one less; a failure leaves it
+    more = spark.table(name).where("p <> 'r'").unionByName(spark.createDataFrame([(5, "e", "new/é")], schema))
+    tables.refresh_table(more, name, place)
+    broken = spark.table(name).selectExpr("id", "if(id > 0, raise_error('no'), v) v", "p")
+    with pytest.raises(Exception, match="no"):
+        tables.refresh_table(broken, name, place)
+    assert rows(spark.table(name)) == [(4, "d", "01"), (5, "e", "new/é")]
+    assert len([f for f in tmp_path.iterdir() if f.is_dir()]) == 1
+    tables.append_table(spark.createDataFrame([(6, "f", "r")], schema), name)
+    rewrite.upsert_table(spark.createDataFrame([(5, "E", "new/é"), (6, "F", "01"), (7, "G", "x")], schema), name, ["id"])
+    assert rows(spark.table(name)) == [(4, "d", "01"), (5, "E", "new/é"), (6, "F", "01"), (7, "G", "x")]
+    tables.drop_table(spark, name)
+
+
+def test_upsert_of_one_key_rewrites_one_file(spark, tmp_path):
+    name = "upsert_files_under_test"
+    tables.drop_table(spark, name)
+    data = spark.range(1000).selectExpr("id", "cast(id as string) v")
+    tables.create_table(spark, name, data=data.where("id < 200"), cluster_by=["id"], path=str(tmp_path / "t"))
+    for low in range(200, 1000, 200):
+        tables.append_table(data.where(F.col("id").between(low, low + 199)), name)
+    before = files_of(spark, name)
+    assert len(before) >= 4
+    rewrite.upsert_table(spark.createDataFrame([(500, "new")], "id bigint, v string"), name, ["id"])
+    after = files_of(spark, name)
+    kept = before.keys() & after.keys()
+    assert len(before) - len(kept) == 1 and all(before[f] == after[f] for f in kept)
+    assert rows(spark.table(name).where("id between 499 and 501")) == [(499, "499"), (500, "new"), (501, "501")]
+    rewrite.upsert_table(spark.createDataFrame([(5000, "more"), (None, "null")], "id bigint, v string"), name, ["id"])
+    assert after.keys() <= files_of(spark, name).keys() and spark.table(name).count() == 1002
+    with pytest.raises(Exception, match="twice"):
+        rewrite.upsert_table(spark.createDataFrame([(1, "a"), (1, "b")], "id bigint, v string"), name, ["id"])
+    assert spark.table(name).count() == 1002 and not [f for f in (tmp_path / "t").iterdir() if f.name.startswith("_s")  and f.name != "_SUCCESS"]
+    tables.drop_table(spark, name)
+
+
+def test_a_replacement_that_was_cut_off_is_finished(spark, tmp_path, monkeypatch):
+    name = "cut_off_under_test"
+    tables.drop_table(spark, name)
+    tables.create_table(spark, name, data=spark.range(10).selectExpr("id", "'old' v"), cluster_by=["id"], path=str(tmp_path / "t"))
+    change = spark.createDataFrame([(3, "new")], "id bigint, v string")
+    with monkeypatch.context() as patch:
+        patch.setattr(rewrite, "finish_replacements", lambda *_: None)
+        rewrite.upsert_table(change, name, ["id"])
+    assert spark.table(name).where("v = 'new'").count() == 0
+    rewrite.finish_replacements(spark, name)
+    rewrite.finish_replacements(spark, name)
+    assert spark.table(name).where("v = 'new'").count() == 1 and spark.table(name).count() == 10
+    tables.drop_table(spark, name)
+
+
+def test_duplicates_of_a_stored_table(spark, tmp_path):
+    name = "duplicates_under_test"
+    tables.drop_table(spark, name)
+    schema = "id int, v string"
+    first = spark.createDataFrame([(i, None if i % 5 == 0 else str(i)) for i in range(40)], schema)
+    tables.create_table(spark, name, data=first, cluster_by=["id"], path=str(tmp_path / "t"))
+    clean = files_of(spark, name)
+    assert rewrite.remove_table_duplicates(spark, name) == 0 and files_of(spark, name) == clean
+    tables.append_table(spark.createDataFrame([(5, None), (5, None), (7, "7"), (100, "x")], schema), name)
+    assert rewrite.remove_table_duplicates(spark, name, limit=2) == 2 and spark.table(name).count() == 42
+    assert rewrite.remove_table_duplicates(spark, name) == 1
+    assert rows(spark.table(name)) == rows(first.union(spark.createDataFrame([(100, "x")], schema)))
+    tables.drop_table(spark, name)
+
+
 def test_headers(spark, tmp_path):
     (tmp_path / "h.json").write_text(json.dumps([{"id": "1", "type": "x", "chains": ["E"], "tvls": {"E": 1.0}, "logo": None}]))
     headers = spark.read.option("multiLine", True).json(str(tmp_path))
