@@ -22,7 +22,7 @@ def joined_text(schema: StructType, columns: list[str] | None = None) -> Column:
     cells = []
     for name in columns or schema.names:
         fractional = isinstance(schema[name].dataType, FractionalType)
-        text = (F.col(name).cast("decimal(38,2)") if fractional else F.col(name)).cast("string")
+        text = (F.col(name).try_cast("decimal(38,2)") if fractional else F.col(name)).cast("string")
         cells.append(F.coalesce(F.when(text != "None", text), F.lit("")))
     return F.concat_ws(" ", *cells)
 

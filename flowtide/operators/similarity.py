@@ -5,6 +5,8 @@ The full token × protocol score matrix is never formed. Pairs are generated by
 and terms in one global order from rare to frequent, two documents with a cosine of at least t share a
 term among those whose remaining suffix still has a norm of at least t. Frequent terms carry small
 weights and sit at the end of that order, so the posting lists that would explode are not joined.
+A pair's shared prefix terms also bound its score: up to the last of them the sum is known, and behind it the product of the remaining
+norms is the most that can follow. Only pairs whose bound reaches t are scored in full.
 """
 
 from __future__ import annotations
@@ -29,8 +31,11 @@ def token_vectors(documents: DataFrame) -> DataFrame:
     count for the norm but can add nothing to a score. ``suffix`` is the squared norm of the term and all
     more frequent ones of the same document.
     """
+    # texts are dealt out, not their terms: a few large files still make many tasks, and the counts stay where they are
     counts = (
-        documents.select("kind", "doc", F.explode(terms(F.col("text"))).alias("term"))
+        documents.select("kind", "doc", "text")
+        .repartition("kind", "doc")
+        .select("kind", "doc", F.explode(terms(F.col("text"))).alias("term"))
         .groupBy("kind", "doc", "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -80,15 +85,17 @@ def similarity_matches(
 
     token_terms, protocol_terms = side("token", "token_name"), side("protocol", "id")
     in_prefix = F.col("suffix") >= threshold * threshold - _SLACK
+    left, right = F.col("token_weight"), F.col("protocol_weight")
+    # what the terms behind a shared one can add at most; behind the last shared one of both prefixes it is least
+    rest = F.sqrt(F.greatest(F.col("suffix") - left * left, F.lit(0.0)) * F.greatest(F.col("_suffix") - right * right, F.lit(0.0)))
+    met = skewed_join(
+        token_terms.where(in_prefix), protocol_terms.where(in_prefix).withColumnRenamed("suffix", "_suffix"), ["term"], "inner"
+    )
     candidates = (
-        skewed_join(
-            token_terms.where(in_prefix).select("token_name", "term"),
-            protocol_terms.where(in_prefix).select("id", "term"),
-            ["term"],
-            "inner",
-        )
+        met.groupBy("token_name", "id")
+        .agg(F.sum(left * right).alias("_known"), F.min(rest).alias("_rest"))
+        .where(F.col("_known") + F.col("_rest") >= threshold - _SLACK)
         .select("token_name", "id")
-        .distinct()
     )
     scores = (
         skewed_join(candidates, token_terms.drop("suffix"), ["token_name"], "inner")
