@@ -54,6 +54,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, writing to the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

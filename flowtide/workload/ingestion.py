@@ -131,7 +131,7 @@ def _(t):
     """Two landings, each picked up by a run of the stream; the rows of the second are mostly late for their key."""
     folder = _scratch(t)
     facts = as_facts(t.tagged_facts)
-    sink = FactSink(t.spark, f"{folder}/sink", snapshot_every=1).create()
+    sink = FactSink(t.spark, f"{folder}/sink", snapshot_every=1, buckets=8).create()
     late = epoch_range(epoch_seconds("1998-01-01"), epoch_seconds("1999-01-01"))
     for landing in (facts.where(~late), facts.where(late)):
         landing.write.mode("append").parquet(f"{folder}/landing")

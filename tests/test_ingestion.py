@@ -303,3 +303,23 @@ def test_csv_round_trip_and_last_modified(spark, tmp_path):
     tables.write_csv(edges, place)
     assert rows(readers.read_edges(spark, place, nanoseconds=True)) == [(1704067200 * 10**9, "a", "b", 2.5)]
     assert readers.last_modified(readers.read_edges(spark, place)).first()[0].endswith("UTC")
+
+
+def test_a_batch_reads_the_buckets_of_its_keys_alone(spark, tmp_path):
+    many = facts(spark, *[(f"T{i}", 100) for i in range(3000)])
+    sink = FactSink(spark, str(tmp_path / "sink"), 2).create(many)
+    key = spark.createDataFrame([("7", "E", "T77")], "id string, chain_name string, token_name string")
+    latest = sink.latest_before(0, key)
+    assert rows(latest) == [("7", "E", "T77", 100)]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:200] and "key_hash" in plan.split("PushedFilters")[1][:300]
+    bucket = sink._hashed(key).first().bucket
+    assert 0 < spark.read.parquet(str(tmp_path / "sink/snapshots/upto=-1")).where(F.col("bucket") == bucket).count() < 300
+    for batch in range(12):
+        sink.write_batch(facts(spark, ("T77", 100 + batch), ("new", batch)), batch)
+    assert rows(sink.latest_before(12, key)) == [("7", "E", "T77", 111)]
+    left = {f.name for f in (tmp_path / "sink" / "maxima").iterdir()}
+    assert "batch_id=11" in left and "batch_id=3" not in left and len({f.name for f in (tmp_path / "sink" / "snapshots").iterdir()}) == 3
+    # a replay of a recent batch still finds its mark
+    sink.write_batch(facts(spark, ("T77", 111), ("new", 11)), 11)
+    assert rows(sink.latest_before(12, key)) == [("7", "E", "T77", 111)]
