@@ -561,3 +561,32 @@ def _(t):
 )
 def _(t):
     return _communities(t).edges
+
+
+_RINGS = """
+    select s_suppkey k, s_suppkey // 8 g from supplier where s_suppkey // 8 in (
+        select s_suppkey // 8 from supplier group by 1 having count(*) = 8)"""
+
+
+@query(
+    "directed_communities",
+    f"""with rings as ({_RINGS})
+        select cast(g // 12 as varchar) as time, cast(k as varchar) node, min(cast(k as varchar)) over (partition by g) community
+        from rings""",
+)
+def _(t):
+    """Suppliers in directed rings of eight, twelve rings a slice; an edge leads from the first of a ring to the first of the next."""
+    k = F.col("s_suppkey")
+    nodes = t.raw("supplier").select(F.floor(k / 8).alias("g"), (k % 8).alias("i"), F.floor(k / 96).cast("string").alias("time"))
+    full = nodes.groupBy("g").count().where("count = 8").select("g")
+    nodes = nodes.join(full, "g")
+
+    def name(g, i):
+        return (g * 8 + i).cast("string")
+
+    ring = nodes.withColumn("d", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        "time", name(F.col("g"), F.col("i")).alias("source"), name(F.col("g"), (F.col("i") + F.col("d")) % 8).alias("target"), F.lit(1.0).alias("weight"))
+    firsts = nodes.where("i = 0").select("time", "g")
+    after = firsts.select("time", F.col("g").alias("h")).join(firsts, "time").where("h = g + 1")
+    bridge = after.select("time", name(F.col("g"), F.lit(0)).alias("source"), name(F.col("h"), F.lit(0)).alias("target"), F.lit(1.0).alias("weight"))
+    return community.directed_communities(ring.unionByName(bridge))

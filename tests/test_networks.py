@@ -226,3 +226,35 @@ def test_label_propagation_finds_two_cliques(spark):
     sizes = spark.createDataFrame([(time, "a", 5.0), (time, "a", 7.0)], "time timestamp, id string, size double")
     members = {r.node: r["size"] for r in community.community_members(labels, sizes).collect()}
     assert members["a"] == 7.0 and members["b"] is None
+
+
+def test_directed_communities_find_what_propagation_misses(spark):
+    """Directed rings whose first members are joined by a heavy one-way edge; quality is never below label propagation."""
+    rows_ = []
+    for g in range(5):
+        for i in range(8):
+            rows_ += [("t", f"g{g}n{i}", f"g{g}n{(i + d) % 8}", 1.0) for d in (1, 2)]
+        rows_.append(("t", f"g{g}n0", f"g{(g + 1) % 5}n0", 2.0))
+    rows_ += [("u", "a", "b", 1.0), ("u", "b", "a", 1.0), ("u", "c", "a", 0.0), ("v", "x", "x", 1.0)]
+    weights = spark.createDataFrame(rows_, "time string, source string, target string, weight double")
+    found = community.directed_communities(weights).checkpoint()
+    assert {r.node: r.community for r in found.where("time = 't'").collect()} == {f"g{g}n{i}": f"g{g}n0" for g in range(5) for i in range(8)}
+    spread = community.label_propagation(weights).withColumnRenamed("community", "label")
+    assert spread.where("time = 't'").select("label").distinct().count() != 5
+    flows = weights.withColumnRenamed("weight", "flow")
+    a, b = (
+        {r.time: r.modularity for r in community.directed_modularity(flows, t).collect()}
+        for t in (found.withColumnRenamed("community", "label"), spread)
+    )
+    assert a["t"] > b["t"] and all(a[k] >= b[k] - 1e-9 for k in b)
+    assert found.where("time = 'u'").count() == 3 and found.where("time = 'v'").count() == 1
+
+
+def test_visit_rates_are_stationary(spark):
+    edges = [("t", "a", "b", 3.0), ("t", "a", "c", 1.0), ("t", "b", "a", 1.0), ("t", "c", "d", 2.0)]
+    weights = spark.createDataFrame(edges, "time string, source string, target string, weight double")
+    got = {r.node: r.rate for r in community.visit_rates(weights, tolerance=1e-9).collect()}
+    assert abs(sum(got.values()) - 1) < 1e-9
+    rest = 0.85 * got["d"] / 4 + 0.15 / 4
+    want = {"a": 0.85 * got["b"] + rest, "b": 0.85 * 0.75 * got["a"] + rest, "c": 0.85 * 0.25 * got["a"] + rest, "d": 0.85 * got["c"] + rest}
+    assert all(abs(want[n] - got[n]) < 1e-6 for n in want)
