@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from flowtide.functions.calendar import utc_date
 from flowtide.functions.values import to_number
+from flowtide.plans.rolling import with_rolling_mean
 
 # fixed values: how many of the largest asset rows mark outliers, the rolling window, the row types
 LARGEST_ASSETS = 15
@@ -100,12 +101,10 @@ def balance_overview(clean: DataFrame) -> DataFrame:
 
 
 def token_moving_average(balances: DataFrame, token: str | None = None) -> DataFrame:
-    """7-row mean of the value balance of one token, or of each token."""
+    """7-row mean of the value balance of one token, or of each token, over range slices that hand their last rows on."""
     rows = balances if token is None else balances.where(F.col("token") == token)
-    order = [F.col("date_str"), F.col("asset_usd_value"), F.col("liability_usd_value")]
-    order += [F.col("asset_amount"), F.col("liability_amount")]
-    by_date = W.partitionBy("token").orderBy(*order)
-    return rows.withColumn("moving_average", _rolling_mean("usd_value_balance", by_date))
+    order = ["date_str", "asset_usd_value", "liability_usd_value", "asset_amount", "liability_amount"]
+    return with_rolling_mean(rows, "token", order, "usd_value_balance", "moving_average", WINDOW_ROWS)
 
 
 def area_series(overview: DataFrame) -> DataFrame:

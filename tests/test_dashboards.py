@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowtide.operators import balance, pools, sectors, shares
+from flowtide.plans.rolling import with_rolling_mean
 from flowtide.plans.running import with_running_totals
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
@@ -126,3 +127,25 @@ def test_one_sided_balances(spark):
     data = [("asset", "v", "s", "T", 0, "2", "3"), ("liability", "v", "s", "U", 0, "4", "5")]
     clean = balance.clean_balance_sheet(spark.createDataFrame(data, SHEET), largest=0)
     assert rows(balance.token_balances(clean), "token", "usd_value_balance", "amount_balance") == [("T", 3.0, 2.0), ("U", -5.0, -4.0)]
+
+
+def test_rolling_mean_hands_rows_from_slice_to_slice(spark):
+    """One group with nearly all rows covers many slices, some shorter than the window, and equals the window."""
+    rows_ = [("hot", i, float(i * i % 101)) for i in range(900)] + [(f"g{i % 9}", i, float(i)) for i in range(60)]
+    rows_ += [(None, i, 1.0) for i in range(8)] + [("nulls", i, None if i == 9 else 2.0) for i in range(20)] + [("ties", 1, float(i % 2)) for i in range(12)]
+    df = spark.createDataFrame(rows_, "g string, t int, v double")
+    settings = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = with_rolling_mean(df, "g", ["t"], "v", "m", 7)
+        slices = df.where("g = 'hot'").repartitionByRange("g", "t", "v").select(F.spark_partition_id()).distinct().count()
+        got = sorted((repr(r.g), r.t, repr(r.v), r.m and round(r.m, 9)) for r in found.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    frame = W.partitionBy("g").orderBy("t", "v").rowsBetween(-6, 0)
+    mean = F.when(F.count("v").over(frame) == 7, F.avg("v").over(frame))
+    assert got == sorted((repr(r.g), r.t, repr(r.v), r.m and round(r.m, 9)) for r in df.withColumn("m", mean).collect())
+    assert slices > 100 and found.columns == ["g", "t", "v", "m"]
