@@ -60,13 +60,18 @@ def _differing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def audit(left: DataFrame, right: DataFrame, leaf: int = LEAF_BYTES, fanout: int = FANOUT) -> DataFrame:
+    """``audit_leaves`` of two replicas ``(file, offset, payload)``. Other columns are not read, whatever their names."""
+    return audit_leaves(leaves(left), leaves(right), leaf, fanout)
+
+
+def audit_leaves(left: DataFrame, right: DataFrame, leaf: int = LEAF_BYTES, fanout: int = FANOUT) -> DataFrame:
     """Damage between two replicas: (file, offset, length_left, length_right, hash_left, hash_right, kind).
 
     ``kind`` is changed, missing (only left), extra (only right) or repeated (the record stands a different number of times).
     Equal rows at one offset count by their number; different ones are told apart by their hashes. Two empty
-    replicas, or equal ones, give no rows. Columns other than file, offset and payload are not read.
+    replicas, or equal ones, give no rows. The replicas are tables of (file, offset, length, hash).
     """
-    rows = [stored(leaves(r)) for r in (left, right)]
+    rows = [stored(r.select("file", "offset", "length", "hash")) for r in (left, right)]
     trees = [tree(r, leaf, fanout) for r in rows]
     height = max(map(len, trees))
     for levels in trees:  # the lower tree goes on as single chains
@@ -104,18 +109,43 @@ def audit(left: DataFrame, right: DataFrame, leaf: int = LEAF_BYTES, fanout: int
     return met.unionByName(repeated)
 
 
-def warc_records(pages: DataFrame, per_file: int = 512) -> DataFrame:
-    """``pages(page_id, url, html)`` as WARC response records: (file, offset, payload, page_id).
-
-    A file takes the pages of ``per_file`` neighbouring ids, in order of id, so a file's running offset is a window over a
-    bounded group. Pages without an id have no place in a file and are left out; equal rows become one record.
-    """
-    ordered = pages.where("page_id is not null").select("page_id", "url", "html").distinct()
+def _payloads(pages: DataFrame, per_file: int) -> DataFrame:
+    """(page_id, file, payload) of every page with an id."""
     body = F.coalesce(F.col("html"), F.lit(""))
     record = F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce(F.col("url"), F.lit("")),
         F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"),
     )
-    made = ordered.select("page_id", F.floor(F.col("page_id") / per_file).alias("file"), record.alias("payload"))
-    before = Window.partitionBy("file").orderBy("page_id", "payload").rowsBetween(Window.unboundedPreceding, -1)
-    return made.select("file", F.coalesce(F.sum(F.octet_length("payload")).over(before), F.lit(0)).alias("offset"), "payload", "page_id")
+    return pages.where("page_id is not null").select("page_id", F.floor(F.col("page_id") / per_file).alias("file"), record.alias("payload"))
+
+
+def _with_offsets(records: DataFrame) -> DataFrame:
+    """``records(file, page_id, length, hash, ...)``, each once, with the offset in its file."""
+    before = Window.partitionBy("file").orderBy("page_id", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    return records.distinct().withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("bigint"))
+
+
+def _measured(payload: Column, suffix: str = "") -> list[Column]:
+    return [F.octet_length(payload).cast("bigint").alias(f"length{suffix}"), record_hash(payload).alias(f"hash{suffix}")]
+
+
+def warc_records(pages: DataFrame, per_file: int = 512) -> DataFrame:
+    """``pages(page_id, url, html)`` as WARC response records: (file, offset, payload, page_id).
+
+    A file takes the pages of ``per_file`` neighbouring ids, in order of id and of the record's hash, so a file's running offset is a window
+    over a bounded group. Pages without an id have no place in a file and are left out; equal rows become one record. Further columns
+    are not read, whatever their names; an empty table gives no records.
+    """
+    made = _payloads(pages, per_file)
+    return _with_offsets(made.select("file", "page_id", *_measured(F.col("payload")), "payload")).select("file", "offset", "payload", "page_id")
+
+
+def warc_leaves(pages: DataFrame, changed: Column | None = None, per_file: int = 512) -> DataFrame:
+    """(file, offset, page_id, length, hash) of the records of ``warc_records``; bodies are hashed where they are read, and not shuffled.
+
+    ``changed`` is an expression over page_id and payload, for a replica with the same offsets: its length and hash follow
+    as ``length_changed`` and ``hash_changed``. Nulls and repeats as in ``warc_records``.
+    """
+    made = _payloads(pages, per_file)
+    columns = _measured(F.col("payload")) + ([] if changed is None else _measured(changed, "_changed"))
+    return _with_offsets(made.select("file", "page_id", *columns))

@@ -22,6 +22,7 @@ from flowtide.llm import (
     unigram,
     weak_toxicity,
 )
+from flowtide.llm.storage import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -208,12 +209,12 @@ def _(spark, folder):
     return unigram.token_report(table(spark, folder, "documents"), unigram.load_model())
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with damage by rule: flipped characters, lost records, records written twice."""
+def replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leaves of all pages as records, and of a replica with damage by rule: flipped characters, lost records, records written twice."""
     broken = F.concat(F.substring("payload", 1, 40), F.lit("?"), F.expr("substring(payload, 42)"))
-    kept = records.where("page_id % 211 <> 3")
-    kept = kept.withColumn("payload", F.when(F.col("page_id") % 101 == 7, broken).otherwise(F.col("payload")))
-    return kept.withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(F.col("page_id") % 307 == 5, 2).otherwise(1)))).drop("_n")
+    both = stored(merkle_audit.warc_leaves(pages, F.when(F.col("page_id") % 101 == 7, broken).otherwise(F.col("payload"))))
+    kept = both.where("page_id % 211 <> 3").select("file", "offset", "page_id", F.col("length_changed").alias("length"), F.col("hash_changed").alias("hash"))
+    return both, kept.withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(F.col("page_id") % 307 == 5, 2).otherwise(1)))).drop("_n")
 
 
 _AUDIT_SQL = """
@@ -224,7 +225,7 @@ made as (
          || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
          || html || chr(13) || chr(10) || chr(13) || chr(10) payload from p),
 a as (
-  select *, coalesce(sum(strlen(payload)) over (partition by file order by page_id, payload
+  select *, coalesce(sum(strlen(payload)) over (partition by file order by page_id, sha256(payload)
             rows between unbounded preceding and 1 preceding), 0)::bigint "offset" from made),
 b as (
   select file, "offset", case when page_id % 101 = 7 then substr(payload, 1, 40) || '?' || substr(payload, 42) else payload end payload,
@@ -243,8 +244,7 @@ where x.h is distinct from y.h or x.c <> y.c
 @query("op8_merkle_audit", _AUDIT_SQL)
 def _(spark, folder):
     """Damage of a replica of all pages, written as WARC records, found from the roots down."""
-    records = merkle_audit.warc_records(table(spark, folder, "pages"))
-    return merkle_audit.audit(records, damaged(records))
+    return merkle_audit.audit_leaves(*replicas(table(spark, folder, "pages")))
 
 
 def _repair_sql() -> str:
