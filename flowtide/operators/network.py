@@ -17,7 +17,10 @@ from flowtide.operators.changes import historical_changes
 from flowtide.operators.flows import value_flows
 from flowtide.operators.mapping import name_ids
 from flowtide.plans.skew import skewed_join
+from flowtide.session import ensure_checkpoints
 
+#: Tokens of one line of a document.
+DOCUMENT_TOKENS = 1024
 # sorts before every id, so that an unmapped (NULL) end has a place in the order of a pair
 _NO_NODE = "\u0000"
 
@@ -139,22 +142,48 @@ def network_links(flows: DataFrame) -> DataFrame:
     return nested.select(*keys, size.alias("size"), "composition")
 
 
-def network_document(flows: DataFrame) -> DataFrame:
-    """Nodes and links as JSON lines ``[period], part, json``; composition is a token → amount object."""
+def _chunked(composition: DataFrame, keys: list[str], tokens: int) -> DataFrame:
+    """``keys, chunk, composition`` with at most ``tokens`` entries a row.
+
+    Entries are range-partitioned by key and token and numbered in that order, kept in a checkpoint; a chunk is a run of numbers, so one
+    key's tokens cover as many rows, and as many tasks, as they need.
+    """
+    ensure_checkpoints(composition.sparkSession)
+    order = [F.col(c).asc_nulls_first() for c in [*keys, "token"]]
+    placed = composition.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    entry = F.struct(F.coalesce("token", F.lit("null")), "amount")
+    chunks = placed.groupBy(*keys, F.floor(F.col("_at") / tokens).alias("chunk"))
+    return chunks.agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("composition"))
+
+
+def network_document(flows: DataFrame, nested: bool = False, tokens: int = DOCUMENT_TOKENS) -> DataFrame:
+    """Nodes and links as JSON lines ``[period], part, json``.
+
+    A line of part ``nodes`` or ``links`` has a node or link with its size; its composition, a token → amount object, follows in lines of part
+    ``node_tokens`` or ``link_tokens`` that repeat its ends and hold at most ``tokens`` tokens each (``chunk`` tells them apart). So no
+    cell grows with a node. ``nested=True`` puts the whole composition into the one line instead, for
+    networks whose nodes have few tokens.
+    """
     period = _period(flows)
-    as_map = F.map_from_entries(
-        F.transform("composition", lambda e: F.struct(F.coalesce(e["token"], F.lit("null")), e["amount"]))
-    ).alias("composition")
     null_fields = {"ignoreNullFields": "false"}
-    nodes = network_nodes(flows).select(
-        *period, F.lit("nodes").alias("part"), F.to_json(F.struct("id", "size", as_map), null_fields).alias("json")
-    )
-    edges = network_links(flows).select(
-        *period,
-        F.lit("links").alias("part"),
-        F.to_json(F.struct("source", "target", "size", as_map), null_fields).alias("json"),
-    )
-    return nodes.unionByName(edges)
+
+    def lines(rows: DataFrame, part: str, *fields) -> DataFrame:
+        return rows.select(*period, F.lit(part).alias("part"), F.to_json(F.struct(*fields), null_fields).alias("json"))
+
+    if nested:
+        as_map = F.map_from_entries(
+            F.transform("composition", lambda e: F.struct(F.coalesce(e["token"], F.lit("null")), e["amount"]))
+        ).alias("composition")
+        nodes = lines(network_nodes(flows), "nodes", "id", "size", as_map)
+        return nodes.unionByName(lines(network_links(flows), "links", "source", "target", "size", as_map))
+    ends = ["source", "target"]
+    held = _chunked(node_composition(flows), [*period, "id"], tokens)
+    carried = _chunked(link_composition(flows), [*period, *ends], tokens)
+    parts = [
+        lines(node_sizes(flows), "nodes", "id", "size"), lines(held, "node_tokens", "id", "chunk", "composition"),
+        lines(links(flows), "links", *ends, "size"), lines(carried, "link_tokens", *ends, "chunk", "composition"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 def historical_flows(

@@ -348,9 +348,15 @@ def document_entries(document, period: str):
     """The JSON lines of a network document parsed again, one row per entry of a composition."""
     fields = "id string, source string, target string, size double, composition map<string,double>"
     parsed = document.select(period, "part", F.from_json("json", fields, {"mode": "FAILFAST"}).alias("j"))
-    return parsed.select(
-        period, "part", "j.id", "j.source", "j.target", "j.size", F.explode_outer("j.composition").alias("token", "amount")
-    )
+    heads = parsed.where("part in ('nodes', 'links')").select(period, "part", "j.id", "j.source", "j.target", "j.size")
+    part = F.when(F.col("part") == "node_tokens", "nodes").otherwise("links")
+    chunks = parsed.where("part like '%_tokens'").select(
+        F.col(period).alias("_p"), part.alias("_part"), *[F.col(f"j.{c}").alias(f"_{c}") for c in ("id", "source", "target")],
+        F.explode("j.composition").alias("token", "amount"))
+    same = (F.col(period) == F.col("_p")) & (F.col("part") == F.col("_part"))
+    for c in ("id", "source", "target"):
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return heads.join(chunks, same, "left").select(period, "part", "id", "source", "target", "size", "token", "amount")
 
 
 @query("network_document", with_ctes(DOCUMENT_SQL.format("n.period", "period"), **YEARS))

@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from flowtide.operators import community, mapping, network, subgraph
 from flowtide.operators.flows import value_flows
@@ -55,13 +56,33 @@ def test_links(flows):
 
 def test_document(flows):
     parts = {}
-    for part, text in network.network_document(flows).collect():
+    for part, text in network.network_document(flows, nested=True).collect():
         parts.setdefault(part, []).append(json.loads(text))
     assert {"id": "2", "size": 74.0, "composition": {"A": 20.0, "B": 50.0, "C": 4.0}} in parts["nodes"]
     assert {"id": None, "size": 0.0, "composition": {}} in parts["nodes"]
     assert {"source": "2", "target": "3", "size": 35.0, "composition": {"A": 60.0, "C": -25.0}} in parts["links"]
 
 
+def test_document_in_chunks(flows):
+    parts = {}
+    for part, text in network.network_document(flows, tokens=2).collect():
+        parts.setdefault(part, []).append(json.loads(text))
+    assert {"id": "2", "size": 74.0} in parts["nodes"] and {"id": None, "size": 0.0} in parts["nodes"]
+    assert {"source": "2", "target": "3", "size": 35.0} in parts["links"]
+    mine = [t for t in parts["node_tokens"] if t["id"] == "2"]
+    assert len(mine) >= 2 and {k: v for t in mine for k, v in t["composition"].items()} == {"A": 20.0, "B": 50.0, "C": 4.0}
+    assert all(0 < len(t["composition"]) <= 2 for name in ("node_tokens", "link_tokens") for t in parts[name])
+
+
+def test_a_node_with_most_tokens_is_never_one_cell(spark):
+    hot = [("1", f"T{i}", 10, 1) for i in range(5000)]
+    flows = value_flows(changes(spark, *hot, ("2", "T1", 5, 1)), owners(spark, T1="2"))
+    lines = network.network_document(flows, tokens=100)
+    sizes = lines.where("part = 'node_tokens'").select(F.size(F.from_json(F.get_json_object("json", "$.composition"), "map<string,double>")).alias("n"))
+    found = sizes.agg(F.max("n"), F.sum("n"), F.count("*")).first()
+    assert found[0] <= 100 and found[1] == 5001 and found[2] >= 50
+
+
 def test_unknown_change_flows_in_without_amounts(spark):
     flows = value_flows(changes(spark, ("1", "A", 5, None)), owners(spark, A="2"))
     row = flows.first()
