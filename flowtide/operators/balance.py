@@ -41,9 +41,9 @@ def clean_balance_sheet(sheet: DataFrame, largest: int = LARGEST_ASSETS) -> Data
         .limit(largest)
         .select("token", "date_str")
     )
-    # at most `largest` rows each
-    dates = F.broadcast(peak.select("date_str").distinct().withColumn("_on_date", F.lit(True)))
-    tokens = F.broadcast(peak.select("token").distinct().withColumn("_of_token", F.lit(True)))
+    # at most `largest` rows each; the planner decides by size
+    dates = peak.select("date_str").distinct().withColumn("_on_date", F.lit(True))
+    tokens = peak.select("token").distinct().withColumn("_of_token", F.lit(True))
     flagged = parsed.join(dates, "date_str", "left").join(tokens, "token", "left")
     outlier = (F.col("type") == "asset") & F.col("_on_date") & F.col("_of_token")
     keys = ["type", "liquidity", "source", "token", "date_str"]

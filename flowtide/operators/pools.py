@@ -17,8 +17,7 @@ def weekly_pool_tvl(pools: DataFrame, top: int = TOP_POOLS, ordered: bool = True
     """
     means = pools.groupBy("pool_id").agg(F.avg("tvl_usd").alias("mean_tvl"))
     best = means.orderBy(F.desc_nulls_last("mean_tvl"), "pool_id").limit(top)
-    # at most `top` rows
-    flags = F.broadcast(best.select("pool_id", F.lit(True).alias("is_top")))
+    flags = best.select("pool_id", F.lit(True).alias("is_top"))
     pair = F.concat("token0", F.lit("/"), "token1")
     category = F.when(F.col("is_top"), pair).otherwise(F.lit("Other"))
     weekly = (

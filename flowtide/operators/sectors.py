@@ -19,11 +19,11 @@ FLOW_UNIT = 1e10
 RATIO_COLUMNS = ("time", "type", "inflow", "outflow")
 
 
-def typed_edges(edges: DataFrame, nodes: DataFrame, match_time: bool = False, folded: bool = False) -> DataFrame:
+def typed_edges(edges: DataFrame, nodes: DataFrame, match_time: bool = False, folded: bool = True) -> DataFrame:
     """Attach the sector of both ends.
 
     By default nodes are matched on their id alone, so an edge repeats for every time slice its ends
-    occur in. The repeats are carried as ``copies`` and only written out unless ``folded``.
+    occur in. The repeats are carried as ``copies``, and written out as rows where ``folded=False``.
     ``match_time=True`` matches within the edge's slice.
     """
     on_time = ["time"] if match_time else []

@@ -22,11 +22,11 @@ def global_series(positions: DataFrame, ordered: bool = True) -> DataFrame:
 def top_protocol_series(positions: DataFrame, top_x: int, ordered: bool = True) -> DataFrame:
     """Value per (type, protocol, date) of the ``top_x`` protocols with the largest mean value.
 
-    The chosen names are at most ``top_x`` rows, hence the broadcast.
+    The planner decides by size how the chosen names meet the positions.
     """
     means = positions.groupBy("protocol_name").agg(F.avg("usd").alias("avg_usd"))
     top = means.orderBy(F.desc_nulls_last("avg_usd"), "protocol_name").limit(top_x)
-    chosen = positions.join(F.broadcast(top.select("protocol_name")), "protocol_name", "left_semi")
+    chosen = positions.join(top.select("protocol_name"), "protocol_name", "left_semi")
     series = chosen.groupBy("type", "protocol_name", "aggregated_date").agg(F.sum("usd").alias("usd"))
     return series.orderBy(F.asc_nulls_last("type"), "protocol_name", "aggregated_date") if ordered else series
 

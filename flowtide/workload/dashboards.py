@@ -44,7 +44,7 @@ _GRIDS = {
     with_ctes(f"select time, source, target, {r('size')} size, source_type, target_type from typed", **_TYPED),
 )
 def _(t):
-    return sectors.typed_edges(yearly_edges(t), yearly_nodes(t))
+    return sectors.typed_edges(yearly_edges(t), yearly_nodes(t), folded=False)
 
 
 @query(
@@ -54,7 +54,7 @@ def _(t):
                   left join kept d on d.id = target and d.time = e.time""", **_TYPED),
 )
 def _(t):
-    return sectors.typed_edges(yearly_edges(t), yearly_nodes(t), match_time=True)
+    return sectors.typed_edges(yearly_edges(t), yearly_nodes(t), match_time=True, folded=False)
 
 
 def _sector_flows(t):

@@ -5,12 +5,14 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from flowtide.functions.calendar import bucket
 from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.lookup import category_map_frame
 from flowtide.operators.mapping import Mapping
 from flowtide.schemas import FACTS
 from flowtide.sources import ingest, readers, rewrite, tables
 from flowtide.sources.documents import document_texts
+from flowtide.sources.history import read_history, update_history, write_history
 from flowtide.streaming.ingest import FactSink, stream_landed_files
 
 
@@ -323,3 +325,22 @@ def test_a_batch_reads_the_buckets_of_its_keys_alone(spark, tmp_path):
     # a replay of a recent batch still finds its mark
     sink.write_batch(facts(spark, ("T77", 111), ("new", 11)), 11)
     assert rows(sink.latest_before(12, key)) == [("7", "E", "T77", 111)]
+
+
+def test_only_touched_periods_of_a_history_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "history")
+
+    def build(rows_):
+        return rows_.groupBy(bucket("month").alias("period"), "token_name").agg(F.max("date").alias("newest"))
+
+    day = 86_400
+    old = facts(spark, ("A", 10 * day), ("A", 40 * day), ("B", 41 * day), ("B", 70 * day))
+    write_history(build(old), path)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "history").rglob("*.parquet")}
+    new = facts(spark, ("C", 45 * day), (None, 46 * day))
+    assert update_history(old.union(new), new, path, "month", build) == ["1970-02-01"]
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "history").rglob("*.parquet")}
+    gone = {f.parent.name for f in before.keys() - after.keys()}
+    assert gone == {"period_day=1970-02-01"} and all(before[f] == after[f] for f in before.keys() & after.keys())
+    assert rows(read_history(build(old), path)) == rows(build(old.union(new)))
+    assert update_history(old, new.limit(0), path, "month", build) == []
