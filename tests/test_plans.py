@@ -43,7 +43,7 @@ def test_compare_periods_is_one_shuffle_with_pushed_dates(stored):
     assert "SortAggregate" not in text and "Window" not in text
 
 
-def test_general_comparison_reads_and_folds_the_facts_once(stored, spark):
+def test_general_comparison_has_no_window(stored, spark):
     df = compare_periods(*stored, "1970-02-01", "month", folded=True)
     df.collect()
     assert "Window" not in plan(df)
