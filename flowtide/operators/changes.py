@@ -49,13 +49,13 @@ def compare_periods(
     granularity: str = "day",
     chains: str = "exclude_borrowed",
     unique: bool = False,
-    folded: bool = False,
+    folded: bool = True,
 ) -> DataFrame:
     """First-to-last change of every position with at least two rows in ``[start, start + 1 unit]``.
 
-    Repeated rows at a boundary date fan out. ``unique=True`` promises that (id, chain, token, date) is
-    unique and takes the one-shuffle plan; ``folded=True`` leaves equal result rows folded, with their
-    number in ``copies`` (the network operators weigh by it).
+    Repeated rows at a boundary date fan out. Equal result rows are folded, with their number in ``copies`` (the network
+    operators weigh by it); ``folded=False`` writes them out. ``unique=True`` promises that (id, chain, token, date) is
+    unique and takes the one-shuffle plan; a boundary date that breaks the promise is an error.
     """
     first = as_day(start_date)
     in_window = F.col("date").between(epoch_seconds(first), epoch_seconds(shift(first, granularity)))
@@ -69,7 +69,7 @@ def historical_changes(
     granularity: str,
     start_date: str | date,
     unique: bool = False,
-    folded: bool = False,
+    folded: bool = True,
     ordered: bool = False,
 ) -> DataFrame:
     """First-to-last change inside every period from ``start_date`` on; a single row is a change of 0."""
@@ -88,7 +88,7 @@ def period_snapshots(
     granularity: str,
     chains: str = "exclude_borrowed",
     unique: bool = False,
-    folded: bool = False,
+    folded: bool = True,
 ) -> DataFrame:
     """``compare_periods`` for every date of a spine in one job, keyed by ``period`` (a DATE).
 

@@ -315,17 +315,40 @@ FROM_1996 = "date >= epoch(date '1996-01-01')"
 
 @query("compare_periods", with_ctes(changes_body(), spans=spans_sql("facts", YEAR_1996), changes=changes_sql()))
 def _(t):
-    return changes.compare_periods(t.facts, t.protocols, "1996-01-01", "year", unique=True)
+    return changes.compare_periods(t.facts, t.protocols, "1996-01-01", "year", unique=True, folded=False)
 
 
 @query(
     "compare_periods_fan_out",
     with_ctes(changes_body(), spans=spans_sql("positions", YEAR_1996), changes=changes_sql()),
 )
+def _(t):
+    return changes.compare_periods(t.positions, t.protocols, "1996-01-01", "year", folded=False)
+
+
+_FOLDED = "select *, count(*) copies from ({}) group by all"
+
+
+@query(
+    "compare_periods_folded",
+    with_ctes(_FOLDED.format(changes_body()), spans=spans_sql("positions", YEAR_1996), changes=changes_sql()),
+)
 def _(t):
     return changes.compare_periods(t.positions, t.protocols, "1996-01-01", "year")
 
 
+@query(
+    "historical_changes_folded",
+    with_ctes(
+        _FOLDED.format(changes_body(True, "date")),
+        spans=spans_sql("positions", FROM_1996, _bucket_sql("month"), "true"),
+        changes=changes_sql(True, 1),
+    ),
+)
+def _(t):
+    return changes.historical_changes(t.positions, t.protocols, "month", "1996-01-01")
+
+
 for _mode, _predicate in {"only_borrowed": "chain_name like '%borrowed%'", "all": "true", "O": "chain_name = 'O'"}.items():
 
     @query(
@@ -333,7 +356,7 @@ for _mode, _predicate in {"only_borrowed": "chain_name like '%borrowed%'", "all"
         with_ctes(changes_body(), spans=spans_sql("facts", YEAR_1996, chains=_predicate), changes=changes_sql()),
     )
     def _(t, mode=_mode):
-        return changes.compare_periods(t.facts, t.protocols, "1996-01-01", "year", mode, unique=True)
+        return changes.compare_periods(t.facts, t.protocols, "1996-01-01", "year", mode, unique=True, folded=False)
 
 
 HISTORY = {"spans": spans_sql("facts", FROM_1996, _bucket_sql("month"), "true"), "changes": changes_sql(True, 1)}
@@ -342,7 +365,7 @@ YEARLY_HISTORY = {"spans": spans_sql("facts", FROM_1996, _bucket_sql("year"), "t
 
 @query("historical_changes", with_ctes(changes_body(True, "date"), **HISTORY))
 def _(t):
-    return changes.historical_changes(t.facts, t.protocols, "month", "1996-01-01", unique=True, ordered=True)
+    return changes.historical_changes(t.facts, t.protocols, "month", "1996-01-01", unique=True, folded=False, ordered=True)
 
 
 @query(
@@ -354,7 +377,7 @@ def _(t):
     ),
 )
 def _(t):
-    return changes.historical_changes(t.positions, t.protocols, "year", "1996-01-01")
+    return changes.historical_changes(t.positions, t.protocols, "year", "1996-01-01", folded=False)
 
 
 def _snapshot_sql(last: str, unit: str) -> dict[str, str]:
@@ -371,9 +394,9 @@ def _snapshot_sql(last: str, unit: str) -> dict[str, str]:
 
 @query("period_snapshots", with_ctes(changes_body(True), **_snapshot_sql("2000-01-01", "year")))
 def _(t):
-    return changes.period_snapshots(t.facts, t.protocols, "1996-01-01", "2000-01-01", "year", unique=True)
+    return changes.period_snapshots(t.facts, t.protocols, "1996-01-01", "2000-01-01", "year", unique=True, folded=False)
 
 
 @query("period_snapshots_month", with_ctes(changes_body(True), **_snapshot_sql("1997-12-01", "month")))
 def _(t):
-    return changes.period_snapshots(t.facts, t.protocols, "1996-01-01", "1997-12-01", "month", unique=True)
+    return changes.period_snapshots(t.facts, t.protocols, "1996-01-01", "1997-12-01", "month", unique=True, folded=False)

@@ -37,21 +37,47 @@ def test_compare_periods_includes_the_end_instant(spark, unique):
 
 def test_compare_periods_fans_out(spark):
     twice = [*THREE, position("1", "A", 0, 1, 5)]
-    result = compare_periods(facts(spark, *twice), protocols(spark, "1"), "1970-01-01", "day")
+    result = compare_periods(facts(spark, *twice), protocols(spark, "1"), "1970-01-01", "day", folded=False)
     assert rows(result, "qty", "usd", "qty_change", "usd_change") == [(1.0, 5.0, 6.0, 55.0), (10.0, 100.0, -3.0, -40.0)]
 
 
 def test_equal_rows_fan_out_as_copies(spark):
     repeated = [THREE[0]] * 3 + [THREE[1]] * 2
     given = facts(spark, *repeated), protocols(spark, "1"), "1970-01-01", "day"
-    assert rows(compare_periods(*given), *CHANGE) == [(0, DAY, 10.0, 100.0, -3.0, -40.0)] * 6
-    assert rows(compare_periods(*given, folded=True), "usd_change", "copies") == [(-40.0, 6)]
+    assert rows(compare_periods(*given, folded=False), *CHANGE) == [(0, DAY, 10.0, 100.0, -3.0, -40.0)] * 6
+    assert rows(compare_periods(*given), "usd_change", "copies") == [(-40.0, 6)]
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+@pytest.mark.parametrize("at", [0, DAY])
+@pytest.mark.parametrize("value", [60, 61])
+def test_a_broken_promise_is_an_error(spark, tasks, at, value):
+    """Equal or unequal rows, of one task or of several, at the first date or the last one."""
+    given = [position("1", "A", 0, 10, 60), position("1", "A", 9, 1, 1), position("1", "A", DAY, 10, 60)]
+    known = protocols(spark, "1")
+    fine = facts(spark, *given, position("1", "A", 9, 1, 1)).repartition(tasks)  # no boundary date
+    assert rows(compare_periods(fine, known, "1970-01-01", "day", unique=True), *CHANGE) == [(0, DAY, 10.0, 60.0, 0.0, 0.0)]
+    broken = facts(spark, *given, position("1", "A", at, 10, value)).repartition(tasks)
+    for make in (
+        lambda: compare_periods(broken, known, "1970-01-01", "day", unique=True),
+        lambda: historical_changes(broken, known, "month", "1970-01-01", unique=True),
+        lambda: period_snapshots(broken, known, "1970-01-01", "1970-01-01", "day", unique=True),
+    ):
+        with pytest.raises(Exception, match="several rows: 1, E, A"):
+            make().collect()
+
+
+def test_unique_rows_before_1970_and_far_dates(spark):
+    """Dates of either sign, one beyond the bits of the check."""
+    given = facts(spark, position("1", "A", -DAY, 1, 10), position("1", "A", 5, 2, 30), position("1", "B", 1 << 40, 3, 7))
+    result = historical_changes(given.repartition(2), protocols(spark, "1"), "year", "1900-01-01", unique=True)
+    assert rows(result, "token_name", "usd", "usd_change") == [("A", 10.0, 0.0), ("A", 30.0, 0.0), ("B", 7.0, 0.0)]
 
 
 def test_many_copies_are_all_written_out(spark):
     repeated = spark.range(3_000).selectExpr("'1' id", "'E' chain_name", "0L date", "'A' token_name", "1d quantity", "1d value_usd")
     both = repeated.unionByName(facts(spark, position("1", "A", 9, 2, 2)))
-    assert compare_periods(both, protocols(spark, "1"), "1970-01-01", "day").count() == 3_000
+    assert compare_periods(both, protocols(spark, "1"), "1970-01-01", "day", folded=False).count() == 3_000
 
 
 def test_compare_periods_drops_single_rows_and_filters_chains(spark):
