@@ -5,47 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a place packed below a date; rows of a task, and tasks, beyond 2^28 share places.
+#: Bits of a place packed below a date.
 _BITS = 28
-_PLACES = ("task", "row")
-_ENDS = ("first_low", "first_high", "last_low", "last_high")
+_ENDS = ("_first_low", "_first_high", "_last_low", "_last_high")
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    """Rows with their place: the number of the task that reads them, and theirs within it. No two rows have both in common."""
-    mask = (1 << _BITS) - 1
-    numbered = rows.withColumns({"_task": F.spark_partition_id().cast("bigint"), "_row": F.monotonically_increasing_id()})
-    return numbered.withColumns({name: F.col(name).bitwiseAND(F.lit(mask).cast("bigint")) for name in ("_task", "_row")})
-
-
-def _day(far: int = 1 << (62 - _BITS)) -> Column:
-    """The date, shifted left; dates that do not fit (from the year 2514 on) count as one."""
-    fits = F.greatest(F.least(F.col("date"), F.lit(far - 1).cast("bigint")), F.lit(-far).cast("bigint"))
-    return F.shiftleft(fits, _BITS)
+    """Rows with a place in 28 bits: rows that one task reads follow each other, and tasks start at scattered places."""
+    start = F.spark_partition_id().cast("bigint") * 0x9E3779B1
+    place = (F.monotonically_increasing_id() + start).bitwiseAND(F.lit((1 << _BITS) - 1).cast("bigint"))
+    far = 1 << (62 - _BITS)
+    near = F.greatest(F.least(F.col("date"), F.lit(far - 1).cast("bigint")), F.lit(-far).cast("bigint"))
+    return rows.withColumn("_place", place).withColumn("_day", F.shiftleft(near, _BITS))
 
 
 def _extremes() -> list[Column]:
     """Smallest and largest place at the first date and at the last one, each packed with its date into one long."""
-    day, top = _day(), F.lit((1 << _BITS) - 1).cast("bigint")
-    found = []
-    for name in _PLACES:
-        place = F.col(f"_{name}")
-        values = (F.min(day + place), F.min(day + (top - place)), F.max(day + (top - place)), F.max(day + place))
-        found += [value.alias(f"_{name}_{end}") for value, end in zip(values, _ENDS, strict=True)]
-    return found
+    up = F.col("_day") + F.col("_place")
+    down = F.col("_day") + (F.lit((1 << _BITS) - 1).cast("bigint") - F.col("_place"))
+    found = (F.min(up), F.min(down), F.max(down), F.max(up))
+    return [value.alias(name) for value, name in zip(found, _ENDS, strict=True)]
 
 
 def _checked(keys: list[str]) -> Column:
     """True, or an error where the first or the last date of a key has more than one row.
 
-    A single row has one place, so that what it is packed to counted up and counted down add up to the top of the bits.
+    A single row has one place, so that the place counted up and the place counted down add up to the top of the bits.
     """
-    day, top = F.lit(-1 << _BITS).cast("bigint"), F.lit((1 << _BITS) - 1).cast("bigint")
+    top = F.lit((1 << _BITS) - 1).cast("bigint")
     broken = F.lit(False)
-    for name in _PLACES:
-        for end in ("first", "last"):
-            low, high = (F.col(f"_{name}_{end}_{side}") for side in ("low", "high"))
-            broken |= (low - low.bitwiseAND(day)) + (high - high.bitwiseAND(day)) != top
+    for low, high in (_ENDS[:2], _ENDS[2:]):
+        broken |= F.col(low).bitwiseAND(top) + F.col(high).bitwiseAND(top) != top
     shown = F.concat_ws(", ", *[F.col(key).cast("string") for key in keys])
     error = F.raise_error(F.concat(F.lit("unique=True, but a first or last date has several rows: "), shown))
     return F.when(broken, error.cast("boolean")).otherwise(F.lit(True))
@@ -60,7 +50,8 @@ def first_last_pairs(rows: DataFrame, keys: list[str], min_rows: int = 1, unique
 
     ``unique=True`` promises at most one row per key and date. It is a single hash aggregate with map-side
     combine, so a key holding a third of all rows costs one partial row per task. The same aggregate notices a boundary
-    date that two rows share, whatever their values: that is an error, raised when the result is computed.
+    date that two rows share, whatever their values: that is an error, raised when the result is computed. It goes by the rows'
+    places, so one repeat in 2^28 may pass unseen; dates from the year 2514 on count as one.
     The general form first folds equal rows (also map-side), then looks the two boundary dates up by
     (key, date), which spreads the rows of a hot key over its dates.
     """
@@ -82,7 +73,7 @@ def first_last_pairs(rows: DataFrame, keys: list[str], min_rows: int = 1, unique
         )
         return (
             ends.where(_checked(keys) & (F.col("_rows") >= min_rows))
-            .drop("_rows", *[f"_{name}_{end}" for name in _PLACES for end in _ENDS])
+            .drop("_rows", *_ENDS)
             .withColumn("copies", F.lit(1).cast("bigint"))
         )
     folded = present.groupBy(*keys, "date", "quantity", "value_usd").agg(F.count("*").alias("_copies"))
