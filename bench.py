@@ -27,6 +27,7 @@ HEADLINE = [
     "historical_changes",
     "period_snapshots",
     "rule_token_map",
+    "updated_mapping",
     "network_nodes",
     "network_links",
     "historical_edges",

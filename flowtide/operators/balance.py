@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowtide.functions.calendar import utc_date
 from flowtide.functions.values import to_number
 from flowtide.plans.rolling import with_rolling_mean
+from flowtide.plans.skew import expand_copies
 
 # fixed values: how many of the largest asset rows mark outliers, the rolling window, the row types
 LARGEST_ASSETS = 15
@@ -59,21 +60,19 @@ def clean_balance_sheet(sheet: DataFrame, largest: int = LARGEST_ASSETS) -> Data
     )
 
 
-def token_balances(clean: DataFrame, ordered: bool = True) -> DataFrame:
+def token_balances(clean: DataFrame, ordered: bool = True, folded: bool = True) -> DataFrame:
     """Asset minus liability per (date, token), missing sides as 0.
 
-    Several asset and liability rows of one date and token (by liquidity and source) meet pairwise.
+    Several asset and liability rows of one date and token (by liquidity and source) meet pairwise. Rows of equal
+    values are folded before they meet, with the number of equal results in ``copies``; ``folded=False`` writes those out.
     """
 
     def side(kind: str) -> DataFrame:
-        return clean.where(F.col("type") == kind).select(
-            "date_str",
-            "token",
-            F.col("amount").alias(f"{kind}_amount"),
-            F.col("usd_value").alias(f"{kind}_usd_value"),
-        )
+        values = [F.col("amount").alias(f"{kind}_amount"), F.col("usd_value").alias(f"{kind}_usd_value")]
+        return clean.where(F.col("type") == kind).groupBy("date_str", "token", *values).agg(F.count("*").alias(f"_{kind}_rows"))
 
     both = side("asset").join(side("liability"), ["date_str", "token"], "full_outer").fillna(0.0)
+    one = F.lit(1).cast("bigint")
     balances = both.select(
         "date_str",
         "token",
@@ -83,7 +82,10 @@ def token_balances(clean: DataFrame, ordered: bool = True) -> DataFrame:
         "liability_usd_value",
         (F.col("asset_usd_value") - F.col("liability_usd_value")).alias("usd_value_balance"),
         (F.col("asset_amount") - F.col("liability_amount")).alias("amount_balance"),
+        (F.greatest("_asset_rows", one) * F.greatest("_liability_rows", one)).alias("copies"),
     )
+    if not folded:
+        balances = expand_copies(balances)
     return balances.orderBy("token", "date_str") if ordered else balances
 
 
@@ -101,8 +103,10 @@ def balance_overview(clean: DataFrame) -> DataFrame:
 
 
 def token_moving_average(balances: DataFrame, token: str | None = None) -> DataFrame:
-    """7-row mean of the value balance of one token, or of each token, over range slices that hand their last rows on."""
+    """7-row mean of the value balance of one token, or of each token, over range slices that hand their last rows on; folded rows count each."""
     rows = balances if token is None else balances.where(F.col("token") == token)
+    if "copies" in rows.columns:
+        rows = expand_copies(rows)
     order = ["date_str", "asset_usd_value", "liability_usd_value", "asset_amount", "liability_amount"]
     return with_rolling_mean(rows, "token", order, "usd_value_balance", "moving_average", WINDOW_ROWS)
 

@@ -54,11 +54,28 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder."""
+def _located(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
-    return sorted(s.getPath().getName() for s in found if s.isDirectory())
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, place = _located(spark, path)
+    return system.exists(place)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    system, place = _located(spark, path)
+    system.create(place, True).close()
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; a missing one has none."""
+    system, place = _located(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

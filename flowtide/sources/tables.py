@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.mapping import Mapping
-from flowtide.session import ensure_checkpoints, remove_folder  # noqa: F401
+from flowtide.session import ensure_checkpoints, folder_names, path_exists, remove_folder, touch  # noqa: F401
 
 
 #: Table property with the cluster columns.
@@ -169,19 +169,52 @@ def write_latest_dates(facts: DataFrame, path: str) -> None:
     write_csv(latest_dates(facts), path)
 
 
+def _mapping_versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of whole saved mappings, oldest first; one that was not finished has no mark and does not count."""
+    return [f"{path}/{n}" for n in folder_names(spark, path) if n.startswith("v") and path_exists(spark, f"{path}/{n}/{_WHOLE}")]
+
+
+#: Empty file that is written last.
+_WHOLE = "_WHOLE"
+
+
 def save_mapping(mapping: Mapping, path: str) -> None:
-    for name, table in mapping._asdict().items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    """Save the tables as a new version, which counts from the moment that all of them are there.
+
+    Readers see the old version or the new one, never tables of two. The version before stays for those that still read
+    it, and since the new tables may be computed from it; older ones, and what was left half written before them, go.
+    """
+    spark = mapping.rev_map.sparkSession
+    before = _mapping_versions(spark, path)
+    number = int(before[-1].rsplit("/v", 1)[1].split("-")[0]) + 1 if before else 1
+    fresh = f"{path}/v{number:010d}-{uuid.uuid4().hex}"
+    try:
+        for name, table in mapping._asdict().items():
+            table.write.parquet(f"{fresh}/{name}")
+        touch(spark, f"{fresh}/{_WHOLE}")
+    except Exception:
+        remove_folder(spark, fresh)
+        raise
+    oldest_kept = before[-1] if before else fresh
+    for name in folder_names(spark, path):
+        if f"{path}/{name}" < oldest_kept:
+            remove_folder(spark, f"{path}/{name}")
 
 
 def load_mapping(spark: SparkSession, path: str) -> Mapping:
-    return Mapping(*[spark.read.parquet(f"{path}/{name}") for name in Mapping._fields])
+    """The newest whole mapping; ``FileNotFoundError`` if there is none."""
+    saved = _mapping_versions(spark, path)
+    if not saved:
+        raise FileNotFoundError(f"no saved mapping in {path}")
+    return Mapping(*[spark.read.parquet(f"{saved[-1]}/{name}") for name in Mapping._fields])
 
 
 def load_or_build_mapping(spark: SparkSession, path: str, build) -> Mapping:
     """Saved mapping tables; if one cannot be read, ``build()`` makes them and they are saved first."""
     try:
         return load_mapping(spark, path)
+    except FileNotFoundError:
+        pass
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise

@@ -252,6 +252,11 @@ def _(t):
 
 
 @query("token_balances", with_ctes(f"select {_BALANCES} from balances", **_SHEET))
+def _(t):
+    return balance.token_balances(_clean(t), folded=False)
+
+
+@query("token_balances_folded", with_ctes(f"select *, count(*) copies from (select {_BALANCES} from balances) group by all", **_SHEET))
 def _(t):
     return balance.token_balances(_clean(t))
 

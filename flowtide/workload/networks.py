@@ -552,6 +552,66 @@ def _(t):
     return quality.select("time", (F.col("modularity") > -1e-9).alias("no_worse_than_one_community"))
 
 
+@query("updated_mapping", with_ctes("select * from owners", **YEARS))
+def _(t):
+    """Built anew, where the other queries read the saved one."""
+    return mapping.update_mapping(t.positions, t.protocols, t.category_map, t.primary_map).token_map
+
+
+_CLIQUES = {
+    "whole": "select s_suppkey k, s_suppkey // 8 g, cast(s_suppkey // 96 as varchar) as time from supplier"
+    " where s_suppkey // 8 in (select s_suppkey // 8 from supplier group by 1 having count(*) = 8)",
+    "weights": """
+    select a.time, cast(a.k as varchar) source, cast(b.k as varchar) target, a.g g, b.g h, 10.0 weight
+    from whole a join whole b on a.g = b.g and a.k < b.k
+    union all select a.time, cast(a.k as varchar), cast(b.k as varchar), a.g, b.g, 0.5
+    from whole a join whole b on a.time = b.time and b.k = a.k + 8 where a.k % 8 = 0""",
+    "totals": "select time, sum(weight) total, coalesce(sum(weight) filter (g = h), 0) inside from weights group by 1",
+    "strengths": "select time, c, sum(weight) strength from (select time, g c, weight from weights union all select time, h, weight from weights) group by all",
+}
+
+
+def _clique_weights(t):
+    """Suppliers in cliques of eight, twelve cliques a slice; light edges join the firsts of neighbouring cliques."""
+    k = F.col("s_suppkey")
+    nodes = t.raw("supplier").select(k.alias("k"), F.floor(k / 8).alias("g"), F.floor(k / 96).cast("string").alias("time"))
+    nodes = nodes.join(nodes.groupBy("g").count().where("count = 8").select("g"), "g")
+
+    def pairs(other, on, weight):
+        both = nodes.alias("a").join(other.alias("b"), on)
+        ends = [F.col(f"{side}.k").cast("string").alias(name) for side, name in (("a", "source"), ("b", "target"))]
+        return both.select("a.time", *ends, F.lit(weight).alias("weight"))
+
+    firsts = nodes.where("k % 8 = 0")
+    inner = pairs(nodes, F.expr("a.g = b.g and a.k < b.k"), 10.0)
+    return inner.unionByName(pairs(firsts, F.expr("a.time = b.time and b.k = a.k + 8"), 0.5))
+
+
+@query(
+    "clique_communities",
+    with_ctes("select time, cast(k as varchar) node, min(cast(k as varchar)) over (partition by g) community from whole", **_CLIQUES),
+)
+def _(t):
+    """Label propagation finds the planted cliques; each is named after its least node here."""
+    labels = community.label_propagation(_clique_weights(t))
+    least = labels.groupBy("time", "community").agg(F.min("node").alias("least"))
+    return labels.join(least, ["time", "community"]).select("time", "node", F.col("least").alias("community"))
+
+
+@query(
+    "clique_quality",
+    with_ctes(
+        f"""select t.time, count(*) communities, {r('any_value(inside / total)')} coverage,
+                   {r('any_value(inside / total) - sum((strength / (2 * total)) ** 2)')} modularity
+            from totals t join strengths s on s.time = t.time group by t.time""",
+        **_CLIQUES,
+    ),
+)
+def _(t):
+    weights = _clique_weights(t)
+    return community.partition_quality(weights, community.label_propagation(weights))
+
+
 # sectors stand in for communities here, so that SQL can follow
 _COMMUNITIES = {
     **_YEARLY_EDGES,

@@ -1,4 +1,6 @@
 import json
+import os
+from datetime import datetime, timezone
 from urllib.parse import unquote
 
 import pytest
@@ -299,6 +301,41 @@ def test_mapping_is_rebuilt_only_when_missing(spark, tmp_path):
     assert made == [1]
 
 
+def test_a_saved_mapping_is_of_one_state(spark, tmp_path):
+    """A save that fails between two tables leaves the old mapping; a new one may be computed from the one it follows."""
+    place = str(tmp_path / "map")
+
+    def of(value):
+        return Mapping(*[spark.sql(f"select '{value}' x")] * 3)
+
+    def states():
+        return [rows(table)[0][0] for table in tables.load_mapping(spark, place)]
+
+    with pytest.raises(FileNotFoundError):
+        tables.load_mapping(spark, place)
+    tables.save_mapping(of("a"), place)
+    broken = spark.sql("select cast(raise_error('no') as string) x")
+    with pytest.raises(Exception, match="no"):
+        tables.save_mapping(Mapping(of("b").rev_map, broken, of("b").id_info), place)
+    assert states() == ["a"] * 3 and len(list((tmp_path / "map").iterdir())) == 1
+    half = tmp_path / "map" / "v0000000002-dead"  # a driver that died before its mark
+    of("dead").rev_map.write.parquet(str(half / "rev_map"))
+    assert states() == ["a"] * 3
+    for _ in range(3):
+        tables.save_mapping(Mapping(*[t.selectExpr("concat(x, 'a') x") for t in tables.load_mapping(spark, place)]), place)
+    assert states() == ["aaaa"] * 3 and not half.exists()
+    assert len(list((tmp_path / "map").iterdir())) == 2
+
+
+def test_last_modified_is_the_newest_files_time(spark, tmp_path):
+    place = tmp_path / "files"
+    spark.range(10).repartition(3).write.parquet(str(place))
+    for number, file in enumerate(sorted(place.glob("*.parquet"))):
+        os.utime(file, (1_700_000_000 + number, 1_700_000_000 + number))
+    newest = datetime.fromtimestamp(1_700_000_002, timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
+    assert rows(readers.last_modified(spark.read.parquet(str(place)))) == [(newest,)]
+
+
 def test_csv_round_trip_and_last_modified(spark, tmp_path):
     place = str(tmp_path / "edges")
     edges = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' time, 'a' source, 'b' target, 2.5d size")
