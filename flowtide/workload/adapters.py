@@ -49,7 +49,7 @@ class Tables:
     @cached_property
     def facts(self) -> DataFrame:
         """``positions`` added up, unique on (id, chain, token, date)."""
-        return self._unique(self.positions)
+        return self.unique(self.positions)
 
     @cached_property
     def tagged_facts(self) -> DataFrame:
@@ -61,11 +61,12 @@ class Tables:
             .when(size == 3, F.concat("p_type", F.lit("-"), "p_brand"))
             .otherwise(F.col("p_type"))
         )
-        return self._unique(self._positions(token))
+        return self.unique(self._positions(token))
 
     @staticmethod
-    def _unique(positions: DataFrame) -> DataFrame:
-        return positions.groupBy("id", "chain_name", "date", "token_name").agg(
+    def unique(positions: DataFrame, *more: str) -> DataFrame:
+        """Positions added up; ``more`` are columns that depend on the key."""
+        return positions.groupBy(*more, "id", "chain_name", "date", "token_name").agg(
             F.round(F.sum("quantity"), 2).alias("quantity"), F.round(F.sum("value_usd"), 2).alias("value_usd")
         )
 

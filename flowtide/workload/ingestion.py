@@ -59,8 +59,13 @@ _FLATTENED = f"""
         select max(date) from facts f where f.id = facts.id and f.chain_name = facts.chain_name)"""
 
 
-def _documents(facts):
-    """Documents of all chains, dates and tokens of an id; chain O lacks its last quantities, and no token in P has one."""
+def _documents(t, positions, group):
+    """(group, id, value): documents of all chains, dates and tokens of an id; chain O lacks its last quantities, and no token in P has one.
+
+    ``group`` depends on the id alone. Rows are dealt out by it once, before they are added up, and no step behind needs a shuffle.
+    """
+    keys = ["group", "id"]
+    facts = t.unique(positions.withColumn("group", group).repartition("group"), "group")
 
     def entries(tokens):
         listed = F.collect_list(F.struct("date", tokens.alias("tokens")))
@@ -70,36 +75,42 @@ def _documents(facts):
     # quantities are written as texts, some of them no numbers
     text = F.when(F.col("token_name").startswith("P"), "n/a").otherwise(F.col("quantity").cast("string"))
     counts = F.map_from_entries(F.collect_list(F.struct(F.col("token_name"), text)))
-    dates = facts.groupBy("id", "chain_name", "date").agg(amounts.alias("usd"), counts.alias("qty"))
-    chains = dates.groupBy("id", "chain_name").agg(entries(F.col("usd")).alias("tokensInUsd"), entries(F.col("qty")).alias("tokens"))
+    dates = facts.groupBy(*keys, "chain_name", "date").agg(amounts.alias("usd"), counts.alias("qty"))
+    chains = dates.groupBy(*keys, "chain_name").agg(entries(F.col("usd")).alias("tokensInUsd"), entries(F.col("qty")).alias("tokens"))
     shorter = F.when(F.col("chain_name") == "O", F.slice("tokens", F.lit(1), F.size("tokens") - 1)).otherwise(F.col("tokens"))
     lists = F.struct("tokensInUsd", shorter.alias("tokens"))
-    named = chains.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("chain_name"), lists))).alias("chainTvls"))
-    return named.select("id", F.to_json(F.struct("id", "chainTvls")).alias("value"))
+    named = chains.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("chain_name"), lists))).alias("chainTvls"))
+    return named.select(*keys, F.to_json(F.struct("id", "chainTvls")).alias("value"))
 
 
 @query("flatten_tvl", with_ctes(_FLATTENED))
 def _(t):
     """Facts through files: one part of the ids as a document per file, the rest as JSON lines."""
     folder = _scratch(t)
-    documents = _documents(t.facts).withColumn("lines", F.pmod(F.xxhash64("id"), F.lit(2)) == 0)
-    documents.where("lines").select("value").write.text(f"{folder}/lines")
-    documents.where("not lines").select("value", F.col("id").alias("file")).write.partitionBy("file").text(f"{folder}/files")
+    in_lines = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    _documents(t, t.positions.where(in_lines), F.col("id")).select("value").write.text(f"{folder}/lines")
+    _documents(t, t.positions.where(~in_lines), F.col("id")).select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/files")
     both = readers.read_tvl_documents(t.spark, f"{folder}/lines").unionByName(readers.read_tvl_documents(t.spark, f"{folder}/files"))
     return ingest.flatten_tvl(both)
 
 
+#: Positions whose documents are put together, at most about so many.
+_CONCATENATED = 50_000
+
+
 @query("concatenated_documents", with_ctes(_FLATTENED))
 def _(t):
-    """The same facts from files that hold many documents each: side by side on one line, in one array, and with line ends inside."""
+    """The same facts from texts that hold many documents each: side by side on one line, in one array, and with line ends inside."""
     folder = _scratch(t)
-    ranked = _documents(t.facts).withColumn("layout", F.pmod(F.xxhash64("id"), F.lit(3)))
-    spread = F.regexp_replace("value", r"([{,])", "$1\n  ")
-    for layout, text, before, between, after in ((0, F.col("value"), "", " ", ""), (1, F.col("value"), "[", ",", "]"), (2, spread, "", "\n", "")):
-        parts = ranked.where(F.col("layout") == layout).groupBy(F.pmod(F.xxhash64("value"), F.lit(4)).alias("file"))
-        joined = parts.agg(F.array_join(F.collect_list(text), between).alias("value"))
-        joined.select(F.concat(F.lit(before), "value", F.lit(after)).alias("value")).write.text(f"{folder}/layout={layout}")
-    return ingest.flatten_tvl(readers.read_tvl_documents(t.spark, *[f"{folder}/layout={i}" for i in range(3)]))
+    texts = max(12, t.raw("lineitem").count() // _CONCATENATED)
+    documents = _documents(t, t.positions, F.pmod(F.xxhash64("id"), F.lit(texts)))
+    layout = F.pmod("group", F.lit(3))
+    spread = F.when(layout == 2, F.regexp_replace("value", r"([{,])", "$1\n  ")).otherwise(F.col("value"))
+    grouped = documents.groupBy("group").agg(F.collect_list(spread).alias("all"))
+    joined = F.when(layout == 0, F.array_join("all", " ")).when(layout == 1, F.concat(F.lit("["), F.array_join("all", ","), F.lit("]")))
+    joined = joined.otherwise(F.array_join("all", "\n"))
+    grouped.select(joined.alias("value"), layout.alias("layout")).write.partitionBy("layout").text(folder)
+    return ingest.flatten_tvl(readers.read_tvl_documents(t.spark, folder))
 
 
 @query(

@@ -13,7 +13,7 @@ from flowtide.operators.lookup import category_map_frame
 from flowtide.operators.mapping import Mapping
 from flowtide.schemas import FACTS
 from flowtide.sources import ingest, readers, rewrite, tables
-from flowtide.sources.documents import document_texts
+from flowtide.sources.documents import document_bodies, document_texts
 from flowtide.sources.history import read_history, update_history, write_history
 from flowtide.streaming.ingest import FactSink, stream_landed_files
 
@@ -116,6 +116,35 @@ def test_a_large_file_is_read_in_many_tasks(spark, tmp_path):
         spark.conf.set(setting, before)
 
 
+def test_whole_documents_are_not_shuffled(spark, tmp_path):
+    """Only fragments of documents that cross the slices of a file meet other rows."""
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text("[" + ",".join(document(f"{name}{i}", {}) for i in range(500)) + "]")
+    found = document_bodies(spark, str(tmp_path))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.agg(F.countDistinct("text"), F.countDistinct("file", "block", "at")).first()[:] == (1000, 1000)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1000")
+    try:
+        split = readers.read_tvl_documents(spark, str(tmp_path))
+        assert sorted(r.id for r in split.collect()) == sorted(f"{n}{i}" for n in "ab" for i in range(500))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_documents_of_an_id_are_made_behind_one_shuffle(spark):
+    """One text holds the ids of a group, and rows are dealt out once: no step adds up, sorts or joins them behind another shuffle."""
+    from flowtide.workload.adapters import Tables
+    from flowtide.workload.ingestion import _documents
+
+    t = Tables(spark, "unused")
+    positions = spark.range(1000).selectExpr("cast(id % 20 as string) id", "'E' chain_name", "cast(id % 7 as bigint) date", "concat('T', id % 3) token_name", "1.0D quantity", "2.0D value_usd")
+    made = _documents(t, positions, F.pmod(F.xxhash64("id"), F.lit(4)))
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert made.count() == 20 and made.select("group").distinct().count() <= 4
+
+
 def test_upsert_and_refresh_reach_the_table(spark, tmp_path):
     name, place = "upsert_under_test", str(tmp_path)
     tables.drop_table(spark, name)
