@@ -10,11 +10,13 @@ from pyspark.sql.types import StructType
 
 from flowtide.operators.aggregates import latest_dates
 from flowtide.operators.mapping import Mapping
-from flowtide.session import ensure_checkpoints, folder_names, path_exists, remove_folder, touch  # noqa: F401
+from flowtide.session import ensure_checkpoints, folder_names, path_exists, remove_folder, stored_bytes, touch  # noqa: F401
 
 
 #: Table property with the cluster columns.
 CLUSTER_PROPERTY = "flowtide.clustered-by"
+#: Bytes of small files that make up one compacted file, at most.
+COMPACTED_BYTES = 128 << 20
 
 
 def clustered(df: DataFrame, cluster_by: list[str]) -> DataFrame:
@@ -147,9 +149,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*target.columns).unionByName(checked.select(*target.columns))
 
 
-def compact_parquet(spark: SparkSession, paths: list[str], target: str, files: int) -> None:
-    """Rewrite many small files as ``files`` files of about equal size; no input, no output."""
+def compact_parquet(spark: SparkSession, paths: list[str], target: str, files: int, largest: int = COMPACTED_BYTES) -> None:
+    """Rewrite many small files as ``files`` files of about equal size; no input, no output.
+
+    They are more than ``files`` where a file, and the one task that writes it, would have more than ``largest`` bytes of the input.
+    """
     if paths:
+        files = max(files, -(-stored_bytes(spark, paths) // largest))
         spark.read.parquet(*paths).repartition(files).write.mode("overwrite").parquet(target)
 
 

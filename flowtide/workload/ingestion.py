@@ -269,10 +269,15 @@ def _(t):
     return readers.read_parquet(t.spark, f"{folder}/table")
 
 
+#: Positions of one of the files to be compacted, at most about so many.
+_SMALL_FILE = 500_000
+
+
 @query("compact_parquet", with_ctes(f"{_FACTS} from facts"))
 def _(t):
     folder = _scratch(t)
-    as_facts(t.facts).repartition(16, "id", "date").write.parquet(f"{folder}/small")
+    small = max(16, t.raw("lineitem").count() // _SMALL_FILE)
+    as_facts(t.facts).repartition(small, "id", "date").write.parquet(f"{folder}/small")
     tables.compact_parquet(t.spark, [f"{folder}/small"], f"{folder}/combined", 2)
     return readers.read_parquet(t.spark, f"{folder}/combined")
 

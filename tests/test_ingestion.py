@@ -145,6 +145,15 @@ def test_documents_of_an_id_are_made_behind_one_shuffle(spark):
     assert made.count() == 20 and made.select("group").distinct().count() <= 4
 
 
+def test_compacted_files_have_a_largest_size(spark, tmp_path):
+    small, rows_in = f"{tmp_path}/small", 20_000
+    spark.range(rows_in).selectExpr("id", "xxhash64(id) v").repartition(16).write.parquet(small)
+    for largest, least, most in ((1 << 30, 2, 2), (20_000, 10, 100)):
+        tables.compact_parquet(spark, [small], f"{tmp_path}/out", 2, largest)
+        files = [f for f in os.listdir(tmp_path / "out") if f.endswith(".parquet")]
+        assert least <= len(files) <= most and spark.read.parquet(f"{tmp_path}/out").distinct().count() == rows_in
+
+
 def test_upsert_and_refresh_reach_the_table(spark, tmp_path):
     name, place = "upsert_under_test", str(tmp_path)
     tables.drop_table(spark, name)
