@@ -91,15 +91,11 @@ def aggregated_positions(
         .groupBy(bucket(granularity).alias("aggregated_date"), "id", "chain_name", "token_name")
         .agg(F.sum("quantity").alias("_quantity"), F.sum("value_usd").alias("_value"), F.count("*").alias("_rows"))
     )
-    keys = ["aggregated_date", "id", "protocol_name", "category", "type", "chain_name", "token_name"]
-    means = (
-        skewed_join(partial, details, ["id"], "inner")
-        .groupBy(*keys)
-        .agg(
-            (F.sum("_quantity") / F.sum("_rows")).alias("qty"),
-            (F.sum("_value") / F.sum("_rows")).alias("usd"),
-        )
-    )
+    # a key has one row here, and one for each different protocol of its id behind the join: nothing is left to add up
+    means = skewed_join(partial, details.distinct(), ["id"], "inner").select(
+        "aggregated_date", "id", "protocol_name", "category", "type", "chain_name", "token_name",
+        (F.col("_quantity") / F.col("_rows")).alias("qty"), (F.col("_value") / F.col("_rows")).alias("usd"),
+    )
     typed = category_to_type(means, category_map)
     return typed.orderBy("aggregated_date", "id") if ordered else typed
 
