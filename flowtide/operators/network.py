@@ -177,6 +177,9 @@ def network_document(flows: DataFrame, nested: bool = False, tokens: int = DOCUM
         nodes = lines(network_nodes(flows), "nodes", "id", "size", as_map)
         return nodes.unionByName(lines(network_links(flows), "links", "source", "target", "size", as_map))
     ends = ["source", "target"]
+    # read four times below, so written once
+    ensure_checkpoints(flows.sparkSession)
+    flows = flows.checkpoint()
     held = _chunked(node_composition(flows), [*period, "id"], tokens)
     carried = _chunked(link_composition(flows), [*period, *ends], tokens)
     parts = [

@@ -66,6 +66,23 @@ def test_token_distribution_reads_only_its_columns(stored):
     assert "slug" not in text and "isnotnull(cast" not in text
 
 
+def test_means_are_added_up_once(stored):
+    """Behind the join with the protocols nothing is aggregated again, whatever rows the dimension repeats."""
+    facts, protocols = stored
+    categories = protocols.limit(0).select(protocols.name.alias("broad"), protocols.category.alias("detailed"))
+    made = aggregates.aggregated_positions(facts, protocols, categories, "month", ordered=False)
+    assert len(re.findall(r"HashAggregate\(keys=\[[^]]*token_name", plan(made))) == 2
+    again = aggregates.aggregated_positions(facts, protocols.unionByName(protocols), categories, "month", ordered=False)
+    assert rows(again) == rows(made) and made.count()
+
+
+def test_a_document_follows_the_flows_once(stored, spark):
+    owners = spark.createDataFrame([("T1", "1")], "token_name string, mapped_id string")
+    flows = value_flows(compare_periods(*stored, "1970-02-01", "month", unique=True, folded=True), owners)
+    made = network.network_document(flows)
+    assert "FileScan" not in plan(made) and made.count() > 0
+
+
 def test_day_filters_reach_the_scan(stored):
     text = plan(aggregates.tvl_distribution_on_day(*stored, "1970-03-01"))
     assert "GreaterThanOrEqual(date,5097600)" in text and "LessThan(date,5184000)" in text
