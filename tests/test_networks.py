@@ -213,6 +213,45 @@ def test_similarity_of_the_worked_example(spark):
         similarity_matches(left, right, 0.0)
 
 
+def _shuffled(plan) -> int:
+    """Records that the exchanges of an executed plan have written."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _shuffled(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return _shuffled(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    return own + sum(_shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_similarity_does_not_shuffle_the_terms_of_texts(spark, monkeypatch):
+    ran, kind = [], type(spark.range(0))
+    checkpoint = kind.checkpoint
+
+    def noted(self, *args, **named):
+        ran.append(self)
+        return checkpoint(self, *args, **named)
+
+    monkeypatch.setattr(kind, "checkpoint", noted)
+    texts = [(str(i), "n", " ".join(f"w{(i * 37 + k * k) % 600}" for k in range(60)) + " the aave", 1.0) for i in range(400)]
+    right = spark.createDataFrame(texts + [("400", "n", "aave lending", 1.0)], "id string, name string, text string, total_tvls double").repartition(4)
+    found = similarity_matches(spark.createDataFrame([("aave lending",)], "token_name string"), right, 0.5, ["text"])
+    assert [(r.id, round(r.score, 6)) for r in found.collect()] == [("400", 1.0)]
+    pairs = sum(len(set(t[2].split())) for t in texts)
+    assert 0 < sum(_shuffled(df._jdf.queryExecution().executedPlan()) for df in [*ran, found]) < pairs / 2
+
+
+def test_similarity_of_repeated_and_missing_ids(spark):
+    """Texts of one id are one text; all without id count once for the frequencies and match nothing."""
+    texts = [("1", "n", "aave lending", 1.0), ("1", "n", "pool pool", 2.0), (None, "n", "aave uni", 3.0), (None, "n", "uni uni dao", 4.0), ("2", "m", None, 5.0)]
+    right = spark.createDataFrame(texts, "id string, name string, text string, total_tvls double")
+    found = similarity_matches(spark.createDataFrame([("aave",), ("uni dao",)], "token_name string"), right, 0.2, ["text"]).collect()
+    idf = {t: math.log(8 / (1 + df)) + 1 for t, df in {"aave": 3, "lending": 1, "pool": 1}.items()}
+    norm = math.sqrt(idf["aave"] ** 2 + idf["lending"] ** 2 + 4 * idf["pool"] ** 2)
+    assert [(r.token_name, r.id, r.name) for r in found] == [("aave", "1", "n")]
+    assert found[0].score == pytest.approx(idf["aave"] / norm)
+
+
 def test_top_network_scales_sizes(spark):
     nodes = spark.createDataFrame([("a", 0.0), ("b", 50.0), ("c", 100.0), ("d", -1.0)], "id string, size double")
     links = spark.createDataFrame(
