@@ -167,25 +167,53 @@ def directed_modularity(arcs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select("time", F.coalesce(value, F.lit(0.0)).alias("modularity"))
 
 
-def _moved(arcs: DataFrame, labels: DataFrame, totals: DataFrame, own: DataFrame, turn: int) -> DataFrame:
-    """Labels after half of the nodes has gone to the community that gains most by them."""
-    pairs = arcs.where(F.col("source") != F.col("target"))
-    known = labels.select("time", F.col("node").alias("other"), "label")
-    ends = F.explode(F.array(F.struct(F.col("source").alias("node"), F.col("target").alias("other")),
+def _level(arcs: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and links of a level: ``time, node, out, into, loop, total`` and ``time, node, other, flow, out, into, total``.
+
+    A node has the flow that leaves and enters it, loops included; links go both ways and carry what their node has, so no round looks
+    it up again.
+    """
+    loop = F.when(F.col("source") == F.col("target"), F.col("flow")).otherwise(0.0)
+    ends = F.explode(F.array(F.struct(F.col("source").alias("node"), F.col("flow").alias("out"), F.lit(0.0).alias("into"), loop.alias("loop")),
+                             F.struct(F.col("target").alias("node"), F.lit(0.0).alias("out"), F.col("flow").alias("into"), F.lit(0.0).alias("loop")))).alias("e")
+    nodes = arcs.select("time", ends).groupBy("time", "e.node").agg(F.sum("e.out").alias("out"), F.sum("e.into").alias("into"), F.sum("e.loop").alias("loop"))
+    nodes = nodes.join(totals, "time").checkpoint()
+    ways = F.explode(F.array(F.struct(F.col("source").alias("node"), F.col("target").alias("other")),
                              F.struct(F.col("target").alias("node"), F.col("source").alias("other")))).alias("e")
-    links = pairs.select("time", "flow", ends).select("time", "e.node", "e.other", "flow")
-    heard = skewed_join(links, known, ["time", "other"], "inner").select("time", "node", "label", "flow", F.lit(False).alias("own"))
-    stay = labels.select("time", "node", "label", F.lit(0.0).alias("flow"), F.lit(True).alias("own"))
-    tally = heard.unionByName(stay).groupBy("time", "node", "label").agg(F.sum("flow").alias("flow"), F.max("own").alias("own"))
-    groups = _strengths(arcs, labels).select("time", "label", F.col("out").alias("c_out"), F.col("into").alias("c_into"))
-    scored = skewed_join(skewed_join(tally, own, ["time", "node"], "inner"), groups, ["time", "label"], "inner").join(totals, "time")
+    links = arcs.where(F.col("source") != F.col("target")).select("time", "flow", ways).select("time", "e.node", "e.other", "flow")
+    return nodes, skewed_join(links, nodes.drop("loop"), ["time", "node"], "inner").checkpoint()
+
+
+def _weighed(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labels`` (nodes with ``label``) with the label that gains most by each node, and the node's share in the modularity.
+
+    ``inside`` and ``expected`` of a slice add up to the flow inside communities and the product of what leaves and enters them.
+    """
+    known = labels.select("time", F.col("node").alias("other"), "label")
+    lone = F.lit(None).cast("double")
+    heard = skewed_join(links, known, ["time", "other"], "inner").select(
+        "time", "node", "label", "flow", "out", "into", "total", lone.alias("loop"), F.lit(False).alias("own")
+    )
+    stay = labels.select("time", "node", "label", F.lit(0.0).alias("flow"), "out", "into", "total", "loop", F.lit(True).alias("own"))
+    same = [F.max(c).alias(c) for c in ("out", "into", "total", "loop", "own")]
+    tally = heard.unionByName(stay).groupBy("time", "node", "label").agg(F.sum("flow").alias("flow"), *same)
+    groups = labels.groupBy("time", "label").agg(F.sum("out").alias("c_out"), F.sum("into").alias("c_into"))
+    scored = skewed_join(tally, groups, ["time", "label"], "inner")
     minus = F.col("own").cast("int")
     expected = F.col("out") * (F.col("c_into") - minus * F.col("into")) + F.col("into") * (F.col("c_out") - minus * F.col("out"))
     scored = scored.withColumn("gain", F.round(F.col("flow") / F.col("total") - expected / (F.col("total") * F.col("total")), 12))
-    best = F.min_by("label", F.struct(-F.col("gain"), ~F.col("own"), "label"))
-    chosen = scored.groupBy("time", "node").agg(F.max(F.when(F.col("own"), F.col("label"))).alias("current"), best.alias("best"))
-    moves = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
-    return chosen.select("time", "node", F.when(moves, F.col("best")).otherwise(F.col("current")).alias("label"))
+    best = F.min_by("label", F.struct(-F.col("gain"), ~F.col("own"), "label")).alias("best")
+    # an inner link is heard at both of its ends
+    shares = {"label": F.col("label"), "loop": F.col("loop"), "inside": F.col("flow") / 2 + F.col("loop"), "expected": F.col("out") * F.col("c_into")}
+    kept = [F.max(c).alias(c) for c in ("out", "into", "total")] + [F.max(F.when(F.col("own"), v)).alias(k) for k, v in shares.items()]
+    return scored.groupBy("time", "node").agg(best, *kept)
+
+
+def _quality(weighed: DataFrame, name: str) -> DataFrame:
+    """``time`` and the directed modularity of weighed labels, as ``directed_modularity`` has it."""
+    total = F.max("total")
+    value = F.try_divide(F.sum("inside"), total) - F.try_divide(F.sum("expected"), total * total)
+    return weighed.groupBy("time").agg(F.coalesce(value, F.lit(0.0)).alias(name))
 
 
 def directed_communities(weights: DataFrame, patience: int = 2, max_rounds: int = 200) -> DataFrame:
@@ -207,22 +235,24 @@ def directed_communities(weights: DataFrame, patience: int = 2, max_rounds: int
     placed = rates.select("time", F.col("source").alias("node"), F.col("source").alias("label")).checkpoint()
     level, turn = flows, 0
     while True:
-        labels = level.select("time", F.explode(F.array("source", "target")).alias("node")).distinct().withColumn("label", F.col("node")).checkpoint()
-        own = _strengths(level, None).checkpoint()
-        score = directed_modularity(level, labels).checkpoint()
+        nodes, links = _level(level, totals)
+        weighed = _weighed(links, nodes.withColumn("label", F.col("node"))).checkpoint()
+        score = _quality(weighed, "modularity").checkpoint()
         idle, any_move = 0, False
         while idle < patience and turn < max_rounds:
             turn += 1
-            tried = _moved(level, labels, totals, own, turn).checkpoint()
-            new = directed_modularity(level, tried).withColumnRenamed("modularity", "_new")
-            compared = score.join(new, "time").withColumn("better", F.col("_new") > F.col("modularity") + 1e-9).checkpoint()
-            if compared.where("better").isEmpty():
+            moves = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
+            moved = weighed.withColumn("label", F.when(moves, F.col("best")).otherwise(F.col("label")))
+            tried = _weighed(links, moved.select("time", "node", "out", "into", "loop", "total", "label")).checkpoint()
+            compared = score.join(_quality(tried, "_new"), "time").withColumn("better", F.col("_new") > F.col("modularity") + 1e-9).checkpoint()
+            better = compared.where("better").select("time")
+            if better.isEmpty():
                 idle += 1
                 continue
             idle, any_move = 0, True
-            kept = tried.join(compared.where("better"), "time", "left_semi")
-            labels = kept.unionByName(labels.join(compared.where("better"), "time", "left_anti")).checkpoint()
+            weighed = tried.join(better, "time", "left_semi").unionByName(weighed.join(better, "time", "left_anti")).checkpoint()
             score = compared.select("time", F.greatest("modularity", "_new").alias("modularity"))
+        labels = weighed.select("time", "node", "label")
         if not any_move:
             break
         step = labels.select("time", F.col("node").alias("label"), F.col("label").alias("_next"))

@@ -310,6 +310,20 @@ def test_directed_communities_find_what_propagation_misses(spark):
     assert found.where("time = 'u'").count() == 3 and found.where("time = 'v'").count() == 1
 
 
+def test_a_round_of_directed_moves_is_few_shuffles(spark):
+    """Moves and quality of a labelling come from one tally; the quality is the directed modularity."""
+    arcs = [(t, f"n{i}", f"n{(i * 7 + d) % 11}", float(1 + (i * d) % 3)) for t in "uv" for i in range(11) for d in (0, 1, 4)] + [("w", "x", "x", 1.0)]
+    flows = spark.createDataFrame(arcs, "time string, source string, target string, flow double").groupBy("time", "source", "target").agg(F.sum("flow").alias("flow"))
+    nodes, links = community._level(flows, flows.groupBy("time").agg(F.sum("flow").alias("total")))
+    labels = nodes.withColumn("label", F.when(F.col("time") == "u", F.col("node")).otherwise(F.concat(F.lit("c"), F.substring("node", 2, 1))))
+    weighed = community._weighed(links, labels)
+    plan = weighed._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 6
+    got = {r.time: r.q for r in community._quality(weighed, "q").collect()}
+    want = {r.time: r.modularity for r in community.directed_modularity(flows, labels.select("time", "node", "label")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-12 for t in want)
+
+
 def test_visit_rates_are_stationary(spark):
     edges = [("t", "a", "b", 3.0), ("t", "a", "c", 1.0), ("t", "b", "a", 1.0), ("t", "c", "d", 2.0)]
     weights = spark.createDataFrame(edges, "time string, source string, target string, weight double")
